@@ -16,21 +16,18 @@ MIN_TIME, MAX_TIME = "1677-09-21 00:12:43.145225", "2262-04-11 23:47:16.854775"
 SESSION_OPEN, SESSION_CLOSE = "09:30:00", "15:00:00"
 
 
-def _zero_padded(text: Column, width: int) -> Column:
-    # lpad alone would also shorten longer texts and turn bad input into good dates
-    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
+# One pass turns the vendor form into ISO text and everything else into text no cast accepts. Shorter
+# digit strings need no zero padding: padded, they name years before the accepted range.
+_COMPACT_DATE = r"(?s)^(?:(\d{4})(\d\d)(?:(\d\d)| ([1-9]))(?:\.0)?|.*)\z"
+_COMPACT_TIME = r"(?s)^(?:(\d{4})(\d\d)(\d\d)(\d\d)(\d\d)(\d\d)|.*)\z"
 
 
 def parse_compact_date(text: Column, wide_dates: bool = False) -> Column:
-    """``yyyymmdd`` text (optionally ending in ``.0``) to DATE, NULL when invalid."""
-    padded = _zero_padded(F.regexp_replace(text, r"\.0$", ""), 8)
-    iso = F.concat_ws(
-        "-",
-        F.substring(padded, 1, 4),
-        F.substring(padded, 5, 2),
-        F.translate(F.substring(padded, 7, 2), " ", "0"),
-    )
-    day = F.when(padded.rlike(r"^\d{6}(\d\d| [1-9])\z"), iso).try_cast("date")
+    """``yyyymmdd`` text (optionally ending in ``.0``) to DATE, NULL when invalid.
+
+    Dates outside the nanosecond range are missing unless ``wide_dates`` is set.
+    """
+    day = F.regexp_replace(text, _COMPACT_DATE, "$1-$2-$3$4").try_cast("date")
     if wide_dates:
         return day
     return F.when(day.between(F.lit(MIN_DATE).cast("date"), F.lit(MAX_DATE).cast("date")), day)
@@ -43,10 +40,8 @@ def _in_time_range(stamp: Column) -> Column:
 
 def parse_compact_timestamp(text: Column) -> Column:
     """``yyyymmddHHMMSS`` text (fraction and spaces ignored) to TIMESTAMP_NTZ, NULL when invalid."""
-    stripped = F.regexp_replace(F.regexp_replace(text, r"\.\d+$", ""), r"\s+", "")
-    padded = _zero_padded(stripped, 14)
-    iso = F.regexp_replace(padded, r"^(\d{4})(\d\d)(\d\d)(\d\d)(\d\d)(\d\d)$", "$1-$2-$3 $4:$5:$6")
-    return _in_time_range(F.when(padded.rlike(r"^\d{14}\z"), iso).try_cast("timestamp_ntz"))
+    digits = F.regexp_replace(text, r"\.\d+$|\s+", "")
+    return _in_time_range(F.regexp_replace(digits, _COMPACT_TIME, "$1-$2-$3 $4:$5:$6").try_cast("timestamp_ntz"))
 
 
 def parse_generic_timestamp(text: Column) -> Column:

@@ -20,12 +20,22 @@ def _first_by(df: DataFrame, keys: Sequence[str], order: list[Column]) -> DataFr
 
 
 def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Last row of every key in landing order (what a sequence of replacing inserts leaves)."""
+    """Last row of every key in landing order (what a sequence of replacing inserts leaves).
+
+    Without ordering columns the rows are taken to be unique already.
+    """
+    if not order:
+        return df
     return _first_by(df, keys, [F.col(c).desc_nulls_last() for c in order])
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """First row of every key in landing order (what a sequence of ignoring inserts leaves)."""
+    """First row of every key in landing order (what a sequence of ignoring inserts leaves).
+
+    Without ordering columns the rows are taken to be unique already.
+    """
+    if not order:
+        return df
     return _first_by(df, keys, [F.col(c).asc_nulls_last() for c in order])
 
 

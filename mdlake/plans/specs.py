@@ -17,7 +17,8 @@ class TableSpec:
     keep_open_days: int | None = None
     by_open_day: bool = False
     exchange: str = "SSE"
-    feeds: tuple[str, ...] = ()
+    feeds: tuple[tuple[str, str], ...] = ()  # landed feeds and their raw columns, main feed first
+    from_month_start: bool = False
     dates: tuple[str, ...] = ()
     lots_to_shares: str | None = None
     thousands_to_units: str | None = None
@@ -29,9 +30,22 @@ class TableSpec:
     def schema(self) -> T.StructType:
         return T.StructType.fromDDL(self.columns)
 
+    def landed(self) -> dict[str, T.StructType]:
+        """Raw schema (all text) of each landed feed."""
+        if self.feeds:
+            named = {feed: columns.split() for feed, columns in self.feeds}
+        else:
+            stored = [n for n in self.schema.names if not (self.lots_to_shares and n == "vol_share")]
+            extra = [*self.dates, *([self.lots_to_shares] if self.lots_to_shares else [])]
+            named = {self.name: list(dict.fromkeys([*stored, *extra]))}
+        return {
+            feed: T.StructType([T.StructField(n, T.StringType()) for n in names]) for feed, names in named.items()
+        }
+
     @property
-    def landed(self) -> tuple[str, ...]:
-        return self.feeds or (self.name,)
+    def day(self) -> str | None:
+        """Date column that retention and partitions go by."""
+        return None if self.keep_open_days is None else self.cursor
 
 
 _BARS = "ts_code string, trade_time timestamp_ntz, open double, high double, low double, close double, amount double, vol_share double"
@@ -90,7 +104,14 @@ ALL_SPECS = (
         cursor="trade_date",
         keep_open_days=500,
         by_open_day=True,
-        feeds=("daily", "daily_basic"),
+        feeds=(
+            ("daily", "ts_code trade_date open high low close pre_close change pct_chg vol amount"),
+            (
+                "daily_basic",
+                "ts_code trade_date close turnover_rate turnover_rate_f volume_ratio pe pe_ttm pb ps ps_ttm "
+                "dv_ratio dv_ttm total_share float_share free_share total_mv circ_mv",
+            ),
+        ),
         dates=("trade_date",),
         lots_to_shares="vol",
         thousands_to_units="amount",
@@ -123,6 +144,7 @@ ALL_SPECS = (
         "index_code string, con_code string, trade_date date, weight double",
         cursor="trade_date",
         keep_open_days=2000,
+        from_month_start=True,
         dates=("trade_date",),
         **_MONTHLY,
     ),
@@ -155,6 +177,7 @@ ALL_SPECS = (
         "holder_name string, share_type string",
         cursor="float_date",
         keep_open_days=500,
+        from_month_start=True,
         dates=("ann_date", "float_date"),
         **_MONTHLY,
     ),
@@ -220,7 +243,7 @@ ALL_SPECS = (
         "ts_code string, name string, start_date date, end_date date, ann_date date, change_reason string",
         cursor="start_date",
         keep_open_days=500,
-        feeds=("namechange",),
+        feeds=(("namechange", "ts_code name start_date end_date ann_date change_reason"),),
         dates=("start_date", "end_date", "ann_date"),
         **_MONTHLY,
     ),
@@ -252,9 +275,7 @@ SPECS: dict[str, TableSpec] = {spec.name: spec for spec in ALL_SPECS}
 BARS = SPECS["minute_5m"]
 DAILY_SPECS = tuple(spec for spec in ALL_SPECS if spec is not BARS)
 
-STATE_SCHEMA = T.StructType.fromDDL(
-    "cluster string, table_name string, cursor_col string, cursor_value string, updated_at timestamp_ntz"
-)
+STATE_SCHEMA = "cluster string, table_name string, cursor_col string, cursor_value string, updated_at timestamp_ntz"
 STATE_KEYS = ("cluster", "table_name", "cursor_col")
 
 

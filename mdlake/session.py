@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 import tempfile
 import uuid
 
@@ -51,3 +53,23 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(scratch_path(spark, "checkpoint"))
     return df.checkpoint(eager=True)
+
+
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True))
+
+
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """Evaluate once into parquet in the shared folder and read from there.
+
+    A batch is used several times (touched partitions, distinct keys, rows). Staging parses the landed
+    text once, lets later passes read single columns, and fixes the rows whatever executors get lost.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    try:
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        delete_folder(df.sparkSession, path)

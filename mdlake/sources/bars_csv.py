@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from datetime import date
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.merge import union_by_name
+from .landed import LANDED_DAY, LANDING_ORDER, with_landing_order
 
 # The columns of a bar file.
 BAR_COLUMNS = ("ts_code", "trade_time", "open", "high", "low", "close", "volume", "amount")
@@ -53,23 +55,40 @@ def file_headers(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInPandas(_first_lines, "path string, header string").where(F.col("header") != "")
 
 
-def read_bars_csv(spark: SparkSession, path: str, columns: tuple[str, ...] = BAR_COLUMNS) -> DataFrame:
-    """All bars under ``path`` as text columns by header name, plus the source file of each row."""
+def pick_files(files: DataFrame, start: date | None = None, end: date | None = None) -> DataFrame:
+    """Skip files in day folders (``landed_day=yyyymmdd``) outside [start, end]."""
+    day = F.regexp_extract("path", rf"/{LANDED_DAY}=(\d{{8}})/", 1)
+    if start is not None:
+        files = files.where((day == "") | (day >= start.strftime("%Y%m%d")))
+    if end is not None:
+        files = files.where((day == "") | (day <= end.strftime("%Y%m%d")))
+    return files
+
+
+def read_bars_csv(
+    spark: SparkSession, path: str, columns: tuple[str, ...] = BAR_COLUMNS, headers: DataFrame | None = None
+) -> DataFrame:
+    """All bars under ``path`` as text columns by header name, plus file and landing order of each row.
+
+    ``headers`` restricts the read to some of the files :func:`file_headers` lists.
+    """
     groups: dict[str, list[str]] = defaultdict(list)
-    for row in file_headers(spark, path).toLocalIterator():  # file names only, as in any file listing
+    listed = file_headers(spark, path) if headers is None else headers
+    for row in listed.toLocalIterator():  # file names only, as in any file listing
         groups[row.header].append(row.path)
     frames = []
     for header, paths in sorted(groups.items()):
         names = [h.strip().strip('"') for h in header.split(",")]
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
         part = spark.read.schema(schema).option("header", "true").csv(paths)
-        frames.append(part.withColumn(SOURCE_FILE, F.col("_metadata.file_path")))
-    empty = T.StructType([T.StructField(n, T.StringType()) for n in (*columns, SOURCE_FILE)])
+        frames.append(with_landing_order(part).withColumn(SOURCE_FILE, F.col(f"{LANDING_ORDER}.file")))
     if not frames:
-        return spark.createDataFrame([], empty)
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in (*columns, SOURCE_FILE)])
+        position = "struct<file_time timestamp, file string, split bigint, row bigint>"
+        return spark.createDataFrame([], schema).withColumn(LANDING_ORDER, F.lit(None).cast(position))
     rows = union_by_name(frames)
     absent = {n: F.lit(None).cast("string") for n in columns if n not in rows.columns}
-    return rows.withColumns(absent).select(*columns, SOURCE_FILE)
+    return rows.withColumns(absent).select(*columns, SOURCE_FILE, LANDING_ORDER)
 
 
 def write_bars_csv(bars: DataFrame, path: str) -> None:

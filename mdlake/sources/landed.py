@@ -1,7 +1,7 @@
 """Landed vendor extracts.
 
-Layout: ``<root>/<feed>/landed_day=<yyyymmdd>/...`` for per-day feeds and ``<root>/<feed>/...`` for range
-feeds. Columns are read with an explicit schema; the day predicate prunes whole folders.
+Layout: ``<root>/<feed>/landed_day=<yyyymmdd>/...`` or, without day folders, ``<root>/<feed>/...``. Columns
+are read with an explicit schema; the day predicate prunes whole folders.
 """
 
 from __future__ import annotations
@@ -12,6 +12,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.errors import AnalysisException
 
 LANDED_DAY = "landed_day"
+LANDING_ORDER = "landing_order"
+
+
+def with_landing_order(df: DataFrame) -> DataFrame:
+    """Add a sortable position: file time, file, split, then row order inside the split.
+
+    The running id only ever decides between rows of one split, which one task reads in file order.
+    """
+    position = F.struct(
+        F.col("_metadata.file_modification_time").alias("file_time"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    return df.select("*", position.alias(LANDING_ORDER))
 
 
 def read_landed(
@@ -24,14 +39,15 @@ def read_landed(
     end: date | None = None,
     **options: str,
 ) -> DataFrame:
-    """Rows of a feed, optionally restricted to landing days in [start, end]."""
+    """Rows of a feed in landing order, skipping day folders outside [start, end]."""
     with_day = T.StructType([*schema.fields, T.StructField(LANDED_DAY, T.StringType())])
     df = spark.read.schema(with_day).options(**options).format(fmt).load(f"{root}/{feed}")
+    day = F.col(LANDED_DAY)
     if start is not None:
-        df = df.where(F.col(LANDED_DAY) >= start.strftime("%Y%m%d"))
+        df = df.where(day.isNull() | (day >= start.strftime("%Y%m%d")))
     if end is not None:
-        df = df.where(F.col(LANDED_DAY) <= end.strftime("%Y%m%d"))
-    return df
+        df = df.where(day.isNull() | (day <= end.strftime("%Y%m%d")))
+    return with_landing_order(df).drop(LANDED_DAY)
 
 
 def landed_or_none(*args, **kwargs) -> DataFrame | None:

@@ -6,7 +6,7 @@ from importlib import import_module
 
 from .base import ORACLES, QUERIES, Query
 
-MODULES = ("calendar_checks", "cleaning_checks")
+MODULES = ("calendar_checks", "cleaning_checks", "merge_checks", "planning_checks")
 
 
 def _load() -> None:
