@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import numbers
+from ..session import local_frame
 
 # Columns typed by name, and the text widths of the inferred types.
 DECIMAL_NAMES = ("ggt_ss", "ggt_sz", "hgt", "sgt", "north_money", "south_money")
@@ -126,7 +127,7 @@ def column_catalog(tables: Mapping[str, DataFrame]) -> DataFrame:
         for position, field in enumerate(df.schema, start=1)
     ]
     ddl = "table_name string, position int, column_name string, data_type string, nullable boolean"
-    return first.sparkSession.createDataFrame(rows, ddl)
+    return local_frame(first.sparkSession, rows, ddl)
 
 
 def schema_drift(shards: Mapping[str, DataFrame], numeric: Sequence[str]) -> DataFrame:

@@ -47,7 +47,8 @@ def bars_from_matrices(matrices: Mapping[str, DataFrame], label: str) -> DataFra
     for field, matrix in matrices.items():
         labels = [c for c in matrix.columns if c != label]
         rows, columns = ("trade_time", "ts_code") if _codes_are_columns(labels) else ("ts_code", "trade_time")
-        cells = matrix.withColumnRenamed(label, rows).unpivot([rows], labels, columns, "cell")
+        quoted = [F.col(f"`{c}`") for c in labels]  # codes contain dots
+        cells = matrix.withColumnRenamed(label, rows).unpivot([rows], quoted, columns, "cell")
         long.append(cells.select(*KEYS, F.lit(field).alias("field"), F.col("cell").cast("double").alias("cell")))
     stacked = reduce(DataFrame.unionByName, long)
     side_by_side = [F.max(F.when(F.col("field") == f, F.col("cell"))).alias(f) for f in matrices]

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.codes import SHARDS
 from ..functions.dates import in_session
 from ..operators import calendar as cal_ops, cleaning, state
-from ..session import staged
+from ..session import local_frame, staged
 from ..sources import bars_csv
 from ..sources.lake import LakeTable
 from ..sources.landed import LANDED_DAY
@@ -35,7 +35,7 @@ def resolve_end(lake: Lake, end: date | None, now: datetime) -> date:
     """Explicit end, or the last session finished by ``now``."""
     if end is not None:
         return end
-    one = lake.spark.createDataFrame([(now.date(), now)], "end_day date, now timestamp_ntz")
+    one = local_frame(lake.spark, [(now.date(), now)], "end_day date, now timestamp_ntz")
     return cal_ops.last_completed_day(one, lake.calendar(), F.col("end_day"), F.col("now")).first().done_day
 
 
@@ -101,7 +101,7 @@ def update_bars(
     last = resolve_end(lake, end, now)
     cutoff = None if no_delete else retention_cutoff(lake, keep_open_days, last, BARS.exchange)
     cursors = shard_cursors(lake)
-    rows = lake.spark.createDataFrame([(s, start, cursors[s], cutoff) for s in SHARDS], "s string, r date, c date, k date")
+    rows = local_frame(lake.spark, [(s, start, cursors[s], cutoff) for s in SHARDS], "s string, r date, c date, k date")
     # without a cutoff a first run starts at the end day
     fallback = F.coalesce(F.col("k"), F.when(F.col("r").isNull() & F.col("c").isNull(), F.lit(last)))
     begin = state.plan_start(F.coalesce("r", F.date_add("c", 1), fallback), F.col("c"), F.col("k"), F.lit(last), lookback_days)
@@ -162,7 +162,7 @@ def backfill_bars(
         lake.save_cursors([(s, BARS.name, BARS.cursor, d.isoformat()) for s, d in cursors.items()], now)
     elif resume and lake.table(BARS).exists():
         newest = newest_complete_days(lake, universe)
-        rows = lake.spark.createDataFrame([(s, cursors[s], newest.get(s)) for s in SHARDS], "s string, c date, n date")
+        rows = local_frame(lake.spark, [(s, cursors[s], newest.get(s)) for s in SHARDS], "s string, c date, n date")
         moved = state.fast_forward(F.col("c"), F.col("n"), F.lit(cutoff), F.lit(last))
         ahead = {r.s: r.m for r in rows.select("s", moved.alias("m")).collect()}
         lake.save_cursors(

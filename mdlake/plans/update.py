@@ -7,14 +7,14 @@ keyed merge makes the repetition harmless.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import astuple, dataclass
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.dates import month_label
 from ..operators import calendar as cal_ops, cleaning, merge, retention, state, windows
-from ..session import staged
+from ..session import local_frame, staged
 from ..sources.lake import LakeTable
 from ..sources.landed import LANDING_ORDER, landed_or_none
 from .specs import BARS, SPECS, STATE_KEYS, STATE_SCHEMA, TableSpec, backfill_order, calendar_years, update_order
@@ -68,7 +68,7 @@ class Lake:
         """Store (cluster, table, cursor column, value) rows; the state holds one row per table and shard."""
         if not rows:
             return
-        changes = self.spark.createDataFrame(rows, "cluster string, table_name string, cursor_col string, cursor_value string")
+        changes = local_frame(self.spark, rows, "cluster string, table_name string, cursor_col string, cursor_value string")
         stamped = changes.withColumn("updated_at", F.lit(now).cast("timestamp_ntz"))
         table = self.state()
         table.replace(merge.upsert(table.rows(), stamped, STATE_KEYS, ()), [""])
@@ -102,7 +102,7 @@ def plan_tables(
         (s.name, s.cursor, start, None if no_delete else cutoffs.get((s.keep_open_days, s.exchange))) for s in specs
     ]
     ddl = "table_name string, cursor_col string, requested date, cutoff date"
-    rows = lake.spark.createDataFrame(wanted, ddl)
+    rows = local_frame(lake.spark, wanted, ddl)
     known = lake.cursors().where(F.col("cluster") == MASTER).select(
         "table_name", "cursor_col", state.cursor_date(F.col("cursor_value")).alias("cursor")
     )
@@ -150,33 +150,32 @@ def write_batch(table: LakeTable, spec: TableSpec, batch: DataFrame, mode: str,
     if not stats:
         return WriteResult(0, 0, None)
     parts = [r.part for r in stats]
-    before = table.n_rows(parts)
-    current = table.schema().names
-    target = table.read(parts)
+    at = table.snapshot()
     order = (LANDING_ORDER,) if LANDING_ORDER in batch.columns else ()
-    after = table.replace(merge.write_mode(mode)(target, batch, spec.keys, order), parts)
-    added = tuple(c for c in batch.columns if c not in (*current, *spec.partition_by, LANDING_ORDER))
+    merged = merge.write_mode(mode)(table.read(parts, at), batch, spec.keys, order)
+    after = table.replace(merged, parts, at)
+    added = tuple(c for c in batch.columns if c not in (*at.schema.names, *spec.partition_by, LANDING_ORDER))
     days = [r.newest for r in stats if r.newest is not None]
-    return WriteResult(sum(r.n for r in stats), after - before, max(days, default=None), added)
+    return WriteResult(sum(r.n for r in stats), after - at.n_rows(parts), max(days, default=None), added)
 
 
 def apply_retention(table: LakeTable, day: Column, cutoff: date) -> int:
     """Drop whole months before the cutoff and rewrite the boundary month; returns the rows removed."""
+    at = table.snapshot()
     month = cutoff.strftime("%Y-%m")
-    labels = {p.part: p.part.split("/")[0].split("=")[1] for p in table.live_parts()}
-    dated = {p: m for p, m in labels.items() if m[:4].isdigit()}
-    removed = table.drop([p for p, m in dated.items() if m < month])
+    months = {p.part: p.part.split("/")[0].split("=")[1] for p in at.parts}
+    dated = {p: m for p, m in months.items() if m[:4].isdigit()}  # rows without a date stay
+    removed = 0
     boundary = [p for p, m in dated.items() if m == month]
     if boundary:
-        rows = table.read(boundary)
+        rows = table.read(boundary, at)
         if not rows.where(day < F.lit(cutoff)).isEmpty():
-            before = table.n_rows(boundary)
-            removed += before - table.replace(retention.keep_recent(rows, day, cutoff), boundary)
-    return removed
+            removed += at.n_rows(boundary) - table.replace(retention.keep_recent(rows, day, cutoff), boundary, at)
+    return removed + table.drop([p for p, m in dated.items() if m < month])
 
 
 def _next_cursor(spark: SparkSession, plan: TablePlan, result: WriteResult) -> date | None:
-    one = spark.createDataFrame(
+    one = local_frame(spark, 
         [(plan.cursor, result.newest, result.fetched, plan.end)], "cur date, newest date, n bigint, last date"
     )
     return one.select(state.advance_cursor(*[F.col(c) for c in ("cur", "newest", "n", "last")]).alias("c")).first().c
@@ -241,7 +240,7 @@ def update(
 
 def month_batches(spark: SparkSession, start: date, end: date) -> list[tuple[date, date]]:
     """Clamped calendar months of [start, end], the batches of a backfill."""
-    one = spark.createDataFrame([(start, end)], "s date, e date")
+    one = local_frame(spark, [(start, end)], "s date, e date")
     rows = windows.month_windows(one, F.col("s"), F.col("e"), clamp=True).orderBy("window_start")
     return [(r.window_start, r.window_end) for r in rows.collect()]
 
@@ -290,4 +289,4 @@ def report_frame(spark: SparkSession, reports: Sequence[TableReport]) -> DataFra
         "`table` string, start string, end string, rows_fetched bigint, rows_inserted bigint, rows_deleted bigint, "
         "cursor_col string, cursor_value string, retention_cutoff string, added_columns array<string>"
     )
-    return spark.createDataFrame([{**asdict(r), "added_columns": list(r.added_columns)} for r in reports], T.StructType.fromDDL(ddl))
+    return local_frame(spark, [astuple(r) for r in reports], ddl)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -55,6 +57,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def local_frame(spark: SparkSession, rows: Sequence[tuple], schema: str | T.StructType) -> DataFrame:
+    """A few driver-side rows as a local relation, which needs no job of its own."""
+    struct = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    arrow = to_arrow_schema(struct)
+    columns = [pa.array([r[i] for r in rows], type=arrow.field(i).type) for i in range(len(struct))]
+    return spark.createDataFrame(pa.table(columns, schema=arrow), struct)
+
+
 def delete_folder(spark: SparkSession, path: str) -> bool:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return bool(folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True))
