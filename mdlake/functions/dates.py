@@ -8,8 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# The range of nanosecond timestamps, outside of which vendor dates count as missing.
-MIN_DATE, MAX_DATE = "1677-09-22", "2262-04-11"
+# Vendor dates and times outside the range of nanosecond timestamps count as missing
+# (1677-09-22 to 2262-04-11, and 1677-09-21 00:12:44 to 2262-04-11 23:47:16). The limits are part of
+# the patterns, so that a parsed value is one expression and is not evaluated again to be compared.
+_INNER_YEARS = r"167[89]|16[89]\d|1[7-9]\d\d|2[01]\d\d|22[0-5]\d|226[01]"
+_DATE_RANGE = rf"(?=167709(?:2[2-9]|30)|16771[0-2]|2262(?:0[1-3]|040\d|041[01]|04 [1-9])|{_INNER_YEARS})"
+_TIME_RANGE = (
+    r"(?=16770921(?!00(?:0\d|1[01]|12[0-3]\d|124[0-3]))|167709(?:2[2-9]|30)|16771[0-2]"
+    rf"|22620411(?!23(?:47(?:1[7-9]|[2-5]\d)|4[89]|5\d))|2262(?:0[1-3]|040\d|0410)|{_INNER_YEARS})"
+)
 MIN_TIME, MAX_TIME = "1677-09-21 00:12:43.145225", "2262-04-11 23:47:16.854775"
 
 # Trading session bounds.
@@ -18,8 +25,8 @@ SESSION_OPEN, SESSION_CLOSE = "09:30:00", "15:00:00"
 
 # One pass turns the vendor form into ISO text and everything else into text no cast accepts. Shorter
 # digit strings need no zero padding: padded, they name years before the accepted range.
-_COMPACT_DATE = r"(?s)^(?:(\d{4})(\d\d)(?:(\d\d)| ([1-9]))(?:\.0)?|.*)\z"
-_COMPACT_TIME = r"(?s)^(?:(\d{4})(\d\d)(\d\d)(\d\d)(\d\d)(\d\d)|.*)\z"
+_DATE_PARTS = r"(\d{4})(\d\d)(?:(\d\d)| ([1-9]))(?:\.0)?"
+_TIME_PARTS = r"(\d{4})(\d\d)(\d\d)(\d\d)(\d\d)(\d\d)"
 
 
 def parse_compact_date(text: Column, wide_dates: bool = False) -> Column:
@@ -27,21 +34,20 @@ def parse_compact_date(text: Column, wide_dates: bool = False) -> Column:
 
     Dates outside the nanosecond range are missing unless ``wide_dates`` is set.
     """
-    day = F.regexp_replace(text, _COMPACT_DATE, "$1-$2-$3$4").try_cast("date")
-    if wide_dates:
-        return day
-    return F.when(day.between(F.lit(MIN_DATE).cast("date"), F.lit(MAX_DATE).cast("date")), day)
-
-
-def _in_time_range(stamp: Column) -> Column:
-    low, high = (F.lit(v).cast("timestamp_ntz") for v in (MIN_TIME, MAX_TIME))
-    return F.when(stamp.between(low, high), stamp)
+    accepted = "" if wide_dates else _DATE_RANGE
+    return F.regexp_replace(text, rf"(?s)^(?:{accepted}{_DATE_PARTS}|.*)\z", "$1-$2-$3$4").try_cast("date")
 
 
 def parse_compact_timestamp(text: Column) -> Column:
     """``yyyymmddHHMMSS`` text (fraction and spaces ignored) to TIMESTAMP_NTZ, NULL when invalid."""
     digits = F.regexp_replace(text, r"\.\d+$|\s+", "")
-    return _in_time_range(F.regexp_replace(digits, _COMPACT_TIME, "$1-$2-$3 $4:$5:$6").try_cast("timestamp_ntz"))
+    iso = F.regexp_replace(digits, rf"(?s)^(?:{_TIME_RANGE}{_TIME_PARTS}|.*)\z", "$1-$2-$3 $4:$5:$6")
+    return iso.try_cast("timestamp_ntz")
+
+
+def _in_time_range(stamp: Column) -> Column:
+    low, high = (F.lit(v).cast("timestamp_ntz") for v in (MIN_TIME, MAX_TIME))
+    return F.when(stamp.between(low, high), stamp)
 
 
 def parse_generic_timestamp(text: Column) -> Column:

@@ -54,12 +54,20 @@ def by_shard(values: dict[str, date | None], shard: Column) -> Column:
     return picked
 
 
-def clean_landed(lake: Lake, headers: DataFrame | None = None) -> DataFrame:
-    """Landed bars, parsed file by file, inside their sessions, with usable keys, on open days."""
+def parse_landed(lake: Lake, headers: DataFrame | None = None) -> DataFrame:
+    """Landed bars, parsed file by file and routed to shards."""
     raw = bars_csv.read_bars_csv(lake.spark, f"{lake.landing}/{FEED}", headers=headers)
-    rows = cleaning.clean_bars(raw, BARS, bars_csv.SOURCE_FILE).drop(bars_csv.SOURCE_FILE)
-    rows = cleaning.drop_null_keys(rows, BARS.keys).where(in_session(F.col("trade_time")))
-    return cal_ops.on_open_days(rows, lake.calendar(), F.col("trade_time").cast("date"))
+    return cleaning.with_shard(cleaning.clean_bars(raw, BARS, bars_csv.SOURCE_FILE).drop(bars_csv.SOURCE_FILE))
+
+
+def usable(rows: DataFrame, cal: DataFrame, starts: dict[str, date], end: date) -> DataFrame:
+    """Bars with complete keys, inside a session of an open day, from the shard's start to the end."""
+    day = F.col("trade_time").cast("date")
+    # constant bounds reach the scan; the per-shard start then applies within them
+    first = F.lit(min(starts.values())).cast("timestamp_ntz")
+    rows = cleaning.drop_null_keys(rows, BARS.keys).where(F.col("trade_time") >= first)
+    rows = rows.where(in_session(F.col("trade_time")) & (day >= by_shard(starts, F.col("shard"))) & (day <= F.lit(end)))
+    return cal_ops.on_open_days(rows, cal, day)
 
 
 def _load(
@@ -72,14 +80,14 @@ def _load(
     headers: DataFrame | None,
     now: datetime,
 ) -> tuple[int, int, dict[str, date | None]]:
-    day = F.col("trade_time").cast("date")
-    batch = clean_landed(lake, headers)
-    if codes is not None:
-        batch = cleaning.only_codes(batch, codes)
-    batch = cleaning.with_shard(batch).where((day >= by_shard(starts, F.col("shard"))) & (day <= F.lit(end)))
-    with staged(batch, BARS.name) as rows:
-        newest = {r.shard: r.day for r in rows.groupBy("shard").agg(F.max(day).alias("day")).collect()}
-        result = write_batch(lake.table(BARS), BARS, rows, write_mode)
+    # text is parsed once, into the staged rows; every filter then works on typed columns
+    with staged(parse_landed(lake, headers), BARS.name) as parsed:
+        batch = usable(parsed, lake.calendar(), starts, end)
+        if codes is not None:
+            batch = cleaning.only_codes(batch, codes)
+        day = F.col("trade_time").cast("date")
+        newest = {r.shard: r.day for r in batch.groupBy("shard").agg(F.max(day).alias("day")).collect()}
+        result = write_batch(lake.table(BARS), BARS, batch, write_mode)
     moved = {s: max((d for d in (cursors[s], newest.get(s)) if d), default=None) for s in SHARDS}
     changed = [(s, BARS.name, BARS.cursor, d.isoformat()) for s, d in moved.items() if d and d != cursors[s]]
     lake.save_cursors(changed, now)
