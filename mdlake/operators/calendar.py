@@ -60,10 +60,12 @@ def latest_open_day(cal: DataFrame, as_of: date, exchange: str = "SSE") -> DataF
 
 
 def previous_open_days(cal: DataFrame, exchange: str = "SSE") -> DataFrame:
-    """Each open day with the open day before it."""
+    """Each open day with the open day before it; ``agrees`` checks the vendor's own column, if present."""
     by_day = W.partitionBy("exchange").orderBy("cal_date")
-    days = cal.where((F.col("exchange") == exchange) & (F.col("is_open") == 1)).select("exchange", "cal_date")
-    return days.withColumn("prev_open", F.lag("cal_date").over(by_day))
+    vendor = ["pretrade_date"] if "pretrade_date" in cal.columns else []
+    days = cal.where((F.col("exchange") == exchange) & (F.col("is_open") == 1)).select("exchange", "cal_date", *vendor)
+    days = days.withColumn("prev_open", F.lag("cal_date").over(by_day))
+    return days.withColumn("agrees", F.col("prev_open").eqNullSafe(F.col("pretrade_date"))) if vendor else days
 
 
 def sessions_before(cal: DataFrame, exchange: str = "SSE") -> DataFrame:
@@ -96,7 +98,7 @@ def last_completed_day(
     before = sessions_before(cal, exchange)
     return (
         requests.withColumn("_end", end)
-        .join(before.withColumnRenamed("day", "_end"), "_end", "left")
+        .join(F.broadcast(before.withColumnRenamed("day", "_end")), "_end", "left")  # one row per date
         .withColumn(output, F.when(keep, F.col("_end")).otherwise(F.coalesce("prev_session", F.date_sub("_end", 1))))
         .drop("_end", "prev_session")
     )

@@ -29,6 +29,7 @@ class BarsReport:
     rows_inserted: int
     rows_deleted: int
     cursors: dict[str, date | None]
+    inserted_by_shard: dict[str, int]
 
 
 def resolve_end(lake: Lake, end: date | None, now: datetime) -> date:
@@ -79,7 +80,7 @@ def _load(
     codes: DataFrame | None,
     headers: DataFrame | None,
     now: datetime,
-) -> tuple[int, int, dict[str, date | None]]:
+) -> tuple[int, dict[str, int], dict[str, date | None]]:
     # text is parsed once, into the staged rows; every filter then works on typed columns
     with staged(parse_landed(lake, headers), BARS.name) as parsed:
         batch = usable(parsed, lake.calendar(), starts, end)
@@ -91,7 +92,8 @@ def _load(
     moved = {s: max((d for d in (cursors[s], newest.get(s)) if d), default=None) for s in SHARDS}
     changed = [(s, BARS.name, BARS.cursor, d.isoformat()) for s, d in moved.items() if d and d != cursors[s]]
     lake.save_cursors(changed, now)
-    return result.fetched, result.inserted, moved
+    inserted = {s: sum(n for p, n in result.inserted_by_part.items() if p.endswith(f"shard={s}")) for s in SHARDS}
+    return result.fetched, inserted, moved
 
 
 def update_bars(
@@ -118,7 +120,7 @@ def update_bars(
     headers = bars_csv.pick_files(listed, min(starts.values()), last)
     fetched, inserted, moved = _load(lake, starts, last, cursors, write_mode, codes, headers, now)
     deleted = _retain(lake.table(BARS), cutoff)
-    return BarsReport(last, cutoff, fetched, inserted, deleted, moved)
+    return BarsReport(last, cutoff, fetched, sum(inserted.values()), deleted, moved, inserted)
 
 
 def _retain(table: LakeTable, cutoff: date | None) -> int:
@@ -192,4 +194,4 @@ def backfill_bars(
         finished = headers.where(F.col("path").contains(f"/{LANDED_DAY}="))
         done.replace(done.rows().union(finished.select("path", "header")).dropDuplicates(["path"]), [""])
     deleted = 0 if no_delete else _retain(lake.table(BARS), cutoff)
-    return BarsReport(last, cutoff, fetched, inserted, deleted, moved_cursors)
+    return BarsReport(last, cutoff, fetched, sum(inserted.values()), deleted, moved_cursors, inserted)

@@ -19,6 +19,7 @@ class TableSpec:
     exchange: str = "SSE"
     feeds: tuple[tuple[str, str], ...] = ()  # landed feeds and their raw columns, main feed first
     from_month_start: bool = False
+    only: tuple[tuple[str, tuple[str, ...]], ...] = ()  # accepted values of raw columns, if they are filled
     dates: tuple[str, ...] = ()
     lots_to_shares: str | None = None
     thousands_to_units: str | None = None
@@ -36,7 +37,8 @@ class TableSpec:
             named = {feed: columns.split() for feed, columns in self.feeds}
         else:
             stored = [n for n in self.schema.names if not (self.lots_to_shares and n == "vol_share")]
-            extra = [*self.dates, *([self.lots_to_shares] if self.lots_to_shares else [])]
+            extra = [*self.dates, *[column for column, _ in self.only]]
+            extra += [self.lots_to_shares] if self.lots_to_shares else []
             named = {self.name: list(dict.fromkeys([*stored, *extra]))}
         return {
             feed: T.StructType([T.StructField(n, T.StringType()) for n in names]) for feed, names in named.items()
@@ -64,6 +66,7 @@ ALL_SPECS = (
         "ts_code string, symbol string, name string, area string, industry string, cnspell string, "
         "market string, list_date date, act_name string, act_ent_type string",
         dates=("list_date", "delist_date"),
+        only=(("list_status", ("L",)),),
     ),
     TableSpec(
         "trade_cal",
@@ -71,6 +74,7 @@ ALL_SPECS = (
         "exchange string, cal_date date, is_open bigint, pretrade_date date",
         cursor="cal_date",
         dates=("cal_date", "pretrade_date"),
+        only=(("exchange", ("SSE",)),),
         open_flag="is_open",
     ),
     TableSpec(
@@ -92,6 +96,7 @@ ALL_SPECS = (
         "l1_code string, l1_name string, l2_code string, l2_name string, l3_code string, l3_name string, "
         "ts_code string, name string, in_date date, out_date date, is_new string",
         dates=("in_date", "out_date"),
+        only=(("is_new", ("Y",)),),
     ),
     TableSpec(
         "daily_raw",
@@ -136,6 +141,7 @@ ALL_SPECS = (
         keep_open_days=500,
         dates=("trade_date",),
         lots_to_shares="vol",
+        only=(("ts_code", ("000001.SH", "000300.SH", "399001.SZ", "399006.SZ")),),
         **_MONTHLY,
     ),
     TableSpec(
@@ -168,6 +174,7 @@ ALL_SPECS = (
         keep_open_days=500,
         by_open_day=True,
         dates=("trade_date",),
+        only=(("limit", ("U", "D", "Z")),),
         **_MONTHLY,
     ),
     TableSpec(
@@ -265,7 +272,7 @@ ALL_SPECS = (
         keep_open_days=250,
         by_open_day=True,
         lots_to_shares="volume",
-        partition_by=("trade_month", "shard"),
+        partition_by=("trade_day", "shard"),
     ),
 )
 

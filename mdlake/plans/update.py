@@ -7,7 +7,7 @@ keyed merge makes the repetition harmless.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from dataclasses import astuple, dataclass
+from dataclasses import astuple, dataclass, field
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -46,10 +46,20 @@ class TableReport:
 
 
 class Lake:
-    """Where landed extracts are read from and tables are kept."""
+    """Where landed extracts are read from and tables are kept.
 
-    def __init__(self, spark: SparkSession, root: str, landing: str, fmt: str = "json"):
+    ``index_codes`` are the indices whose weights are wanted; without any, none are loaded.
+    """
+
+    def __init__(
+        self, spark: SparkSession, root: str, landing: str, fmt: str = "json", index_codes: Sequence[str] = ()
+    ):
         self.spark, self.root, self.landing, self.fmt = spark, root.rstrip("/"), landing.rstrip("/"), fmt
+        self.index_codes = tuple(index_codes)
+
+    def accepted(self, spec: TableSpec) -> dict[str, tuple[str, ...]]:
+        """Accepted values per raw column of a table's feeds."""
+        return dict(spec.only) | ({"index_code": self.index_codes} if spec.name == "index_weight" else {})
 
     def table(self, spec: TableSpec) -> LakeTable:
         return LakeTable(self.spark, f"{self.root}/{spec.name}", spec.schema, spec.partition_by, spec.keys)
@@ -71,14 +81,17 @@ class Lake:
         changes = local_frame(self.spark, rows, "cluster string, table_name string, cursor_col string, cursor_value string")
         stamped = changes.withColumn("updated_at", F.lit(now).cast("timestamp_ntz"))
         table = self.state()
-        table.replace(merge.upsert(table.rows(), stamped, STATE_KEYS, ()), [""])
+        at = table.snapshot()
+        # one row per table and shard, so a single task is enough
+        table.replace(merge.upsert(table.read(at=at).coalesce(1), stamped.coalesce(1), STATE_KEYS, ()), [""], at)
 
 
 def with_partitions(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Derive the partition columns from the key columns, so a row never changes partition."""
     if "trade_month" in spec.partition_by:
-        day = F.col("trade_time").cast("date") if spec is BARS else F.col(spec.day)
-        df = df.withColumn("trade_month", month_label(day))
+        df = df.withColumn("trade_month", month_label(F.col(spec.day)))
+    if "trade_day" in spec.partition_by:
+        df = df.withColumn("trade_day", F.col("trade_time").cast("date").cast("string"))
     if "shard" in spec.partition_by and "shard" not in df.columns:
         df = cleaning.with_shard(df)
     return df
@@ -121,7 +134,11 @@ def read_batch(lake: Lake, spec: TableSpec, start: date, end: date, codes: DataF
         )
         if raw is None:
             continue
-        rows = cleaning.drop_null_keys(cleaning.clean(raw, spec), spec.keys)
+        for column, values in lake.accepted(spec).items():
+            if column in raw.columns:
+                raw = raw.where(F.col(column).isNull() | F.col(column).isin(*values))
+        stored = raw.drop(*[c for c, _ in spec.only if c not in spec.schema.names])
+        rows = cleaning.drop_null_keys(cleaning.clean(stored, spec), spec.keys)
         if spec.cursor:
             rows = rows.where(F.col(spec.cursor).between(F.lit(first), F.lit(end)))
         if spec.by_open_day:
@@ -140,6 +157,7 @@ class WriteResult:
     inserted: int
     newest: date | None
     added: tuple[str, ...] = ()
+    inserted_by_part: dict[str, int] = field(default_factory=dict)
 
 
 def write_batch(table: LakeTable, spec: TableSpec, batch: DataFrame, mode: str, newest: Column | None = None) -> WriteResult:
@@ -154,24 +172,26 @@ def write_batch(table: LakeTable, spec: TableSpec, batch: DataFrame, mode: str,
     order = (LANDING_ORDER,) if LANDING_ORDER in batch.columns else ()
     merged = merge.write_mode(mode)(table.read(parts, at), batch, spec.keys, order)
     after = table.replace(merged, parts, at)
+    before = {p.part: p.n_rows for p in at.parts}
+    inserted = {p: after.get(p, 0) - before.get(p, 0) for p in parts}
     added = tuple(c for c in batch.columns if c not in (*at.schema.names, *spec.partition_by, LANDING_ORDER))
     days = [r.newest for r in stats if r.newest is not None]
-    return WriteResult(sum(r.n for r in stats), after - at.n_rows(parts), max(days, default=None), added)
+    return WriteResult(sum(r.n for r in stats), sum(inserted.values()), max(days, default=None), added, inserted)
 
 
 def apply_retention(table: LakeTable, day: Column, cutoff: date) -> int:
-    """Drop whole months before the cutoff and rewrite the boundary month; returns the rows removed."""
+    """Drop whole months (or days) before the cutoff; rewrite its own month. Returns the rows removed."""
     at = table.snapshot()
-    month = cutoff.strftime("%Y-%m")
-    months = {p.part: p.part.split("/")[0].split("=")[1] for p in at.parts}
-    dated = {p: m for p, m in months.items() if m[:4].isdigit()}  # rows without a date stay
+    labels = {p.part: p.part.split("/")[0].split("=")[1] for p in at.parts}
+    dated = {p: label for p, label in labels.items() if label[:4].isdigit()}  # rows without a date stay
     removed = 0
-    boundary = [p for p, m in dated.items() if m == month]
+    boundary = [p for p, label in dated.items() if label == cutoff.strftime("%Y-%m")]
     if boundary:
         rows = table.read(boundary, at)
         if not rows.where(day < F.lit(cutoff)).isEmpty():
-            removed += at.n_rows(boundary) - table.replace(retention.keep_recent(rows, day, cutoff), boundary, at)
-    return removed + table.drop([p for p, m in dated.items() if m < month])
+            left = table.replace(retention.keep_recent(rows, day, cutoff), boundary, at)
+            removed += at.n_rows(boundary) - sum(left.values())
+    return removed + table.drop([p for p, label in dated.items() if label < cutoff.isoformat()[: len(label)]])
 
 
 def _next_cursor(spark: SparkSession, plan: TablePlan, result: WriteResult) -> date | None:

@@ -12,6 +12,7 @@ from collections.abc import Iterator
 from datetime import date
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.merge import union_by_name
@@ -22,28 +23,27 @@ BAR_COLUMNS = ("ts_code", "trade_time", "open", "high", "low", "close", "volume"
 SOURCE_FILE = "source_file"
 
 
-def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
+def file_headers(spark: SparkSession, path: str) -> DataFrame:
+    """(path, header) of every non-empty file; file contents are not loaded."""
 
+    # local functions travel to the executors by value, so these need not have the package installed
     def header(uri: str) -> str:
-        system, path = fs.FileSystem.from_uri(uri)
-        with system.open_input_stream(path, compression="detect") as stream:
-            text = b""
+        system, file = fs.FileSystem.from_uri(uri)
+        text = b""
+        with system.open_input_stream(file, compression="detect") as stream:
             while b"\n" not in text:
                 more = stream.read(1024)
                 if not more:
                     break
                 text += more
-        return text.split(b"\n", 1)[0].decode("utf-8").strip("\r﻿ \t")
-
-    for batch in batches:
-        # Spark prints local files as file:/x, the file system library wants file:///x
-        uris = batch["path"].str.replace(r"^file:/(?!/)", "file:///", regex=True)
-        yield pd.DataFrame({"path": batch["path"], "header": [header(u) for u in uris]})
+        return text.split(b"\n", 1)[0].decode("utf-8-sig").strip()
 
+    def first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            # Spark prints local files as file:/x, the file system library wants file:///x
+            uris = batch["path"].str.replace(r"^file:/(?!/)", "file:///", regex=True)
+            yield pd.DataFrame({"path": batch["path"], "header": [header(u) for u in uris]})
 
-def file_headers(spark: SparkSession, path: str) -> DataFrame:
-    """(path, header) of every non-empty file; file contents are not loaded."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -52,7 +52,7 @@ def file_headers(spark: SparkSession, path: str) -> DataFrame:
         .where(F.col("length") > 0)
         .select("path")
     )
-    return files.mapInPandas(_first_lines, "path string, header string").where(F.col("header") != "")
+    return files.mapInPandas(first_lines, "path string, header string").where(F.col("header") != "")
 
 
 def pick_files(files: DataFrame, start: date | None = None, end: date | None = None) -> DataFrame:

@@ -32,11 +32,13 @@ def cutoff_last_n(spark, sf_dir):
 
 @check(
     "prev_open_day",
-    f"""with {SQL_CAL} select exchange, cal_date,
-(select max(o.cal_date) from open_cal o where o.cal_date < cal.cal_date) as prev_open from cal where is_open = 1""",
+    f"""with {SQL_CAL}, p as (select exchange, cal_date, cal_date - 1 as pretrade_date,
+ (select max(o.cal_date) from open_cal o where o.cal_date < cal.cal_date) as prev_open from cal where is_open = 1)
+select *, prev_open is not distinct from pretrade_date as agrees from p""",
 )
 def prev_open_day(spark, sf_dir):
-    return cal_ops.previous_open_days(calendar(spark, sf_dir))
+    cal = calendar(spark, sf_dir).withColumn("pretrade_date", F.date_sub("cal_date", 1))
+    return cal_ops.previous_open_days(cal)
 
 
 @check(

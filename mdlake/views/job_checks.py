@@ -8,6 +8,7 @@ from pyspark.sql import functions as F, types as T
 
 from ..functions import dates
 from ..operators import cleaning
+from ..operators.retention import retention_split
 from ..plans import bars as bar_jobs, update as jobs
 from ..plans.specs import BARS, SPECS
 from ..session import scratch_path
@@ -130,6 +131,17 @@ def apply_retention(spark, sf_dir):
     return lake.rows()
 
 
+@check(
+    "retention_split",
+    """select o_orderpriority, count(*) filter (not coalesce(day < date '1998-06-17', false)) as rows_kept,
+ count(*) filter (day < date '1998-06-17') as rows_deleted
+from (select o_orderpriority, case when o_orderstatus <> 'P' then cast(o_orderdate as date) end as day from orders) group by 1""",
+)
+def retention_counts(spark, sf_dir):
+    day = F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate").cast("date"))
+    return retention_split(table(spark, sf_dir, "orders"), day, date(1998, 6, 17), [F.col("o_orderpriority")])
+
+
 # --- jobs -----------------------------------------------------------------------------------------------
 
 
@@ -214,7 +226,7 @@ def update_bars(spark, sf_dir):
     wanted = instruments(spark, sf_dir).where("c_acctbal > 0")
     bar_jobs.update_bars(lake, NOW, end=date(2024, 1, 18), codes=wanted, keep_open_days=10)
     bar_jobs.update_bars(lake, datetime(2024, 1, 30, 18, 0), codes=wanted, keep_open_days=15)
-    return lake.table(BARS).read().drop("trade_month")
+    return lake.table(BARS).read().drop("trade_day")
 
 
 @check(
@@ -226,7 +238,7 @@ def backfill_bars(spark, sf_dir):
     lake = _bar_lake(spark, sf_dir)
     bar_jobs.backfill_bars(lake, NOW, end=date(2024, 1, 30), keep_open_days=20, resume=True, max_days=7)
     bar_jobs.backfill_bars(lake, NOW, end=date(2024, 1, 30), keep_open_days=20, resume=True)
-    return lake.table(BARS).read().drop("trade_month")
+    return lake.table(BARS).read().drop("trade_day")
 
 
 # --- streams ----------------------------------------------------------------------------------------------

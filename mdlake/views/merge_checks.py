@@ -42,7 +42,7 @@ from merged, c where trade_date is null or trade_date >= cutoff""",
 def daily_refresh(spark, sf_dir):
     """Flagship: land as text, clean, merge, and keep the last 500 open days."""
     spec = SPECS["daily_raw"]
-    compact = F.date_format("trade_date", "yyyyMMdd")
+    compact = F.translate(F.col("trade_date").cast("string"), "-", "")
     feeds = [f.withColumn("trade_date", compact) for f in (daily(spark, sf_dir), basic(spark, sf_dir))]
     main, extra = (cleaning.drop_null_keys(cleaning.clean(f, spec), spec.keys) for f in feeds)
     cutoff = cutoff_last_open_days(calendar(spark, sf_dir), spec.keep_open_days, date(2000, 12, 31)).first().cutoff

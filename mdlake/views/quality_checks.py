@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 
 from ..functions import dates
 from ..operators import cleaning, quality, reshape
+from ..plans import repair
+from ..session import scratch_path
+from ..sources.lake import LakeTable
 from .base import SQL_BARS, bars, check, sql_shard, table
 from .cleaning_checks import CENTS, RAW_NUMBER, _duck_number
 
@@ -185,8 +188,7 @@ def convertibility(spark, sf_dir):
     return quality.convertibility(_text_orders(spark, sf_dir), list(TEXT_COLUMNS))
 
 
-@check(
-    "repair_types",
+SQL_REPAIRED = (
     "select o_orderkey, "
     + ", ".join(
         f"case when not coalesce({_sql_bad(c)[0]}, false) and not coalesce({_sql_bad(c)[1]}, false) then try_cast(trim({c}) as decimal(24,2)) end as {c}"
@@ -194,12 +196,27 @@ def convertibility(spark, sf_dir):
     )
     + " from (select o_orderkey, "
     + ", ".join(f"{e} as {c}" for c, e in TEXT_COLUMNS.items())
-    + " from orders)",
+    + " from orders)"
 )
+
+
+@check("repair_types", SQL_REPAIRED)
 def repair_types(spark, sf_dir):
     return quality.repair_types(_text_orders(spark, sf_dir), list(TEXT_COLUMNS))
 
 
+@check("repair_table", SQL_REPAIRED)
+def repair_table(spark, sf_dir):
+    """The same on a stored table: a dry run first, then a new revision."""
+    rows = _text_orders(spark, sf_dir)
+    stored = LakeTable(spark, scratch_path(spark, "drifted"), rows.schema)
+    stored.replace(rows, [""])
+    planned = repair.repair_table(stored, list(TEXT_COLUMNS))
+    assert planned.text_columns == tuple(TEXT_COLUMNS) and not planned.applied
+    repair.repair_table(stored, list(TEXT_COLUMNS), apply=True)
+    return stored.rows()
+
+
 @check(
     "schema_drift",
     f"""with {SQL_BARS}, s as (

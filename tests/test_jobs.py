@@ -10,9 +10,11 @@ import os
 import pytest
 from pyspark.sql import functions as F, types as T
 
+from mdlake.__main__ import main
 from mdlake.operators import quality, reshape
 from mdlake.plans import bars as bar_jobs, update as jobs
 from mdlake.plans.specs import ALL_SPECS, BARS, SPECS, STATE_SCHEMA, backfill_order, calendar_years, update_order
+from mdlake.plans.repair import repair_table
 from mdlake.sources.bars_csv import read_bars_csv
 from mdlake.sources.lake import LakeTable
 
@@ -199,6 +201,28 @@ def test_controlled_backfill(bar_lake):
     assert not bar_jobs.done_files(bar_lake).exists()
 
 
+def test_command_line(lake, capsys):
+    land(lake.landing, "adj_factor", [{"ts_code": "a.SZ", "trade_date": "20241230", "adj_factor": 1}])
+    land(lake.landing, "index_weight", [{"index_code": c, "con_code": "a.SZ", "trade_date": "20241202", "weight": "1.5"} for c in ("i1", "i2")])
+    place = ["--lake", lake.root, "--landing", lake.landing, "--index-codes", "i2"]
+    main([*place, "update", "--tables", "adj_factor,index_weight", "--until", "2024-12-31", "--no-delete"], NOW)
+    reports = json.loads(capsys.readouterr().out)
+    assert [(r["table"], r["rows_inserted"]) for r in reports] == [("trade_cal", 945), ("adj_factor", 1), ("index_weight", 1)]
+    with pytest.raises(SystemExit):
+        main([*place, "update-bars"], NOW)
+
+
+def test_repair_is_dry_by_default(spark, tmp_path):
+    drifted = LakeTable(spark, f"{tmp_path}/flow", "trade_date date, hgt string")
+    drifted.replace(spark.createDataFrame([(END, "1.005"), (None, "n/a")], "trade_date date, hgt string"), [""])
+    report = repair_table(drifted, ["hgt", "sgt"])
+    assert (report.text_columns, report.missing_columns, report.applied) == (("hgt",), ("sgt",), False)
+    assert report.bad_characters == {"hgt": 1} and drifted.snapshot().rev == 1
+    assert repair_table(drifted, ["hgt", "sgt"], apply=True).applied
+    assert sorted(str(r.hgt) for r in drifted.rows().collect()) == ["1.01", "None"]
+    assert repair_table(drifted, ["hgt"]).text_columns == ()
+
+
 # --- tables -----------------------------------------------------------------------------------------
 
 TABLE_SCHEMA = "k string, d date, v bigint"
