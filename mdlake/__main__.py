@@ -63,6 +63,7 @@ def _parser() -> argparse.ArgumentParser:
     fix.add_argument("--columns", default="", help="default: the numeric columns of the table's audit")
     fix.add_argument("--type", default=None)
     fix.add_argument("--apply", action="store_true", help="write (default: report only)")
+    commands.add_parser("vacuum", help="delete table revisions that are no longer in force")
     return parser
 
 
@@ -107,6 +108,8 @@ def run(args: argparse.Namespace, lake: jobs.Lake, now: datetime) -> object:
             args.reset_cursor, args.max_codes, args.max_days, args.no_delete,
         )
         return asdict(report)
+    if args.command == "vacuum":
+        return {name: lake.table(spec).vacuum() for name, spec in SPECS.items()}
     is_bars = args.table == bars.BARS.name
     columns = _names(args.columns) or list(repair.NUMERIC_BARS if is_bars else repair.NUMERIC_FLOW)
     target = args.type or ("double" if is_bars else "decimal(24,2)")

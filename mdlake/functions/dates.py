@@ -71,8 +71,8 @@ def parse_date_any(text: Column) -> Column:
 
 
 def compact_date(day: Column) -> Column:
-    """DATE to ``yyyymmdd`` text."""
-    return F.date_format(day, "yyyyMMdd")
+    """DATE (or the day of a timestamp) to ``yyyymmdd`` text."""
+    return F.translate(day.cast("date").cast("string"), "-", "")
 
 
 def compact_timestamp(stamp: Column) -> Column:
@@ -97,4 +97,4 @@ def month_start(day: Column) -> Column:
 
 def month_label(day: Column) -> Column:
     """``yyyy-MM`` text, the partition value of date-keyed tables."""
-    return F.date_format(day, "yyyy-MM")
+    return F.substring(day.cast("string"), 1, 7)

@@ -71,15 +71,16 @@ def delete_folder(spark: SparkSession, path: str) -> bool:
 
 
 @contextmanager
-def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+def staged(df: DataFrame, name: str, reader: SparkSession | None = None) -> Iterator[DataFrame]:
     """Evaluate once into parquet in the shared folder and read from there.
 
     A batch is used several times (touched partitions, distinct keys, rows). Staging parses the landed
     text once, lets later passes read single columns, and fixes the rows whatever executors get lost.
+    ``reader`` is the session to go on with, if another than the one that evaluates ``df``.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     try:
-        yield df.sparkSession.read.schema(df.schema).parquet(path)
+        yield (reader or df.sparkSession).read.schema(df.schema).parquet(path)
     finally:
         delete_folder(df.sparkSession, path)

@@ -39,15 +39,30 @@ def read_landed(
     end: date | None = None,
     **options: str,
 ) -> DataFrame:
-    """Rows of a feed in landing order, skipping day folders outside [start, end]."""
-    with_day = T.StructType([*schema.fields, T.StructField(LANDED_DAY, T.StringType())])
-    df = spark.read.schema(with_day).options(**options).format(fmt).load(f"{root}/{feed}")
-    day = F.col(LANDED_DAY)
+    """Rows of a feed in landing order, skipping day folders outside [start, end].
+
+    Text formats are read with the given schema; CSV needs a header that agrees with it, otherwise the
+    read fails, because Spark would assign columns by position. Columnar formats keep the types they
+    carry, and absent columns are NULL.
+    """
+    path = f"{root}/{feed}"
+    if fmt in ("parquet", "orc"):
+        df = spark.read.format(fmt).options(**options).load(path)
+        absent = [n for n in (*schema.names, LANDED_DAY) if n not in df.columns]
+    else:
+        if fmt == "csv":
+            options = {"header": "true", "enforceSchema": "false"} | options
+        with_day = T.StructType([*schema.fields, T.StructField(LANDED_DAY, T.StringType())])
+        df = spark.read.schema(with_day).options(**options).format(fmt).load(path)
+        absent = []
+    day = F.lit(None).cast("string") if LANDED_DAY in absent else F.col(LANDED_DAY).cast("string")
     if start is not None:
         df = df.where(day.isNull() | (day >= start.strftime("%Y%m%d")))
     if end is not None:
         df = df.where(day.isNull() | (day <= end.strftime("%Y%m%d")))
-    return with_landing_order(df).drop(LANDED_DAY)
+    ordered = with_landing_order(df).drop(LANDED_DAY)
+    missing = {n: F.lit(None).cast("string") for n in absent if n != LANDED_DAY}
+    return ordered.withColumns(missing) if missing else ordered
 
 
 def landed_or_none(*args, **kwargs) -> DataFrame | None:

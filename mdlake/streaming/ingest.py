@@ -47,7 +47,8 @@ def ingest(
         rows = post(batch).withColumnRenamed(order, "landing_order")
         if held is not None and held.exists():
             rows = rows.unionByName(held.rows())
-        with staged(rows, f"{spec.name}-{batch_id}") as fixed:
+        # micro-batches run without adaptive execution; the merge goes on in the table's own session
+        with staged(rows, f"{spec.name}-{batch_id}", table.spark) as fixed:
             if done_day is None:
                 write_batch(table, spec, fixed, mode)
                 return

@@ -13,10 +13,12 @@ from pyspark.sql import functions as F, types as T
 from mdlake.__main__ import main
 from mdlake.operators import quality, reshape
 from mdlake.plans import bars as bar_jobs, update as jobs
-from mdlake.plans.specs import ALL_SPECS, BARS, SPECS, STATE_SCHEMA, backfill_order, calendar_years, update_order
+from mdlake.plans.specs import ALL_SPECS, BARS, SPECS, STATE_SCHEMA, TableSpec, backfill_order, calendar_years, update_order
 from mdlake.plans.repair import repair_table
 from mdlake.sources.bars_csv import read_bars_csv
 from mdlake.sources.lake import LakeTable
+from mdlake.sources.landed import read_landed
+from mdlake.streaming.ingest import ingest, landed_stream
 
 NOW = datetime(2024, 12, 31, 16)
 END = date(2024, 12, 31)
@@ -223,6 +225,52 @@ def test_repair_is_dry_by_default(spark, tmp_path):
     assert repair_table(drifted, ["hgt"]).text_columns == ()
 
 
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_other_landing_formats(spark, tmp_path, fmt):
+    landing = f"{tmp_path}/in"
+    cal = spark.sql(
+        "select 'SSE' exchange, date_format(d, 'yyyyMMdd') cal_date, if(weekday(d) < 5, 1, 0) is_open, cast(null as string) pretrade_date "
+        "from (select explode(sequence(date '2022-06-01', date '2024-12-31')) d)"
+    )
+    writer = cal.write.option("header", "true") if fmt == "csv" else cal.drop("pretrade_date").write
+    writer.format(fmt).save(f"{landing}/trade_cal")
+    rows = spark.sql("select 'a.SZ' ts_code, '20241230' trade_date, 1.5D adj_factor")
+    rows.write.option("header", "true").format(fmt).save(f"{landing}/adj_factor/landed_day=20241230")
+    lake = jobs.Lake(spark, f"{tmp_path}/t", landing, fmt)
+    jobs.update(lake, ["adj_factor"], END, NOW)
+    assert content(lake.table(SPECS["adj_factor"]), "trade_date", "adj_factor") == [(date(2024, 12, 30), 1.5)]
+
+
+def test_csv_with_another_column_order_fails(spark, tmp_path):
+    swapped = spark.sql("select '20241230' trade_date, 'a.SZ' ts_code, 1.5D adj_factor")
+    swapped.write.option("header", "true").csv(f"{tmp_path}/adj_factor")
+    with pytest.raises(Exception, match="header"):
+        read_landed(spark, str(tmp_path), "adj_factor", SPECS["adj_factor"].landed()["adj_factor"], "csv").collect()
+
+
+def test_stream_holds_unfinished_days_and_survives_a_restart(spark, tmp_path):
+    ddl = "k string, d date, v int, seq int"
+    spec = TableSpec("ticks", ("k", "d"), "k string, d date, v int", cursor="d", keep_open_days=1, partition_by=("trade_month",))
+    ticks = LakeTable(spark, f"{tmp_path}/ticks", spec.schema, spec.partition_by)
+    held = LakeTable(spark, f"{tmp_path}/held", "k string, d date, v int, landing_order int")
+
+    def land_ticks(*rows):
+        spark.createDataFrame(rows, ddl).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+
+    def run(done, checkpoint="c1"):
+        stream = landed_stream(spark, f"{tmp_path}/in", T.StructType.fromDDL(ddl))
+        ingest(stream, ticks, spec, f"{tmp_path}/{checkpoint}", "seq", done_day=lambda: done, day=F.col("d"), held=held).awaitTermination()
+        return content(ticks, "k", "d", "v")
+
+    d1, d2 = date(2024, 1, 4), date(2024, 1, 5)
+    land_ticks(("a", d1, 1, 1), ("a", d2, 1, 1))
+    assert run(d1) == [("a", d1, 1)]
+    land_ticks(("a", d1, 2, 2), ("b", d2, 5, 2))  # a late revision and a second row of the unfinished day
+    assert run(d2) == [("a", d1, 2), ("a", d2, 1), ("b", d2, 5)]
+    assert run(d2, "c2") == [("a", d1, 2), ("a", d2, 1), ("b", d2, 5)]  # everything delivered again
+    assert held.rows().count() == 0
+
+
 # --- tables -----------------------------------------------------------------------------------------
 
 TABLE_SCHEMA = "k string, d date, v bigint"
