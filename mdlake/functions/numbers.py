@@ -8,6 +8,9 @@ from pyspark.sql import Column, functions as F
 # suffixes (1d), hex floats, NaN and Infinity, none of which is a vendor number.
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*\z"
 
+# The same without exponents or lengths that could overflow to infinity.
+SMALL_NUMBER = r"^\s*[+-]?(\d{1,200}\.?\d*|\.\d+)([eE][+-]?\d{1,2})?\s*\z"
+
 # Fixed value: characters that make a text column inconvertible in the audit's simple test.
 NON_NUMERIC = r"[^0-9.\-]"
 
@@ -23,7 +26,9 @@ def null_if_not_finite(value: Column) -> Column:
 
 def to_number(text: Column) -> Column:
     """Text to DOUBLE, NULL when it is not a finite plain number."""
-    return null_if_not_finite(F.when(text.rlike(NUMBER), text).try_cast("double"))
+    value = text.try_cast("double")
+    # ordinary numbers are matched and cast once; only the rest is looked at again
+    return F.when(text.rlike(SMALL_NUMBER), value).when(text.rlike(NUMBER), null_if_not_finite(value))
 
 
 def to_decimal(text: Column, precision: int = 24, scale: int = 2) -> Column:
