@@ -233,6 +233,13 @@ def update_table(
     return report
 
 
+def _known(names: Sequence[str]) -> list[TableSpec]:
+    unknown = [n for n in names if n not in SPECS or SPECS[n] is BARS]
+    if unknown:
+        raise ValueError(f"unknown daily tables: {unknown}")
+    return [SPECS[n] for n in names]
+
+
 def update(
     lake: Lake,
     tables: Sequence[str],
@@ -245,7 +252,7 @@ def update(
     no_delete: bool = False,
 ) -> list[TableReport]:
     """Update several tables, the calendar first and long enough for every retention window."""
-    ordered = [SPECS[t] for t in update_order(list(tables))]
+    ordered = _known(update_order(list(tables)))
     depth = calendar_years(max((s.keep_open_days or 0) for s in ordered))
     earliest = end - timedelta(days=365 * depth)
     cal_start = earliest if start is None else min(start, earliest)
@@ -280,6 +287,7 @@ def backfill_master(
     and date column.
     """
     names = backfill_order(list(tables) if tables is not None else [s for s in SPECS if s != BARS.name])
+    _known(names)
     reports = update(lake, ["trade_cal", "stock_basic"], end, now, write_mode=write_mode, no_delete=True)
     cutoff = retention_cutoff(lake, keep_open_days, end, "SSE")
     months = month_batches(lake.spark, cutoff, end)

@@ -16,7 +16,7 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
 }
 
 

@@ -104,6 +104,12 @@ def test_short_calendar_stops_the_run(spark, tmp_path):
         jobs.update(jobs.Lake(spark, f"{tmp_path}/t", f"{tmp_path}/in"), ["adj_factor"], END, NOW)
 
 
+@pytest.mark.parametrize("name", ["nothing", "minute_5m"])
+def test_unknown_tables_are_refused(lake, name):
+    with pytest.raises(ValueError, match="unknown"):
+        jobs.update(lake, [name], END, NOW)
+
+
 def test_codes_restrict_any_table(spark, lake):
     land(lake.landing, "suspend_d", [{"ts_code": c, "trade_date": "20241230", "suspend_type": "S"} for c in ("a.SZ", "b.SZ")])
     jobs.update(lake, ["suspend_d"], END, NOW, codes=spark.createDataFrame([("b.SZ",)], "ts_code string"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date
 
 from hypothesis import HealthCheck, given, settings, strategies as st
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F, types as T
 
@@ -104,6 +105,35 @@ def test_feed_merge_resolves_duplicates_first(spark):
     assert rows(merged) == [("A", DAY, 2.0, 0.2)]
 
 
+feed_rows = st.lists(st.tuples(st.sampled_from("ABC"), st.integers(4, 6), st.integers(0, 9)), max_size=8)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(feed_rows, feed_rows)
+def test_feed_merge_matches_day_by_day_pandas(spark, main_rows, extra_rows):
+    """One outer merge per day, an empty side passing the other unchanged."""
+    main = pd.DataFrame({(c, d): v for c, d, v in main_rows}.items(), columns=["k", "close"])
+    extra = pd.DataFrame({(c, d): v for c, d, v in extra_rows}.items(), columns=["k", "close"])
+    expected = set()
+    for day in {k[1] for k in [*main["k"], *extra["k"]]}:
+        a, b = (f[[k[1] == day for k in f["k"]]] for f in (main, extra))
+        b = b.assign(pe=b["close"] * 2)
+        if a.empty or b.empty:
+            merged = (b if a.empty else a).reindex(columns=["k", "close", "pe"])
+        else:
+            merged = a.merge(b.drop(columns=["close"]), on="k", how="outer")
+        expected |= {(*r.k, None if pd.isna(r.close) else r.close, None if pd.isna(r.pe) else r.pe) for r in merged.itertuples()}
+
+    def frame(rows, columns, extra_columns=()):
+        days = [(c, date(2024, 1, d), float(v), *[float(v) * 2 for _ in extra_columns], i) for i, (c, d, v) in enumerate(rows)]
+        return spark.createDataFrame(days, ", ".join([columns, *extra_columns, "seq int"]))
+
+    merged = merge.merge_feeds(
+        frame(main_rows, FEED), frame(extra_rows, FEED, ["pe double"]), ["ts_code", "trade_date"], "trade_date", order=["seq"]
+    )
+    assert {(r.ts_code, r.trade_date.day, r.close, r.pe) for r in merged.collect()} == expected
+
+
 def test_union_by_name_casts_first(spark):
     text = spark.createDataFrame([("x", "n/a"), ("y", "2")], "k string, v string")
     number = spark.createDataFrame([(3, "z")], "v bigint, k string")
