@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -184,7 +183,3 @@ def run_report(changes: DataFrame, by: list[str]) -> DataFrame:
         # one per insert, two per replaced row, none for identical rows: the count a server reports
         (counts["inserted"] + counts["updated"] * 2).alias("rows_affected"),
     )
-
-
-def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

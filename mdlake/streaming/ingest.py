@@ -7,7 +7,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import merge
 from ..plans.specs import TableSpec
 from ..plans.update import write_batch
 from ..session import staged

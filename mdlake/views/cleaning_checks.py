@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from ..functions import codes, dates, numbers
-from ..operators import cleaning
+from ..operators import cleaning, state
 from ..plans.specs import BARS, SPECS
 from .base import (
     SQL_BARS,
@@ -176,10 +176,8 @@ MARKER = "case when user_id % 4 = 3 then concat('x@', {n}) when user_id % 4 = 2
  case when user_id % 4 < 2 then greatest(event_id % 997 - 3, 0)::int else 0 end as resume_pos from events""",
 )
 def progress_marker(spark, sf_dir):
-    marker = F.expr(MARKER)
-    return table(spark, sf_dir, "events").select(
-        "event_id", codes.progress_day(marker).alias("resume_day"), codes.progress_position(marker).alias("resume_pos")
-    )
+    stored = table(spark, sf_dir, "events").select("event_id", F.expr(MARKER).alias("cursor_value"))
+    return state.resume_point(stored).drop("cursor_value")
 
 
 @check(

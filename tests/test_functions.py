@@ -150,6 +150,14 @@ def test_progress_markers(spark):
     assert evaluate(spark, values, codes.progress_position) == [40, 3, 0, 0, 0, 0, 0, 0]
 
 
+def test_progress_marker_round_trip(spark):
+    df = spark.createDataFrame([(date(2024, 1, 5), 40)], "d date, n int")
+    marker = codes.progress_marker(F.col("d"), F.col("n"))
+    assert tuple(df.select(marker, codes.progress_day(marker), codes.progress_position(marker)).first()) == (
+        "2024-01-05@40", date(2024, 1, 5), 40,
+    )
+
+
 def test_float_columns_become_text_without_fraction(spark):
     df = spark.createDataFrame([(20240131.0,), (20240131.5,), (float("nan"),)], "d double")
     assert [r.d for r in cleaning.normalize_dates(df, ["d"]).collect()] == [date(2024, 1, 31), None, None]
