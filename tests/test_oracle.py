@@ -5,9 +5,10 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from mdlake.views import registry
 from tests.compare import compare, duck
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(registry.queries())
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +17,7 @@ def connection(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(NAMES)
+    assert set(registry.oracles()) == set(NAMES)
 
 
 @pytest.mark.parametrize("name", NAMES)
