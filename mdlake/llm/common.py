@@ -38,7 +38,8 @@ def map_rows(df: DataFrame, rows: Callable[[Iterator[tuple]], Iterable[tuple]],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def source() -> Iterator[tuple]:
             for batch in batches:
-                yield from zip(*(column.to_pylist() for column in batch.columns))
+                for i in range(batch.num_rows):  # one row at a time as Python objects
+                    yield tuple(column[i].as_py() for column in batch.columns)
 
         def pack(out: list[tuple]) -> pa.RecordBatch:
             columns = zip(*out)

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from importlib import import_module
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 import public_tokenizers
 
-from . import bpe, conversations, line_dedup, sharding
+from . import bpe, conversations, decontaminate, line_dedup, pii, quality_model, quality_rules, sharding, simhash
 from .common import joined_sha256, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,11 +32,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+@query("op2_quality_trees")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_model.classify(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "held_out", "score", "predicted")
+
+
 @query("op3_byte_bpe")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
-    encoded = bpe.encode(documents(spark, sf_dir), path, pattern).drop("text")
-    return bpe.decode(encoded, path, pattern).select(
+    return bpe.round_trip(documents(spark, sf_dir), path, pattern).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         joined_sha256(F.col("ids"), " ").alias("ids_sha256"),
@@ -44,6 +49,80 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op4_semi_markov_pii")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = pii.find(docs, pii.fit(docs)).drop("text")
+
+    def rendered(spans: str) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *map(number, pii.KINDS),
+        F.sha2(rendered("base").cast("binary"), 256).alias("base_sha256"),
+        rendered("spans").alias("spans"),
+    )
+
+
+@query(
+    "op5_positional_decontamination",
+    r"""
+    with d as (
+        select row_number() over () as r, doc_id,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents
+    ), b as (
+        select item_id,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark where item_id is not null
+    ), windows as (
+        select item_id, least(len(w), 10) as k, array_to_string(w[s:s + 9], ' ') as phrase
+        from (select item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as s from b where len(w) > 0)
+    ), places as (
+        select r, s, k, array_to_string(w[s:s + k - 1], ' ') as phrase
+        from (select r, w, k, unnest(range(1, len(w) - k + 2)) as s
+              from d, (select distinct k from windows) where len(w) >= k)
+    ), hits as (
+        select distinct r, s, k, item_id from places join windows using (k, phrase)
+    ), covered as (
+        select r, count(distinct p) as n_hit from (select r, unnest(range(s, s + k)) as p from hits) group by r
+    ), items as (
+        select r, count(*) as n, string_agg(i, ',' order by i) as ids
+        from (select distinct r, cast(item_id as varchar) as i from hits) group by r
+    )
+    select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n, 0) as n_items,
+           sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+    from d left join covered using (r) left join items using (r)
+    """,
+)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = decontaminate.contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        joined_sha256(F.col("items"), ",").alias("items_sha256"),
+        "contaminated",
+    )
+
+
+@query("op6_simhash_tiles")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op7_isolation_rules")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.apply_rules(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *quality_rules.STATISTICS, "base_failed", "kept")
+
+
 @query(
     "op8_line_dedup",
     r"""
