@@ -8,7 +8,7 @@ from importlib import import_module
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 import public_tokenizers
 
-from . import bpe, conversations, decontaminate, line_dedup, pii, quality_model, quality_rules, sharding, simhash
+from . import bpe, conversations, decontaminate, line_dedup, pii, quality_model, quality_rules, sharding, simhash, substring
 from .common import joined_sha256, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,35 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+@query(
+    "op1_de_bruijn_dedup",
+    r"""
+    with d as (
+        select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+    ), windows as (
+        select r, doc_id, s, sha256(array_to_string(w[s:s + 12], ' ')) as h
+        from (select r, doc_id, w, unnest(range(1, len(w) - 11)) as s from d where len(w) >= 13)
+    ), firsts as (
+        select h, min(doc_id) as first from windows group by h
+    ), gone as (
+        select distinct r, unnest(range(s, s + 13)) as p from windows join firsts using (h) where doc_id > first
+    ), tokens as (
+        select r, unnest(w) as word, generate_subscripts(w, 1) as p from d
+    ), kept as (
+        select r, string_agg(word, ' ' order by p) as text, count(*) as n
+        from tokens anti join gone using (r, p) group by r
+    )
+    select doc_id, len(w) as n_words, len(w) - coalesce(n, 0) as n_removed, sha256(coalesce(kept.text, '')) as kept_sha256
+    from d left join kept using (r)
+    """,
+)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reduced = substring.remove_repeats(documents(spark, sf_dir))
+    return reduced.select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 @query("op2_quality_trees")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_model.classify(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
