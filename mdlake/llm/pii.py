@@ -277,6 +277,8 @@ def examples_of(text: str) -> Iterator[tuple[str, str, list[Span]]]:
         tokens, before = region
         start, end = tokens[0][0], tokens[-1][1]
         own = [(k, a - start, b - start) for k, a, b in spans if start <= a and b <= end]
+        if any(base_spans(text[a:b]) and not any(x < b - start and a - start < y for _, x, y in own) for a, b in tokens):
+            continue  # a token would match alone, but a longer match that failed swallowed it: no clear answer
         yield before, text[start:end], own
         if len(own) == 1:
             kind, a, b = own[0]
