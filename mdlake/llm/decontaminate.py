@@ -5,9 +5,9 @@ index is a stored table of postings (row, document, position, term) of those cor
 the benchmark, plus one posting of the empty term per row at the position after its last word. A window is
 ``size`` consecutive words of an item; a shorter item is one window.
 
-Search starts from the rarest term of each window. A posting of it at position p, for item position i, gives
-the offset p - i at which the item would have to lie in the document; only at such offsets are the lists of
-the other terms looked up, and runs of at least a window's length are phrases.
+Search starts from the ``LISTS`` rarest terms of each window. A posting at position p, for item position i,
+gives the offset p - i at which the item would have to lie in the document. Only at offsets that the lists of
+the rarest terms share are those of the other terms looked up; runs of a window's length or more are phrases.
 
 Null and empty texts have no words; items without words or without an id match nothing. Repeated rows are
 judged one by one, repeated item ids count as one item. Extra columns are ignored. Empty tables give empty
@@ -21,9 +21,10 @@ import string
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from ..session import scratch_path
+from ..session import checkpointed, scratch_path
 
 WINDOW = 10
+LISTS = 2
 # Fixed value: everything that separates words, once A-Z are lower-cased.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # Rows up to which a side is broadcast, after counting it; beyond, the join shuffles.
@@ -76,34 +77,46 @@ def build(docs: DataFrame, benchmark: DataFrame) -> Index:
     return Index(_stored(exploded.join(_small(terms, MAX_BROADCAST_TERMS), "term", "left_semi"), "postings"), items)
 
 
-def rarest(index: Index, size: int = WINDOW) -> DataFrame:
-    """(item, item_id, n, start, ipos, term): the position of the rarest term of each window that can occur."""
+def rarest(index: Index, size: int = WINDOW, lists: int = LISTS) -> DataFrame:
+    """(item, item_id, n, start, best): the positions and terms of the rarest terms of each window that can occur.
+
+    ``best`` is an array of (frequency, ipos, term), the rarest first.
+    """
     frequency = index.postings.groupBy("term").agg(F.count(F.lit(1)).alias("frequency"))
     counted = index.items.join(frequency, "term", "left").withColumn("frequency", F.coalesce("frequency", F.lit(0)))
     ahead = W.partitionBy("item").orderBy("ipos").rowsBetween(W.currentRow, size - 1)
-    best = F.min(F.struct("frequency", "ipos", "term")).over(ahead)
+    best = F.slice(F.sort_array(F.collect_list(F.struct("frequency", "ipos", "term")).over(ahead)), 1, lists)
     return (
         counted.select("item", "item_id", "n", F.col("ipos").alias("start"), best.alias("best"))
-        .where((F.col("start") <= F.greatest(F.col("n") - size, F.lit(0))) & (F.col("best.frequency") > 0))
-        .select("item", "item_id", "n", "start", "best.ipos", "best.term")
+        .where(F.col("start") <= F.greatest(F.col("n") - size, F.lit(0)))
+        .where(F.col("best")[0]["frequency"] > 0)
     )
 
 
+def offsets(index: Index, size: int = WINDOW) -> DataFrame:
+    """(row, item, offset): where the lists of a window's rarest terms, each shifted by its position, meet."""
+    best = checkpointed(rarest(index, size))
+    terms = best.select("item", F.explode("best").alias("b")).select("item", "b.ipos", "b.term").distinct()
+    wanted = best.groupBy("item").agg(F.collect_set(F.sort_array("best.ipos")).alias("wanted"))
+    met = (
+        index.postings.join(_small(terms, MAX_BROADCAST_TERMS), "term")
+        .select("row", "item", (F.col("pos") - F.col("ipos")).alias("offset"), "ipos")
+        .groupBy("row", "item", "offset")
+        .agg(F.collect_set("ipos").alias("met"))
+    )
+    complete = F.exists("wanted", lambda w: F.size(F.array_except(w, F.col("met"))) == 0)
+    return met.join(_small(wanted, MAX_BROADCAST_TERMS), "item").where(complete).select("row", "item", "offset")
+
+
 def phrases(index: Index, size: int = WINDOW) -> DataFrame:
     """(row, item_id, first, last): maximal runs of document positions where windows of an item occur."""
-    anchors = rarest(index, size).select("item", "ipos", "term").distinct()
-    offsets = _stored(
-        index.postings.join(_small(anchors, MAX_BROADCAST_TERMS), "term")
-        .select("row", "item", (F.col("pos") - F.col("ipos")).alias("offset"))
-        .distinct(),
-        "offsets",
-    )
+    offsets_ = _stored(offsets(index, size), "offsets")
     items = _small(index.items, MAX_BROADCAST_TERMS)
-    expected = offsets.join(items, "item").select(
+    expected = offsets_.join(items, "item").select(
         "row", "item", "item_id", "n", "offset", "ipos", "term", (F.col("offset") + F.col("ipos")).alias("pos")
     )
     near = index.postings.select("row", "pos", "term").join(
-        _small(offsets.select("row").distinct(), MAX_BROADCAST_ROWS), "row", "left_semi"
+        _small(offsets_.select("row").distinct(), MAX_BROADCAST_ROWS), "row", "left_semi"
     )
     found = expected.join(near, ["row", "pos", "term"])
     line = W.partitionBy("row", "item", "offset").orderBy("ipos")
@@ -120,7 +133,7 @@ def proximity(index: Index, slop: int, size: int = WINDOW) -> DataFrame:
     """(doc_id, item_id, start): windows whose every term occurs within ``size + slop`` words of a posting of
     the window's rarest term, in any order."""
     reach = size + slop
-    anchors = rarest(index, size)
+    anchors = rarest(index, size, 1).select("item", "item_id", "n", "start", F.col("best")[0]["term"].alias("term"))
     seeds = _stored(
         index.postings.join(anchors, "term").select("row", "doc_id", "item", "item_id", "n", "start", F.col("pos").alias("at")),
         "seeds",
