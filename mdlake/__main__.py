@@ -49,7 +49,7 @@ def _parser() -> argparse.ArgumentParser:
     master = add("backfill-master", "fill the daily tables month by month")
     master.add_argument("--tables", default="all")
     master.add_argument("--keep-open-days", type=int, default=500)
-    master.add_argument("--months-per-batch", type=int, default=1)
+    master.add_argument("--months-per-batch", type=int, default=0)
 
     full = add("backfill-bars", "fill the bars of every instrument")
     full.add_argument("--keep-open-days", type=int, default=250)

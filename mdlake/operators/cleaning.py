@@ -102,7 +102,9 @@ def to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
         if isinstance(field.dataType, T.DoubleType):
             casts[field.name] = as_number(df, field.name)
         elif isinstance(field.dataType, T.LongType):
-            casts[field.name] = as_number(df, field.name).try_cast("bigint")
+            # whole numbers keep every digit, other notations go through a double
+            whole = F.trim(column.cast("string")).try_cast("bigint") if isinstance(df.schema[field.name].dataType, T.StringType) else F.lit(None)
+            casts[field.name] = F.coalesce(whole, as_number(df, field.name).try_cast("bigint"))
         elif isinstance(field.dataType, T.DecimalType):
             target = field.dataType
             casts[field.name] = numbers.to_decimal(column.cast("string"), target.precision, target.scale)

@@ -10,7 +10,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import astuple, dataclass, field
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.dates import month_label
 from ..operators import calendar as cal_ops, cleaning, merge, retention, state, windows
@@ -124,26 +124,39 @@ def plan_tables(
     return {r.table_name: TablePlan(r.table_name, r.start, end, r.cutoff, r.cursor) for r in planned}
 
 
+def takes_codes(spec: TableSpec) -> bool:
+    """Whether a list of instruments restricts this table."""
+    return spec.by_instrument and "ts_code" in spec.schema.names
+
+
+def _wanted(raw: DataFrame, lake: Lake, spec: TableSpec, first: date, last: date) -> DataFrame:
+    """Accepted values, and the date range where the landed column is a date already."""
+    for column, values in lake.accepted(spec).items():
+        if column in raw.columns:
+            raw = raw.where(F.col(column).isNull() | F.col(column).isin(*values))
+    if spec.cursor in raw.columns and isinstance(raw.schema[spec.cursor].dataType, T.DateType):
+        raw = raw.where(F.col(spec.cursor).between(F.lit(first), F.lit(last)))
+    return raw
+
+
 def read_batch(lake: Lake, spec: TableSpec, start: date, end: date, codes: DataFrame | None = None) -> DataFrame | None:
     """Cleaned rows of a table's landed feeds within [start, end]; None when nothing ever landed."""
     first = start.replace(day=1) if spec.from_month_start else start
     feeds = []
     for feed, schema in spec.landed().items():
+        folders = (start, end) if spec.by_open_day else (None, None)
         raw = landed_or_none(
-            lake.spark, lake.landing, feed, schema, lake.fmt, start if spec.by_open_day else None, end if spec.by_open_day else None
+            lake.spark, lake.landing, feed, schema, lake.fmt, *folders, where=lambda df: _wanted(df, lake, spec, first, end)
         )
         if raw is None:
             continue
-        for column, values in lake.accepted(spec).items():
-            if column in raw.columns:
-                raw = raw.where(F.col(column).isNull() | F.col(column).isin(*values))
         stored = raw.drop(*[c for c, _ in spec.only if c not in spec.schema.names])
         rows = cleaning.drop_null_keys(cleaning.clean(stored, spec), spec.keys)
         if spec.cursor:
             rows = rows.where(F.col(spec.cursor).between(F.lit(first), F.lit(end)))
         if spec.by_open_day:
             rows = cal_ops.on_open_days(rows, lake.calendar(), F.col(spec.cursor), spec.exchange)
-        if codes is not None and "ts_code" in rows.columns:
+        if codes is not None and takes_codes(spec):
             rows = cleaning.only_codes(rows, codes)
         feeds.append(rows)
     if len(feeds) == 2:
@@ -194,11 +207,10 @@ def apply_retention(table: LakeTable, day: Column, cutoff: date) -> int:
     return removed + table.drop([p for p, label in dated.items() if label < cutoff.isoformat()[: len(label)]])
 
 
-def _next_cursor(spark: SparkSession, plan: TablePlan, result: WriteResult) -> date | None:
-    one = local_frame(spark, 
-        [(plan.cursor, result.newest, result.fetched, plan.end)], "cur date, newest date, n bigint, last date"
-    )
-    return one.select(state.advance_cursor(*[F.col(c) for c in ("cur", "newest", "n", "last")]).alias("c")).first().c
+def next_cursor(plan: TablePlan, result: WriteResult) -> date | None:
+    """The rule of ``state.advance_cursor`` for one table: the newest day with data, never back."""
+    reached = result.newest or (plan.end if result.fetched else plan.cursor)
+    return max((d for d in (reached, plan.cursor) if d), default=None)
 
 
 def update_table(
@@ -210,7 +222,11 @@ def update_table(
     write_mode: str = "upsert",
     no_delete: bool = False,
 ) -> TableReport:
-    """Bring one table up to date according to its plan."""
+    """Bring one table up to date according to its plan.
+
+    A run restricted to some codes writes their rows and leaves the cursor, so the others still load.
+    """
+    partial = codes is not None and takes_codes(spec)
     report = TableReport(
         spec.name, plan.start.isoformat(), plan.end.isoformat(), cursor_col=spec.cursor,
         retention_cutoff=plan.cutoff.isoformat() if plan.cutoff else None,
@@ -224,7 +240,7 @@ def update_table(
             result = write_batch(table, spec, rows, write_mode, newest)
     report.rows_fetched, report.rows_inserted, report.added_columns = result.fetched, result.inserted, result.added
     if spec.cursor:
-        following = _next_cursor(lake.spark, plan, result)
+        following = plan.cursor if partial else next_cursor(plan, result)
         report.cursor_value = following.isoformat() if following else None
         if following is not None and following != plan.cursor:
             lake.save_cursors([(MASTER, spec.name, spec.cursor, report.cursor_value)], now)
@@ -250,10 +266,14 @@ def update(
     codes: DataFrame | None = None,
     write_mode: str = "upsert",
     no_delete: bool = False,
+    keep_open_days: int = 0,
 ) -> list[TableReport]:
-    """Update several tables, the calendar first and long enough for every retention window."""
+    """Update several tables, the calendar first and long enough for every retention window.
+
+    ``keep_open_days`` is a window that later steps need, if wider than those of ``tables``.
+    """
     ordered = _known(update_order(list(tables)))
-    depth = calendar_years(max((s.keep_open_days or 0) for s in ordered))
+    depth = calendar_years(max(keep_open_days, *((s.keep_open_days or 0) for s in ordered)))
     earliest = end - timedelta(days=365 * depth)
     cal_start = earliest if start is None else min(start, earliest)
     plan = plan_tables(lake, ordered[:1], end, cal_start, lookback_days, no_delete)
@@ -279,38 +299,44 @@ def backfill_master(
     keep_open_days: int = 500,
     tables: Sequence[str] | None = None,
     write_mode: str = "upsert",
-    months_per_batch: int = 1,
+    months_per_batch: int = 0,
 ) -> list[TableReport]:
-    """Fill the last ``keep_open_days`` open days month by month, then enforce retention once.
+    """Fill the last ``keep_open_days`` open days, then enforce retention once.
 
-    Month batches coincide with the partitions a merge rewrites. Each table is cut by its own window
-    and date column.
+    Every feed is read once and written to all its months together, as the month is the partition that a
+    merge rewrites. With ``months_per_batch``, tables landed by open day, whose folders a narrower range
+    prunes, go in batches of that many months, so that a stopped run repeats less. Each table is cut by its own window
+    and date column, and a calendar too short for one of them is an error.
     """
     names = backfill_order(list(tables) if tables is not None else [s for s in SPECS if s != BARS.name])
-    _known(names)
-    reports = update(lake, ["trade_cal", "stock_basic"], end, now, write_mode=write_mode, no_delete=True)
+    widest = max([keep_open_days, *((s.keep_open_days or 0) for s in _known(names))])
+    reports = update(
+        lake, ["trade_cal", "stock_basic"], end, now, write_mode=write_mode, no_delete=True, keep_open_days=widest
+    )
     cutoff = retention_cutoff(lake, keep_open_days, end, "SSE")
-    months = month_batches(lake.spark, cutoff, end)
-    for i in range(0, len(months), months_per_batch):
-        first, last = months[i][0], months[min(i + months_per_batch, len(months)) - 1][1]
-        for name in names:
-            plan = plan_tables(lake, [SPECS[name]], last, first, no_delete=True)[name]
-            reports.append(update_table(lake, SPECS[name], plan, now, None, write_mode, no_delete=True))
+    own_cutoffs = {
+        name: retention_cutoff(lake, SPECS[name].keep_open_days, end, SPECS[name].exchange)
+        for name in names
+        if SPECS[name].keep_open_days
+    }
+    months = month_batches(lake.spark, cutoff, end) if months_per_batch else []
+    batches = [
+        (months[i][0], months[min(i + months_per_batch, len(months)) - 1][1])
+        for i in range(0, len(months), months_per_batch or 1)
+    ]
     for name in names:
         spec = SPECS[name]
-        table = lake.table(spec)
-        if spec.keep_open_days and table.exists():
-            own = cutoff if spec.keep_open_days == keep_open_days else _cutoff_or_none(lake, spec, end)
-            if own is not None:
-                removed = apply_retention(table, F.col(spec.day), own)
-                reports.append(TableReport(name, cutoff.isoformat(), end.isoformat(), rows_deleted=removed, retention_cutoff=own.isoformat()))
+        for first, last in batches if batches and spec.by_open_day else [(cutoff, end)]:
+            plan = plan_tables(lake, [spec], last, first, no_delete=True)[name]
+            reports.append(update_table(lake, spec, plan, now, None, write_mode, no_delete=True))
+    for name, own in own_cutoffs.items():
+        table = lake.table(SPECS[name])
+        if table.exists():
+            removed = apply_retention(table, F.col(SPECS[name].day), own)
+            reports.append(TableReport(name, cutoff.isoformat(), end.isoformat(), rows_deleted=removed, retention_cutoff=own.isoformat()))
     return reports
 
 
-def _cutoff_or_none(lake: Lake, spec: TableSpec, end: date) -> date | None:
-    return cal_ops.cutoff_last_open_days(lake.calendar(), spec.keep_open_days, end, spec.exchange).first().cutoff
-
-
 def report_frame(spark: SparkSession, reports: Sequence[TableReport]) -> DataFrame:
     """Reports as rows, one per table and batch."""
     ddl = (

@@ -65,6 +65,13 @@ def local_frame(spark: SparkSession, rows: Sequence[tuple], schema: str | T.Stru
     return spark.createDataFrame(pa.table(columns, schema=arrow), struct)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [entry.getPath().getName() for entry in system.listStatus(folder)] if system.exists(folder) else []
+
+
 def delete_folder(spark: SparkSession, path: str) -> bool:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return bool(folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True))

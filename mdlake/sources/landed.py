@@ -6,6 +6,7 @@ are read with an explicit schema; the day predicate prunes whole folders.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -37,10 +38,13 @@ def read_landed(
     fmt: str = "json",
     start: date | None = None,
     end: date | None = None,
+    where: Callable[[DataFrame], DataFrame] | None = None,
     **options: str,
 ) -> DataFrame:
     """Rows of a feed in landing order, skipping day folders outside [start, end].
 
+    ``where`` filters the raw rows before they are numbered, so that its conditions reach the scan.
+
     Text formats are read with the given schema; CSV needs a header that agrees with it, otherwise the
     read fails, because Spark would assign columns by position. Columnar formats keep the types they
     carry, and absent columns are NULL.
@@ -60,6 +64,8 @@ def read_landed(
         df = df.where(day.isNull() | (day >= start.strftime("%Y%m%d")))
     if end is not None:
         df = df.where(day.isNull() | (day <= end.strftime("%Y%m%d")))
+    if where is not None:
+        df = where(df)
     ordered = with_landing_order(df).drop(LANDED_DAY)
     missing = {n: F.lit(None).cast("string") for n in absent if n != LANDED_DAY}
     return ordered.withColumns(missing) if missing else ordered

@@ -108,7 +108,7 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def basic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ratios, landed on every day; overlaps the price feed in ``close``."""
-    li = table(spark, sf_dir, "lineitem").where("l_returnflag <> 'N'")
+    li = table(spark, sf_dir, "lineitem")
     return li.groupBy(
         code(F.col("l_suppkey")).alias("ts_code"), F.col("l_shipdate").cast("date").alias("trade_date")
     ).agg(F.min("l_extendedprice").alias("close"), F.max("l_tax").alias("pe"))
@@ -121,7 +121,7 @@ SQL_FEEDS = f"""daily as (
 basic as (
   select {sql_code('l_suppkey')} as ts_code, cast(l_shipdate as date) as trade_date, min(l_extendedprice) as close,
          max(l_tax) as pe
-  from lineitem where l_returnflag <> 'N' group by 1, 2)"""
+  from lineitem group by 1, 2)"""
 
 
 # --- bars -------------------------------------------------------------------------------------------

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from hypothesis import HealthCheck, given, settings, strategies as st
+from hypothesis import HealthCheck, example, given, settings, strategies as st
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -109,6 +109,9 @@ feed_rows = st.lists(st.tuples(st.sampled_from("ABC"), st.integers(4, 6), st.int
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@example([], [])
+@example([("A", 4, 1)], [])
+@example([], [("A", 4, 1)])
 @given(feed_rows, feed_rows)
 def test_feed_merge_matches_day_by_day_pandas(spark, main_rows, extra_rows):
     """One outer merge per day, an empty side passing the other unchanged."""
@@ -116,7 +119,7 @@ def test_feed_merge_matches_day_by_day_pandas(spark, main_rows, extra_rows):
     extra = pd.DataFrame({(c, d): v for c, d, v in extra_rows}.items(), columns=["k", "close"])
     expected = set()
     for day in {k[1] for k in [*main["k"], *extra["k"]]}:
-        a, b = (f[[k[1] == day for k in f["k"]]] for f in (main, extra))
+        a, b = (f[f["k"].map(lambda k: k[1] == day).astype(bool)] for f in (main, extra))
         b = b.assign(pe=b["close"] * 2)
         if a.empty or b.empty:
             merged = (b if a.empty else a).reindex(columns=["k", "close", "pe"])
