@@ -8,10 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import codes, dates, numbers
 from ..plans.specs import TableSpec
-from ..session import local_frame
-
-# Failed batches up to this number are broadcast by name; more are joined without a hint.
-BROADCAST_BATCHES = 10_000
 
 
 def raw_text(df: DataFrame, name: str) -> Column:
@@ -43,9 +39,8 @@ def normalize_timestamps(df: DataFrame, name: str, batch: str | None = None) ->
     """Parse 14-digit times.
 
     With ``batch`` (for bars: the source file) a batch in which no row parses strictly is read with the
-    generic formats instead. Failed batches are looked up first: usually there are none and no join is
-    needed, a few are broadcast, and beyond that a left equi-join lets adaptive execution split a batch
-    of any size.
+    generic formats instead. Batches and rows meet in a left join, which adaptive execution broadcasts if the
+    failed batches are few and splits if one of them is large.
     """
     if name not in df.columns or isinstance(df.schema[name].dataType, (T.TimestampNTZType, T.TimestampType)):
         return df
@@ -59,11 +54,6 @@ def normalize_timestamps(df: DataFrame, name: str, batch: str | None = None) ->
         .where(~F.col("_any"))
         .select("_failed_batch")
     )
-    some = failed.take(BROADCAST_BATCHES + 1)
-    if not some:
-        return df.withColumn(name, strict)
-    if len(some) <= BROADCAST_BATCHES:
-        failed = F.broadcast(local_frame(df.sparkSession, [tuple(r) for r in some], failed.schema))
     parsed = F.when(F.col("_failed_batch").isNull(), strict).otherwise(dates.parse_generic_timestamp(text))
     return (
         df.join(failed, F.col(batch) == F.col("_failed_batch"), "left")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
@@ -18,7 +19,6 @@ from .specs import BARS, SPECS
 from .update import Lake, apply_retention, retention_cutoff, write_batch
 
 FEED = BARS.name
-DONE_SCHEMA = "path string, header string"
 
 
 @dataclass(frozen=True)
@@ -55,45 +55,90 @@ def by_shard(values: dict[str, date | None], shard: Column) -> Column:
     return picked
 
 
-def parse_landed(lake: Lake, headers: DataFrame | None = None) -> DataFrame:
+def landed_path(lake: Lake) -> str:
+    return f"{lake.landing}/{FEED}"
+
+
+def parse_landed(lake: Lake, days: Sequence[str] | None = None) -> DataFrame:
     """Landed bars, parsed file by file and routed to shards."""
-    raw = bars_csv.read_bars_csv(lake.spark, f"{lake.landing}/{FEED}", headers=headers)
-    return cleaning.with_shard(cleaning.clean_bars(raw, BARS, bars_csv.SOURCE_FILE).drop(bars_csv.SOURCE_FILE))
+    raw = bars_csv.read_bars_csv(lake.spark, landed_path(lake), days=days)
+    return cleaning.with_shard(cleaning.clean_bars(raw, BARS, bars_csv.SOURCE_FILE))
 
 
-def usable(rows: DataFrame, cal: DataFrame, starts: dict[str, date], end: date) -> DataFrame:
-    """Bars with complete keys, inside a session of an open day, from the shard's start to the end."""
+def usable(rows: DataFrame, cal: DataFrame, starts: dict[str, date], ends: dict[str, date]) -> DataFrame:
+    """Bars with complete keys, inside a session of an open day, between the shard's start and end."""
     day = F.col("trade_time").cast("date")
-    # constant bounds reach the scan; the per-shard start then applies within them
+    # constant bounds reach the scan; the shards' own then apply within them
     first = F.lit(min(starts.values())).cast("timestamp_ntz")
     rows = cleaning.drop_null_keys(rows, BARS.keys).where(F.col("trade_time") >= first)
-    rows = rows.where(in_session(F.col("trade_time")) & (day >= by_shard(starts, F.col("shard"))) & (day <= F.lit(end)))
-    return cal_ops.on_open_days(rows, cal, day)
+    inside = (day >= by_shard(starts, F.col("shard"))) & (day <= by_shard(ends, F.col("shard")))
+    return cal_ops.on_open_days(rows.where(in_session(F.col("trade_time")) & inside), cal, day)
+
+
+def done_files(lake: Lake) -> LakeTable:
+    """Landed files that are loaded: path, length and modification time, per day folder."""
+    return LakeTable(lake.spark, f"{lake.root}/{BARS.name}_done", "path string, length bigint, modified bigint", (LANDED_DAY,))
+
+
+def pending_days(lake: Lake, listed: DataFrame) -> list[str]:
+    """Day folders with a file that is new or rewritten since it was loaded; "" stands for files outside of folders.
+
+    What to read is decided by files, not by cursors: a file that lands late, for whatever day of the window,
+    is loaded by the next run. The list is bounded by the calendar.
+    """
+    done = done_files(lake)
+    if done.exists():
+        listed = state.pending_units(listed, done.read(), ["path", "length", "modified"])
+    return sorted(r[LANDED_DAY] for r in listed.select(LANDED_DAY).distinct().collect())
 
 
 def _load(
     lake: Lake,
+    days: list[str],
     starts: dict[str, date],
-    end: date,
-    cursors: dict[str, date | None],
+    ends: dict[str, date],
     write_mode: str,
     codes: DataFrame | None,
-    headers: DataFrame | None,
-    now: datetime,
-) -> tuple[int, dict[str, int], dict[str, date | None]]:
+    listed: DataFrame | None,
+) -> tuple[int, dict[str, int], dict[str, date]]:
+    """Load whole day folders; (rows fetched, inserted per shard, newest day per shard).
+
+    The files of ``listed`` are recorded as done, except those with rows that a later run may want: on days
+    after the shard's end, or that the calendar does not know yet. A file outside a day folder is never done.
+    """
+    if not days:
+        return 0, {s: 0 for s in SHARDS}, {}
+    cal = lake.calendar()
     # text is parsed once, into the staged rows; every filter then works on typed columns
-    with staged(parse_landed(lake, headers), BARS.name) as parsed:
-        batch = usable(parsed, lake.calendar(), starts, end)
+    with staged(parse_landed(lake, days), BARS.name) as parsed:
+        batch = usable(parsed, cal, starts, ends).drop(bars_csv.SOURCE_FILE)
         if codes is not None:
             batch = cleaning.only_codes(batch, codes)
         day = F.col("trade_time").cast("date")
         newest = {r.shard: r.day for r in batch.groupBy("shard").agg(F.max(day).alias("day")).collect()}
         result = write_batch(lake.table(BARS), BARS, batch, write_mode)
-    moved = {s: max((d for d in (cursors[s], newest.get(s)) if d), default=None) for s in SHARDS}
+        if listed is not None:
+            dated = parsed.where(F.col("trade_time").isNotNull()).withColumn("_day", day)
+            known = cal.select(F.col("cal_date").alias("_day")).distinct()
+            later = dated.where(F.col("_day") > by_shard(ends, F.col("shard")))
+            wanted = later.select(bars_csv.SOURCE_FILE).union(
+                dated.join(known, "_day", "left_anti").select(bars_csv.SOURCE_FILE)
+            )
+            open_files = wanted.select(bars_csv.file_name(F.col(bars_csv.SOURCE_FILE)).alias("path")).distinct()
+            read = listed.where(F.col(LANDED_DAY).isin(*days) & (F.col(LANDED_DAY) != ""))
+            folders = [f"{LANDED_DAY}={d}" for d in days if d]
+            if folders:
+                done_files(lake).replace(read.join(open_files, "path", "left_anti"), folders)
+    inserted = {s: sum(n for p, n in result.inserted_by_part.items() if p.endswith(f"shard={s}")) for s in SHARDS}
+    return result.fetched, inserted, newest
+
+
+def _move_cursors(lake: Lake, cursors: dict[str, date | None], reached: dict[str, date], now: datetime) -> dict[str, date | None]:
+    """Never back; only changes are stored."""
+    moved = {s: max((d for d in (cursors[s], reached.get(s)) if d), default=None) for s in SHARDS}
     changed = [(s, BARS.name, BARS.cursor, d.isoformat()) for s, d in moved.items() if d and d != cursors[s]]
     lake.save_cursors(changed, now)
-    inserted = {s: sum(n for p, n in result.inserted_by_part.items() if p.endswith(f"shard={s}")) for s in SHARDS}
-    return result.fetched, inserted, moved
+    return moved
 
 
 def update_bars(
@@ -107,42 +152,71 @@ def update_bars(
     write_mode: str = "upsert",
     no_delete: bool = False,
 ) -> BarsReport:
-    """Load the open days after each shard's cursor and enforce retention."""
+    """Load the files that are new or rewritten since the last run, and enforce retention.
+
+    An explicit start or a look-back reads all files of its range again. The cursor is the newest day with
+    data; it only sets where a first run without retention starts. A run restricted to some codes reads all
+    files of its range, records none of them and leaves the cursors.
+    """
     last = resolve_end(lake, end, now)
     cutoff = None if no_delete else retention_cutoff(lake, keep_open_days, last, BARS.exchange)
     cursors = shard_cursors(lake)
-    rows = local_frame(lake.spark, [(s, start, cursors[s], cutoff) for s in SHARDS], "s string, r date, c date, k date")
-    # without a cutoff a first run starts at the end day
-    fallback = F.coalesce(F.col("k"), F.when(F.col("r").isNull() & F.col("c").isNull(), F.lit(last)))
-    begin = state.plan_start(F.coalesce("r", F.date_add("c", 1), fallback), F.col("c"), F.col("k"), F.lit(last), lookback_days)
-    starts = {r.s: r.b for r in rows.select("s", begin.alias("b")).collect()}
-    listed = bars_csv.file_headers(lake.spark, f"{lake.landing}/{FEED}")
-    headers = bars_csv.pick_files(listed, min(starts.values()), last)
-    fetched, inserted, moved = _load(lake, starts, last, cursors, write_mode, codes, headers, now)
+    known = [c for c in cursors.values() if c]
+    # without a cutoff a first run starts at the end day, and later ones at the first day ever recorded
+    floor = cutoff or (_first_recorded(lake) or min(known) if known else last)
+    begin = max(floor, start) if start and cutoff else start or floor
+    if lookback_days:
+        begin = max(min(begin, last - timedelta(days=2 * lookback_days)), cutoff or date.min)
+    listed = bars_csv.list_files(lake.spark, landed_path(lake), begin, last)
+    again = start is not None or lookback_days > 0 or codes is not None
+    days = sorted(r[0] for r in listed.select(LANDED_DAY).distinct().collect()) if again else pending_days(lake, listed)
+    starts, ends = {s: begin for s in SHARDS}, {s: last for s in SHARDS}
+    complete = codes is None and begin <= floor
+    fetched, inserted, newest = _load(lake, days, starts, ends, write_mode, codes, listed if complete else None)
+    moved = cursors if codes is not None else _move_cursors(lake, cursors, newest, now)
     deleted = _retain(lake.table(BARS), cutoff)
     return BarsReport(last, cutoff, fetched, sum(inserted.values()), deleted, moved, inserted)
 
 
+def _first_recorded(lake: Lake) -> date | None:
+    days = [p.part.split("=")[1] for p in done_files(lake).snapshot().parts]
+    return datetime.strptime(min(days), "%Y%m%d").date() if days else None
+
+
 def _retain(table: LakeTable, cutoff: date | None) -> int:
     if cutoff is None or not table.exists():
         return 0
     return apply_retention(table, F.col("trade_time").cast("date"), cutoff)
 
 
-def done_files(lake: Lake) -> LakeTable:
-    """Landed files already loaded: the resumable units of a backfill."""
-    return LakeTable(lake.spark, f"{lake.root}/{BARS.name}_done", DONE_SCHEMA)
-
+def newest_complete_days(
+    lake: Lake, universe: DataFrame, share: float = 1.0, first: date | None = None, last: date | None = None
+) -> dict[str, date]:
+    """Newest day per shard on which at least ``share`` of the codes expected to trade have bars.
 
-def newest_complete_days(lake: Lake, universe: DataFrame, share: float = 1.0) -> dict[str, date]:
-    """Newest day per shard on which at least ``share`` of the universe's codes have bars."""
-    stored = lake.table(BARS).read().select("shard", F.col("trade_time").cast("date").alias("day"), "ts_code")
-    expected = cleaning.with_shard(universe).groupBy("shard").agg(F.count(F.lit(1)).alias("expected"))
-    per_day = stored.groupBy("shard", "day").agg(F.count_distinct("ts_code").alias("n_codes"))
+    Codes suspended on a day are not expected. ``first`` and ``last`` prune the stored day partitions.
+    """
+    table = lake.table(BARS)
+    stored = table.read([p.part for p in table.snapshot().parts if _within(p.part, first, last)])
+    members = cleaning.with_shard(universe.select("ts_code").distinct())
+    traded = stored.select(F.col("trade_time").cast("date").alias("day"), "ts_code").distinct()
+    settled = traded
+    halts = lake.table(SPECS["suspend_d"])
+    if halts.exists():
+        halted = halts.rows().where("suspend_type = 'S'").select(F.col("trade_date").alias("day"), "ts_code")
+        # a day without any bars is not complete, however many codes are suspended
+        settled = traded.union(halted.join(traded.select("day").distinct(), "day", "left_semi")).distinct()
+    expected = members.groupBy("shard").agg(F.count(F.lit(1)).alias("expected"))
+    per_day = settled.join(members, "ts_code").groupBy("shard", "day").agg(F.count(F.lit(1)).alias("n_codes"))
     complete = per_day.join(expected, "shard").where(F.col("n_codes") >= F.col("expected") * share)
     return {r.shard: r.day for r in complete.groupBy("shard").agg(F.max("day").alias("day")).collect()}
 
 
+def _within(part: str, first: date | None, last: date | None) -> bool:
+    day = part.split("/")[0].split("=")[1]
+    return (first is None or day >= first.isoformat()) and (last is None or day <= last.isoformat())
+
+
 def backfill_bars(
     lake: Lake,
     now: datetime,
@@ -157,41 +231,36 @@ def backfill_bars(
 ) -> BarsReport:
     """Load the last ``keep_open_days`` open days of every instrument.
 
-    With ``resume``, shards continue after their cursor, moved up first to the newest complete day
-    already stored, and files recorded as done are skipped. ``max_codes`` and ``max_days`` limit
-    controlled runs.
+    With ``resume``, only day folders with new or rewritten files are read, whatever the cursors say, and the
+    cursors move to the newest complete day. ``max_days`` ends each shard that many open days after its cursor.
+    A controlled run with ``max_codes`` writes rows but neither moves cursors nor records files. Instruments
+    that join the universe later need a run with ``reset_cursor``, which reads every file of the window.
     """
     last = resolve_end(lake, end, now)
     cutoff = retention_cutoff(lake, keep_open_days, last, BARS.exchange)
     universe = cleaning.universe(lake.table(SPECS["stock_basic"]).rows())
-    if max_codes:
-        universe = universe.orderBy("ts_code").limit(max_codes)
+    chosen = universe.orderBy("ts_code").limit(max_codes) if max_codes else universe
     cursors = shard_cursors(lake)
-    if reset_cursor:
+    if reset_cursor and not max_codes:
         cursors = {s: cutoff - timedelta(days=1) for s in SHARDS}
         lake.save_cursors([(s, BARS.name, BARS.cursor, d.isoformat()) for s, d in cursors.items()], now)
-    elif resume and lake.table(BARS).exists():
-        newest = newest_complete_days(lake, universe)
-        rows = local_frame(lake.spark, [(s, cursors[s], newest.get(s)) for s in SHARDS], "s string, c date, n date")
-        moved = state.fast_forward(F.col("c"), F.col("n"), F.lit(cutoff), F.lit(last))
-        ahead = {r.s: r.m for r in rows.select("s", moved.alias("m")).collect()}
-        lake.save_cursors(
-            [(s, BARS.name, BARS.cursor, d.isoformat()) for s, d in ahead.items() if d and d != cursors[s]], now
-        )
-        cursors = ahead
-    starts = {
-        s: max(cutoff, cursors[s] + timedelta(days=1)) if resume and cursors[s] else cutoff for s in SHARDS
-    }
+    ends = {s: last for s in SHARDS}
     if max_days:
-        days = cal_ops.open_days(lake.calendar(), BARS.exchange, min(starts.values()), last).orderBy("cal_date").limit(max_days)
-        last = days.agg(F.coalesce(F.max("cal_date"), F.lit(last)).alias("d")).first().d
-    done = done_files(lake)
-    listed = bars_csv.pick_files(bars_csv.file_headers(lake.spark, f"{lake.landing}/{FEED}"), min(starts.values()), last)
-    headers = state.pending_units(listed, done.rows(), ["path"]) if resume and not reset_cursor and done.exists() else listed
-    fetched, inserted, moved_cursors = _load(lake, starts, last, cursors, write_mode, universe, headers, now)
-    if not max_codes:
-        # a file outside a day folder may hold other days too, so it is never recorded as finished
-        finished = headers.where(F.col("path").contains(f"/{LANDED_DAY}="))
-        done.replace(done.rows().union(finished.select("path", "header")).dropDuplicates(["path"]), [""])
+        open_days = cal_ops.open_days(lake.calendar(), BARS.exchange, cutoff, last).select("cal_date").distinct()
+        ordered = sorted(r.cal_date for r in open_days.collect())  # at most keep_open_days of them
+        for s in SHARDS:
+            ahead = [d for d in ordered if not (resume and cursors[s]) or d > cursors[s]][:max_days]
+            ends[s] = ahead[-1] if ahead else last
+    listed = bars_csv.list_files(lake.spark, landed_path(lake), cutoff, max(ends.values()))
+    if resume and not reset_cursor:
+        days = pending_days(lake, listed)
+    else:
+        days = sorted(r[LANDED_DAY] for r in listed.select(LANDED_DAY).distinct().collect())
+    starts = {s: cutoff for s in SHARDS}
+    fetched, inserted, _ = _load(lake, days, starts, ends, write_mode, chosen, None if max_codes else listed)
+    if not max_codes and lake.table(BARS).exists():
+        ahead_of = min((c for c in cursors.values() if c), default=cutoff)
+        complete = newest_complete_days(lake, universe, first=max(cutoff, ahead_of), last=max(ends.values()))
+        cursors = _move_cursors(lake, cursors, {s: min(d, ends[s]) for s, d in complete.items()}, now)
     deleted = 0 if no_delete else _retain(lake.table(BARS), cutoff)
-    return BarsReport(last, cutoff, fetched, sum(inserted.values()), deleted, moved_cursors, inserted)
+    return BarsReport(last, cutoff, fetched, sum(inserted.values()), deleted, cursors, inserted)

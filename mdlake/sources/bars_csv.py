@@ -1,94 +1,101 @@
 """Intraday bars landed as gzip CSV with a header.
 
-Spark maps CSV columns by position, but the files do not agree on column order. File headers are read
-first (one line each, in tasks), files are grouped by header, and each group is scanned by Spark with
-its own column order. Empty files yield no rows.
+Spark maps CSV columns by position, but the files do not agree on column order. The files are read once,
+without their header lines being taken for names; each file's first row then says which position holds which
+column, and rows and headers meet in a join by file. Empty files yield no rows.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Sequence
 from datetime import date
 
-import pandas as pd
-from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..operators.merge import union_by_name
+from ..session import checkpointed
 from .landed import LANDED_DAY, LANDING_ORDER, with_landing_order
 
 # The columns of a bar file.
 BAR_COLUMNS = ("ts_code", "trade_time", "open", "high", "low", "close", "volume", "amount")
 SOURCE_FILE = "source_file"
-
-
-def file_headers(spark: SparkSession, path: str) -> DataFrame:
-    """(path, header) of every non-empty file; file contents are not loaded."""
-
-    # local functions travel to the executors by value, so these need not have the package installed
-    def header(uri: str) -> str:
-        system, file = fs.FileSystem.from_uri(uri)
-        text = b""
-        with system.open_input_stream(file, compression="detect") as stream:
-            while b"\n" not in text:
-                more = stream.read(1024)
-                if not more:
-                    break
-                text += more
-        return text.split(b"\n", 1)[0].decode("utf-8-sig").strip()
-
-    def first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            # Spark prints local files as file:/x, the file system library wants file:///x
-            uris = batch["path"].str.replace(r"^file:/(?!/)", "file:///", regex=True)
-            yield pd.DataFrame({"path": batch["path"], "header": [header(u) for u in uris]})
-
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.csv*")
-        .load(path)
-        .where(F.col("length") > 0)
-        .select("path")
-    )
-    return files.mapInPandas(first_lines, "path string, header string").where(F.col("header") != "")
-
-
-def pick_files(files: DataFrame, start: date | None = None, end: date | None = None) -> DataFrame:
-    """Skip files in day folders (``landed_day=yyyymmdd``) outside [start, end]."""
+MAX_COLUMNS = 32
+FILES = "path string, length bigint, modified bigint, landed_day string"
+
+
+def file_name(path: Column) -> Column:
+    """One spelling of a file's address, whichever reader names it."""
+    return F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/")
+
+
+def list_files(spark: SparkSession, path: str, start: date | None = None, end: date | None = None) -> DataFrame:
+    """(path, length, modified, landed_day) of the non-empty files in day folders within [start, end] and outside
+    of day folders, where the day is empty. A missing folder has no files."""
+    try:
+        found = (
+            spark.read.format("binaryFile")
+            .option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.csv*")
+            .load(path)
+        )
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], FILES)
+        raise
     day = F.regexp_extract("path", rf"/{LANDED_DAY}=(\d{{8}})/", 1)
+    files = found.where(F.col("length") > 0).select(
+        file_name(F.col("path")).alias("path"), "length", F.unix_micros("modificationTime").alias("modified"), day.alias(LANDED_DAY)
+    )
     if start is not None:
-        files = files.where((day == "") | (day >= start.strftime("%Y%m%d")))
+        files = files.where((F.col(LANDED_DAY) == "") | (F.col(LANDED_DAY) >= start.strftime("%Y%m%d")))
     if end is not None:
-        files = files.where((day == "") | (day <= end.strftime("%Y%m%d")))
+        files = files.where((F.col(LANDED_DAY) == "") | (F.col(LANDED_DAY) <= end.strftime("%Y%m%d")))
     return files
 
 
 def read_bars_csv(
-    spark: SparkSession, path: str, columns: tuple[str, ...] = BAR_COLUMNS, headers: DataFrame | None = None
+    spark: SparkSession, path: str, columns: tuple[str, ...] = BAR_COLUMNS, days: Sequence[str] | None = None
 ) -> DataFrame:
     """All bars under ``path`` as text columns by header name, plus file and landing order of each row.
 
-    ``headers`` restricts the read to some of the files :func:`file_headers` lists.
+    ``days`` restricts the read to some day folders, an empty text standing for files outside of them. A file
+    may have up to ``MAX_COLUMNS`` columns.
     """
-    groups: dict[str, list[str]] = defaultdict(list)
-    listed = file_headers(spark, path) if headers is None else headers
-    for row in listed.toLocalIterator():  # file names only, as in any file listing
-        groups[row.header].append(row.path)
-    frames = []
-    for header, paths in sorted(groups.items()):
-        names = [h.strip().strip('"') for h in header.split(",")]
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        part = spark.read.schema(schema).option("header", "true").csv(paths)
-        frames.append(with_landing_order(part).withColumn(SOURCE_FILE, F.col(f"{LANDING_ORDER}.file")))
-    if not frames:
+    positions = [f"_c{i}" for i in range(MAX_COLUMNS)]
+    reader = spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in positions]))
+    reader = reader.option("pathGlobFilter", "*.csv*")
+    if days is None:
+        raw = reader.option("recursiveFileLookup", "true").csv(path)
+    else:
+        folders = [f"{path}/{LANDED_DAY}={d}" for d in days if d] + [f"{path}/*.csv*"] * ("" in days)
+        raw = reader.csv(folders) if folders else None
+    if raw is None:
         schema = T.StructType([T.StructField(n, T.StringType()) for n in (*columns, SOURCE_FILE)])
         position = "struct<file_time timestamp, file string, split bigint, row bigint>"
         return spark.createDataFrame([], schema).withColumn(LANDING_ORDER, F.lit(None).cast(position))
-    rows = union_by_name(frames)
-    absent = {n: F.lit(None).cast("string") for n in columns if n not in rows.columns}
-    return rows.withColumns(absent).select(*columns, SOURCE_FILE, LANDING_ORDER)
+    fields = F.array(*[F.col(n) for n in positions])
+    # unzipped and split into fields once; the header and the rows are taken from here
+    rows = checkpointed(
+        with_landing_order(raw).select(
+            F.col(f"{LANDING_ORDER}.file").alias(SOURCE_FILE),
+            LANDING_ORDER,
+            F.filter(fields, lambda f: f.isNotNull()).alias("_filled"),
+            fields.alias("_fields"),
+        )
+    )
+    first = F.min_by(F.struct("_filled", LANDING_ORDER), LANDING_ORDER)
+    headers = rows.groupBy(SOURCE_FILE).agg(first.alias("_first")).select(
+        SOURCE_FILE,
+        F.transform("_first._filled", lambda n: F.trim(F.ltrim(n, F.lit("﻿")))).alias("_names"),
+        F.col(f"_first.{LANDING_ORDER}").alias("_header_at"),
+    )
+    body = rows.join(headers, SOURCE_FILE).where(F.col(LANDING_ORDER) != F.col("_header_at"))
+
+    def named(name: str) -> Column:
+        position = F.array_position("_names", name)
+        return F.when(position > 0, F.get("_fields", (position - 1).cast("int"))).alias(name)
+
+    return body.select(*map(named, columns), SOURCE_FILE, LANDING_ORDER)
 
 
 def write_bars_csv(bars: DataFrame, path: str) -> None:

@@ -16,7 +16,7 @@ from mdlake.plans import bars as bar_jobs, update as jobs
 from mdlake.plans.specs import ALL_SPECS, BARS, SPECS, STATE_SCHEMA, TableSpec, backfill_order, calendar_years, update_order
 from mdlake.plans.repair import repair_table
 from mdlake.sources.bars_csv import read_bars_csv
-from mdlake.sources.lake import LakeTable
+from mdlake.sources.lake import LakeTable, StaleSnapshot
 from mdlake.sources.landed import read_landed
 from mdlake.streaming.ingest import ingest, landed_stream
 
@@ -198,10 +198,70 @@ def test_backfill_resumes_with_missing_files_only(bar_lake):
 
 
 def test_half_loaded_day_is_not_skipped(bar_lake):
-    """The newest stored day lacks one code, so the cursor is not moved past it."""
+    """The newest stored day lacks one code: the cursor stays before it, and what lands later is loaded."""
+    table, stored = bar_lake.table(BARS), ("ts_code", "trade_time", "close")
+    assert bar_jobs.backfill_bars(bar_lake, NOW, resume=True).cursors["P2"] == date(2024, 12, 2)
+    assert len(content(table, *stored)) == 3
+    land_bars(bar_lake.landing, "b", BAR_HEADER, [bar("000002.SZ", "20241203100000")], "20241203")
+    land_bars(bar_lake.landing, "z", BAR_HEADER, [bar("000002.SZ", "20241202100000")], "20241202")  # behind the cursor
+    second = bar_jobs.backfill_bars(bar_lake, NOW, resume=True)
+    assert second.cursors["P2"] == date(2024, 12, 3) and second.rows_inserted == 2
+    assert [r[:2] for r in content(table, *stored)] == [
+        ("000001.SZ", datetime(2024, 12, 2, 9, 35)), ("000001.SZ", datetime(2024, 12, 3, 10, 0)),
+        ("000002.SZ", datetime(2024, 12, 2, 9, 35)), ("000002.SZ", datetime(2024, 12, 2, 10, 0)),
+        ("000002.SZ", datetime(2024, 12, 3, 10, 0)),
+    ]
+
+
+def test_suspended_codes_are_not_waited_for(bar_lake):
+    land(bar_lake.landing, "suspend_d", [{"ts_code": "000002.SZ", "trade_date": "20241203", "suspend_type": "S"}])
+    jobs.update(bar_lake, ["suspend_d"], END, NOW)
+    assert bar_jobs.backfill_bars(bar_lake, NOW, resume=True).cursors["P2"] == date(2024, 12, 3)
+
+
+def test_rewritten_file_is_read_again(bar_lake):
+    bar_jobs.update_bars(bar_lake, NOW)
+    land_bars(bar_lake.landing, "a", BAR_HEADER, ["000001.SZ,20241203100000,1,2,3,9,5,6", bar("000001.SZ", "20241203100500")], "20241203")
+    assert bar_jobs.update_bars(bar_lake, NOW).rows_inserted == 1
+    closes = bar_lake.table(BARS).rows().where("trade_time = timestamp_ntz '2024-12-03 10:00:00'")
+    assert [r.close for r in closes.collect()] == [9.0]
+
+
+def test_late_rows_of_an_unfinished_day_wait_in_their_file(bar_lake):
+    """A file with rows after the end day is offered again."""
+    land_bars(bar_lake.landing, "m", BAR_HEADER, [bar("000001.SZ", "20241202101000"), bar("000001.SZ", "20241204101000")], "20241202")
     bar_jobs.update_bars(bar_lake, NOW, end=date(2024, 12, 3))
-    universe = bar_lake.table(SPECS["stock_basic"]).rows().select("ts_code")
-    assert bar_jobs.newest_complete_days(bar_lake, universe) == {"P2": date(2024, 12, 2)}
+    bar_jobs.update_bars(bar_lake, NOW)
+    assert bar_lake.table(BARS).rows().where("trade_time >= timestamp_ntz '2024-12-04 00:00:00'").count() == 1
+
+
+def test_missing_bar_landing_loads_nothing(lake):
+    land(lake.landing, "stock_basic", [{"ts_code": "000001.SZ"}])
+    jobs.update(lake, ["stock_basic"], END, NOW)
+    assert bar_jobs.update_bars(lake, NOW).rows_fetched == 0 == bar_jobs.backfill_bars(lake, NOW, resume=True).rows_fetched
+
+
+def test_partial_runs_leave_the_rest_to_load(spark, bar_lake):
+    one = spark.createDataFrame([("000001.SZ",)], "ts_code string")
+    land(bar_lake.landing, "adj_factor", [{"ts_code": c, "trade_date": "20241230", "adj_factor": 1} for c in ("000001.SZ", "000002.SZ")])
+    land(bar_lake.landing, "index_daily", [{"ts_code": "000300.SH", "trade_date": "20241230", "close": 1}])
+    jobs.update(bar_lake, ["adj_factor", "index_daily"], END, NOW, codes=one)
+    assert content(bar_lake.table(SPECS["index_daily"]), "ts_code") == [("000300.SH",)]  # an index is no instrument
+    jobs.update(bar_lake, ["adj_factor"], END, NOW)
+    assert len(content(bar_lake.table(SPECS["adj_factor"]), "ts_code")) == 2
+    bar_jobs.update_bars(bar_lake, NOW, codes=one)
+    assert bar_jobs.shard_cursors(bar_lake)["P2"] is None
+    bar_jobs.backfill_bars(bar_lake, NOW, max_codes=1)
+    assert bar_jobs.shard_cursors(bar_lake)["P2"] is None
+    bar_jobs.backfill_bars(bar_lake, NOW, resume=True)
+    assert len(content(bar_lake.table(BARS), "ts_code")) == 3
+
+
+def test_limited_days_continue(bar_lake):
+    first = bar_jobs.backfill_bars(bar_lake, NOW, keep_open_days=22, resume=True, max_days=1)
+    assert (first.rows_inserted, first.cursors["P2"]) == (2, date(2024, 12, 2))
+    second = bar_jobs.backfill_bars(bar_lake, NOW, keep_open_days=22, resume=True, max_days=1)
+    assert second.rows_inserted == 1 and len(content(bar_lake.table(BARS), "ts_code")) == 3
 
 
 def test_controlled_backfill(bar_lake):
@@ -331,6 +391,30 @@ def test_undated_rows_survive_retention(spark, tmp_path):
     assert jobs.apply_retention(undated, F.col("d"), date(2024, 2, 10)) == 0
 
 
+def test_second_writer_from_one_snapshot_is_refused(spark, table):
+    at = table.snapshot()
+    table.replace(sample(spark, 60, 91, 2), ["trade_month=2024-03"], at)
+    with pytest.raises(StaleSnapshot):
+        table.replace(sample(spark, 0, 31, 3), ["trade_month=2024-01"], at)
+    assert table.rows().where("v > 99").count() == 31 and table.rows().count() == 100
+    table.replace(sample(spark, 0, 31, 3), ["trade_month=2024-01"])
+    assert table.rows().count() == 100
+    assert table.vacuum() == 2 + 1  # two replaced partitions and the refused write
+
+
+def test_long_log_is_cut_into_spans(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("mdlake.sources.lake.SPAN", 4)
+    made = LakeTable(spark, f"{tmp_path}/t", TABLE_SCHEMA, ("trade_month",), ("k",))
+    made.replace(sample(spark, 0, 100), [])
+    for i in range(2, 8):
+        made.replace(sample(spark, 60, 91, i), ["trade_month=2024-03"])
+    at = made.snapshot()
+    assert at.rev == 7 and at.n_rows() == 100 and at.schema.names == ["k", "d", "v"]
+    assert made._log().count() == 4 + 3  # the live partitions, then one row per revision
+    made.vacuum()
+    assert made.rows().agg(F.sum("v")).first()[0] == sum(range(60)) + 7 * sum(range(60, 91)) + sum(range(91, 100))
+
+
 def test_vacuum_removes_old_revisions_only(spark, table):
     table.replace(sample(spark, 60, 91, 2), ["trade_month=2024-03"])
     before = content(table, "k", "v")
