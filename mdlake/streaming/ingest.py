@@ -39,8 +39,11 @@ def ingest(
 
     A batch delivered twice changes nothing, because rows are merged by key in landing order. Late and
     revised rows are merged like any others. With ``done_day`` rows of unfinished sessions are put into
-    ``held`` and offered again with the next batch.
+    ``held`` and offered again with the next batch. Sessions finished since the last run are released before
+    the stream starts, as without new files it runs no batch.
     """
+    if held is not None and done_day is not None:
+        release_held(table, spec, held, F.lit(done_day()), day, mode)
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         rows = post(batch).withColumnRenamed(order, "landing_order")
@@ -63,6 +66,18 @@ def ingest(
     )
 
 
+def release_held(table: LakeTable, spec: TableSpec, held: LakeTable, limit: Column, day: Column, mode: str = "upsert") -> int:
+    """Merge held rows of days up to ``limit`` into the table; returns their number."""
+    if not held.exists():
+        return 0
+    at = held.snapshot()
+    with staged(held.read(at=at).drop(*held.partition_by), f"{spec.name}-held", table.spark) as rows:
+        merged = write_batch(table, spec, rows.where(day <= limit), mode)
+        if merged.fetched:
+            held.replace(rows.where(day > limit), [""], at)
+    return merged.fetched
+
+
 def distinct_stream(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
     """First delivery of each key, for feeds that only ever insert.
 

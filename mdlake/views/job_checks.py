@@ -11,7 +11,7 @@ from ..operators import cleaning
 from ..operators.retention import retention_split
 from ..plans import bars as bar_jobs, update as jobs
 from ..plans.specs import BARS, SPECS
-from ..session import scratch_path
+from ..session import delete_folder, scratch_path
 from ..sources import bars_csv, landed
 from ..sources.lake import LakeTable
 from ..streaming import ingest as streaming
@@ -72,9 +72,9 @@ def read_landed(spark, sf_dir):
     return cleaning.clean(raw, SPECS["daily_raw"]).drop(landed.LANDING_ORDER)
 
 
-def _land_bars(spark, sf_dir, root, by_day=False):
+def _land_bars(rows, root, by_day=False):
     """Bars as gzip CSV; shard P2 lands with another column order, and one file is empty."""
-    text = bars(spark, sf_dir).withColumn("trade_time", dates.compact_timestamp(F.col("trade_time")))
+    text = rows.withColumn("trade_time", dates.compact_timestamp(F.col("trade_time")))
     text = cleaning.with_shard(text.select(*bars_csv.BAR_COLUMNS))
     swapped = ["trade_time", "ts_code", "amount", "volume", "close", "low", "high", "open"]
     for rows, columns in ((text.where("shard <> 'P2'"), list(bars_csv.BAR_COLUMNS)), (text.where("shard = 'P2'"), swapped)):
@@ -93,7 +93,7 @@ def _land_bars(spark, sf_dir, root, by_day=False):
 )
 def read_bars_csv(spark, sf_dir):
     root = scratch_path(spark, "bars")
-    _land_bars(spark, sf_dir, root)
+    _land_bars(bars(spark, sf_dir), root)
     raw = bars_csv.read_bars_csv(spark, f"{root}/{bar_jobs.FEED}")
     return cleaning.clean_bars(raw, BARS, bars_csv.SOURCE_FILE).drop(bars_csv.SOURCE_FILE, landed.LANDING_ORDER)
 
@@ -190,6 +190,16 @@ def update_report(spark, sf_dir):
     return jobs.report_frame(spark, reports).select(*columns)
 
 
+@check("update_codes_then_full", _sql_daily_job("cutoff", "2000-12-31"))
+def update_codes_then_full(spark, sf_dir):
+    """A run with a few codes leaves all others for the next one."""
+    lake = _daily_lake(spark, sf_dir)
+    few = daily(spark, sf_dir).select("ts_code").where("ts_code < '000003'").distinct()
+    jobs.update(lake, ["daily_raw"], END, NOW, codes=few)
+    jobs.update(lake, ["daily_raw"], END, NOW)
+    return lake.table(SPECS["daily_raw"]).rows().select(*DAILY_OUT)
+
+
 @check("backfill_master", _sql_daily_job("cutoff", "2000-12-31"))
 def backfill_master(spark, sf_dir):
     """Month batches over the retention window, here a year of months per job."""
@@ -198,13 +208,14 @@ def backfill_master(spark, sf_dir):
     return lake.table(SPECS["daily_raw"]).rows().select(*DAILY_OUT)
 
 
-def _bar_lake(spark, sf_dir):
+def _bar_lake(spark, sf_dir, land=True):
     root = scratch_path(spark, "bars")
     lake = jobs.Lake(spark, f"{root}/tables", f"{root}/landing")
     _land(event_calendar(spark, sf_dir), lake.landing, "trade_cal")
     _land(instruments(spark, sf_dir).select("ts_code", F.col("c_name").alias("name")), lake.landing, "stock_basic")
     jobs.update(lake, ["trade_cal", "stock_basic"], NOW.date(), NOW)
-    _land_bars(spark, sf_dir, lake.landing, by_day=True)
+    if land:
+        _land_bars(bars(spark, sf_dir), lake.landing, by_day=True)
     return lake
 
 
@@ -241,6 +252,34 @@ def backfill_bars(spark, sf_dir):
     return lake.table(BARS).read().drop("trade_day")
 
 
+@check(
+    "backfill_limited_then_full",
+    _sql_bar_job(20, "2024-01-30", f"ts_code in (select {sql_code('c_custkey')} from customer)"),
+)
+def backfill_limited_then_full(spark, sf_dir):
+    """A controlled run with a few instruments, then all of them."""
+    lake = _bar_lake(spark, sf_dir)
+    bar_jobs.backfill_bars(lake, NOW, end=date(2024, 1, 30), keep_open_days=20, resume=True, max_codes=10)
+    bar_jobs.backfill_bars(lake, NOW, end=date(2024, 1, 30), keep_open_days=20, resume=True)
+    return lake.table(BARS).read().drop("trade_day")
+
+
+@check(
+    "backfill_bars_late_files",
+    _sql_bar_job(20, "2024-01-30", f"ts_code in (select {sql_code('c_custkey')} from customer)"),
+)
+def backfill_bars_late_files(spark, sf_dir):
+    """Half of each day lands with wrong prices and is loaded; then its files are rewritten and the rest lands."""
+    lake = _bar_lake(spark, sf_dir, land=False)
+    wrong = bars(spark, sf_dir).withColumn("close", F.lit(-1.0)).where("abs(hash(ts_code)) % 2 = 0")
+    _land_bars(wrong, lake.landing, by_day=True)
+    bar_jobs.backfill_bars(lake, NOW, end=date(2024, 1, 30), keep_open_days=20, resume=True, write_mode="upsert")
+    delete_folder(spark, bar_jobs.landed_path(lake))
+    _land_bars(bars(spark, sf_dir), lake.landing, by_day=True)
+    bar_jobs.backfill_bars(lake, NOW, end=date(2024, 1, 30), keep_open_days=20, resume=True, write_mode="upsert")
+    return lake.table(BARS).read().drop("trade_day")
+
+
 # --- streams ----------------------------------------------------------------------------------------------
 
 
@@ -261,7 +300,8 @@ def _stream_files(spark, sf_dir, root, copies):
  max(event_id) as last_event from events where cast(ts as date) <= date '2024-01-25' group by 1, 2""",
 )
 def stream_ingest(spark, sf_dir):
-    """Files delivered twice merge to one row per key; days after the last finished session are held."""
+    """Files delivered twice merge to one row per key; days after the last finished session are held, and a second
+    run, for which nothing new lands, releases those finished by then."""
     from ..plans.specs import TableSpec
 
     root = scratch_path(spark, "stream")
@@ -273,13 +313,14 @@ def stream_ingest(spark, sf_dir):
     target = LakeTable(spark, f"{root}/ticks", spec.schema, spec.partition_by, spec.keys)
     held_schema = "ts_code string, event_id bigint, trade_date date, value double, landing_order int"
     held = LakeTable(spark, f"{root}/held", held_schema)
-    stream = streaming.landed_stream(spark, f"{root}/in", T.StructType.fromDDL(ddl), files_per_batch=4)
-    query = streaming.ingest(
-        stream, target, spec, f"{root}/checkpoint", order="delivery",
-        post=lambda df: df.select("ts_code", "event_id", F.col("trade_time").cast("date").alias("trade_date"), "value", "delivery"),
-        done_day=lambda: date(2024, 1, 25), day=F.col("trade_date"), held=held,
-    )
-    query.awaitTermination()
+    for finished in (date(2024, 1, 18), date(2024, 1, 25)):
+        stream = streaming.landed_stream(spark, f"{root}/in", T.StructType.fromDDL(ddl), files_per_batch=4)
+        query = streaming.ingest(
+            stream, target, spec, f"{root}/checkpoint", order="delivery",
+            post=lambda df: df.select("ts_code", "event_id", F.col("trade_time").cast("date").alias("trade_date"), "value", "delivery"),
+            done_day=lambda: finished, day=F.col("trade_date"), held=held,
+        )
+        query.awaitTermination()
     return target.rows().groupBy("ts_code", "trade_date").agg(
         F.count(F.lit(1)).alias("n"), F.max("event_id").alias("last_event")
     )
