@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 import gc
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -274,9 +275,14 @@ def verified(docs: DataFrame, spans: DataFrame, doc_id: str, text: str) -> DataF
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of frames that are no longer referenced."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark delete the shuffle files of frames that are no longer referenced.
+
+    Spark's cleaner acts on what the JVM has collected; references through the plan take a second round.
+    """
+    for _ in range(3):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = K) -> DataFrame:
