@@ -45,6 +45,7 @@ def _parser() -> argparse.ArgumentParser:
         command.add_argument("--codes-file", default="", help="one code per line")
         command.add_argument("--sample-codes", type=int, default=0, help="random sample of stored instruments")
     commands.choices["update"].add_argument("--tables", default="all")
+    commands.choices["update"].add_argument("--count-changes", action="store_true", help="report updated and dropped rows")
 
     master = add("backfill-master", "fill the daily tables month by month")
     master.add_argument("--tables", default="all")
@@ -84,7 +85,7 @@ def run(args: argparse.Namespace, lake: jobs.Lake, now: datetime) -> object:
         tables = [s.name for s in DAILY_SPECS] if args.tables == "all" else _names(args.tables)
         reports = jobs.update(
             lake, tables, args.until or now.date(), now, args.since, args.lookback_days, _codes(args, lake),
-            args.write_mode or "upsert", args.no_delete,
+            args.write_mode or "upsert", args.no_delete, count_changes=args.count_changes,
         )
         return [asdict(r) for r in reports]
     if args.command == "update-bars":

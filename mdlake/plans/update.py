@@ -9,6 +9,8 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import astuple, dataclass, field
 from datetime import date, datetime, timedelta
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -20,6 +22,8 @@ from ..sources.landed import LANDING_ORDER, landed_or_none
 from .specs import BARS, SPECS, STATE_KEYS, STATE_SCHEMA, TableSpec, backfill_order, calendar_years, update_order
 
 MASTER = "MASTER"
+# Texts of numbers that are not finite.
+NOT_FINITE = ("inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
 
 
 @dataclass(frozen=True)
@@ -43,6 +47,11 @@ class TableReport:
     cursor_value: str | None = None
     retention_cutoff: str | None = None
     added_columns: tuple[str, ...] = ()
+    # only counted on request: rows that changed a stored one, that equal it, and that lack a part of their key
+    rows_updated: int | None = None
+    rows_unchanged: int | None = None
+    rows_dropped: int | None = None
+    rows_not_finite: int | None = None
 
 
 class Lake:
@@ -139,8 +148,8 @@ def _wanted(raw: DataFrame, lake: Lake, spec: TableSpec, first: date, last: date
     return raw
 
 
-def read_batch(lake: Lake, spec: TableSpec, start: date, end: date, codes: DataFrame | None = None) -> DataFrame | None:
-    """Cleaned rows of a table's landed feeds within [start, end]; None when nothing ever landed."""
+def landed_feeds(lake: Lake, spec: TableSpec, start: date, end: date) -> list[DataFrame]:
+    """Raw rows of a table's feeds that have landed, accepted values only."""
     first = start.replace(day=1) if spec.from_month_start else start
     feeds = []
     for feed, schema in spec.landed().items():
@@ -148,10 +157,17 @@ def read_batch(lake: Lake, spec: TableSpec, start: date, end: date, codes: DataF
         raw = landed_or_none(
             lake.spark, lake.landing, feed, schema, lake.fmt, *folders, where=lambda df: _wanted(df, lake, spec, first, end)
         )
-        if raw is None:
-            continue
-        stored = raw.drop(*[c for c, _ in spec.only if c not in spec.schema.names])
-        rows = cleaning.drop_null_keys(cleaning.clean(stored, spec), spec.keys)
+        if raw is not None:
+            feeds.append(raw.drop(*[c for c, _ in spec.only if c not in spec.schema.names]))
+    return feeds
+
+
+def read_batch(lake: Lake, spec: TableSpec, start: date, end: date, codes: DataFrame | None = None) -> DataFrame | None:
+    """Cleaned rows of a table's landed feeds within [start, end]; None when nothing ever landed."""
+    first = start.replace(day=1) if spec.from_month_start else start
+    feeds = []
+    for raw in landed_feeds(lake, spec, start, end):
+        rows = cleaning.drop_null_keys(cleaning.clean(raw, spec), spec.keys)
         if spec.cursor:
             rows = rows.where(F.col(spec.cursor).between(F.lit(first), F.lit(end)))
         if spec.by_open_day:
@@ -164,6 +180,20 @@ def read_batch(lake: Lake, spec: TableSpec, start: date, end: date, codes: DataF
     return feeds[0] if feeds else None
 
 
+def count_losses(lake: Lake, spec: TableSpec, start: date, end: date) -> tuple[int, int]:
+    """Landed rows that lack a part of their key, and rows with a number that is not finite (stored as NULL)."""
+    dropped = infinite = 0
+    floating = [f.name for f in spec.schema if isinstance(f.dataType, T.DoubleType)]
+    for raw in landed_feeds(lake, spec, start, end):
+        rows = cleaning.clean(raw, spec)
+        present = [c for c in floating if c in raw.columns]
+        missing = reduce(or_, [F.col(k).isNull() for k in spec.keys])
+        texts = [F.lower(F.trim(F.col(f"`{c}`").cast("string"))).isin(*NOT_FINITE) for c in present]
+        counts = rows.agg(F.count_if(missing)).first()[0], raw.agg(F.count_if(reduce(or_, texts, F.lit(False)))).first()[0]
+        dropped, infinite = dropped + counts[0], infinite + counts[1]
+    return dropped, infinite
+
+
 @dataclass(frozen=True)
 class WriteResult:
     fetched: int
@@ -171,25 +201,32 @@ class WriteResult:
     newest: date | None
     added: tuple[str, ...] = ()
     inserted_by_part: dict[str, int] = field(default_factory=dict)
+    changes: dict[str, int] | None = None
 
 
-def write_batch(table: LakeTable, spec: TableSpec, batch: DataFrame, mode: str, newest: Column | None = None) -> WriteResult:
+def write_batch(
+    table: LakeTable, spec: TableSpec, batch: DataFrame, mode: str, newest: Column | None = None, count_changes: bool = False
+) -> WriteResult:
     """Merge a batch into the partitions it touches; untouched partitions are neither read nor written."""
     batch = with_partitions(batch, spec)
     measures = [F.count(F.lit(1)).alias("n"), (F.max(newest) if newest is not None else F.lit(None)).alias("newest")]
     stats = batch.groupBy(table.part_column().alias("part")).agg(*measures).collect()
     if not stats:
-        return WriteResult(0, 0, None)
+        return WriteResult(0, 0, None, changes={} if count_changes else None)
     parts = [r.part for r in stats]
     at = table.snapshot()
     order = (LANDING_ORDER,) if LANDING_ORDER in batch.columns else ()
+    changes = None
+    if count_changes:
+        summary = merge.change_summary(table.read(parts, at).drop(*spec.partition_by), batch.drop(*spec.partition_by), spec.keys, order)
+        changes = {r.change: r.n for r in summary.groupBy("change").agg(F.count(F.lit(1)).alias("n")).collect()}
     merged = merge.write_mode(mode)(table.read(parts, at), batch, spec.keys, order)
     after = table.replace(merged, parts, at)
     before = {p.part: p.n_rows for p in at.parts}
     inserted = {p: after.get(p, 0) - before.get(p, 0) for p in parts}
     added = tuple(c for c in batch.columns if c not in (*at.schema.names, *spec.partition_by, LANDING_ORDER))
     days = [r.newest for r in stats if r.newest is not None]
-    return WriteResult(sum(r.n for r in stats), sum(inserted.values()), max(days, default=None), added, inserted)
+    return WriteResult(sum(r.n for r in stats), sum(inserted.values()), max(days, default=None), added, inserted, changes)
 
 
 def apply_retention(table: LakeTable, day: Column, cutoff: date) -> int:
@@ -221,6 +258,7 @@ def update_table(
     codes: DataFrame | None = None,
     write_mode: str = "upsert",
     no_delete: bool = False,
+    count_changes: bool = False,
 ) -> TableReport:
     """Bring one table up to date according to its plan.
 
@@ -237,8 +275,14 @@ def update_table(
     if batch is not None:
         newest = F.col(spec.cursor) if spec.cursor else None
         with staged(batch, spec.name) as rows:
-            result = write_batch(table, spec, rows, write_mode, newest)
+            result = write_batch(table, spec, rows, write_mode, newest, count_changes)
     report.rows_fetched, report.rows_inserted, report.added_columns = result.fetched, result.inserted, result.added
+    if count_changes:
+        seen = result.changes or {}
+        ignored = write_mode == "ignore"  # which leaves what is stored
+        report.rows_updated = 0 if ignored else seen.get("updated", 0)
+        report.rows_unchanged = seen.get("unchanged", 0) + (seen.get("updated", 0) if ignored else 0)
+        report.rows_dropped, report.rows_not_finite = count_losses(lake, spec, plan.start, plan.end)
     if spec.cursor:
         following = plan.cursor if partial else next_cursor(plan, result)
         report.cursor_value = following.isoformat() if following else None
@@ -267,9 +311,11 @@ def update(
     write_mode: str = "upsert",
     no_delete: bool = False,
     keep_open_days: int = 0,
+    count_changes: bool = False,
 ) -> list[TableReport]:
     """Update several tables, the calendar first and long enough for every retention window.
 
+    ``count_changes`` fills the reports' counts of updated, unchanged and dropped rows, which takes another pass.
     ``keep_open_days`` is a window that later steps need, if wider than those of ``tables``.
     """
     ordered = _known(update_order(list(tables)))
@@ -277,11 +323,11 @@ def update(
     earliest = end - timedelta(days=365 * depth)
     cal_start = earliest if start is None else min(start, earliest)
     plan = plan_tables(lake, ordered[:1], end, cal_start, lookback_days, no_delete)
-    reports = [update_table(lake, ordered[0], plan["trade_cal"], now, None, write_mode, no_delete)]
+    reports = [update_table(lake, ordered[0], plan["trade_cal"], now, None, write_mode, no_delete, count_changes)]
     rest = ordered[1:]
     plans = plan_tables(lake, rest, end, start, lookback_days, no_delete) if rest else {}
     for spec in rest:
-        reports.append(update_table(lake, spec, plans[spec.name], now, codes, write_mode, no_delete))
+        reports.append(update_table(lake, spec, plans[spec.name], now, codes, write_mode, no_delete, count_changes))
     return reports
 
 
@@ -341,6 +387,7 @@ def report_frame(spark: SparkSession, reports: Sequence[TableReport]) -> DataFra
     """Reports as rows, one per table and batch."""
     ddl = (
         "`table` string, start string, end string, rows_fetched bigint, rows_inserted bigint, rows_deleted bigint, "
-        "cursor_col string, cursor_value string, retention_cutoff string, added_columns array<string>"
+        "cursor_col string, cursor_value string, retention_cutoff string, added_columns array<string>, "
+        "rows_updated bigint, rows_unchanged bigint, rows_dropped bigint, rows_not_finite bigint"
     )
     return local_frame(spark, [astuple(r) for r in reports], ddl)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from ..functions import codes, dates, numbers
 from ..operators import cleaning, state
 from ..plans.specs import BARS, SPECS
+from ..sources import landed
 from .base import (
     SQL_BARS,
     SQL_CAL,
@@ -210,9 +211,13 @@ def restrict_codes(spark, sf_dir):
 where l_returnflag in ('A', 'R') and l_shipdate between timestamp '1996-01-01' and timestamp '1998-12-31'""",
 )
 def filter_pushdown(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem")
+    """Accepted values and a date range reach the scan of a landed columnar feed."""
     in_range = F.col("l_shipdate").between(F.lit("1996-01-01").cast("timestamp_ntz"), F.lit("1998-12-31").cast("timestamp_ntz"))
-    return li.where(F.col("l_returnflag").isin("A", "R") & in_range).select("l_orderkey", "l_linenumber", "l_quantity")
+    schema = T.StructType.fromDDL("l_orderkey bigint, l_linenumber bigint, l_quantity double")
+    rows = landed.read_landed(
+        spark, sf_dir, "lineitem.parquet", schema, "parquet", where=lambda df: df.where(F.col("l_returnflag").isin("A", "R") & in_range)
+    )
+    return rows.select("l_orderkey", "l_linenumber", "l_quantity")
 
 
 RAW_OPEN = "case when day(cal_date) % 7 = 0 then 'x' when day(cal_date) % 7 = 1 then cast(null as varchar(3)) when day(cal_date) % 7 = 2 then '1.5' else cast(is_open as varchar(3)) end"

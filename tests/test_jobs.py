@@ -307,6 +307,18 @@ def test_other_landing_formats(spark, tmp_path, fmt):
     assert content(lake.table(SPECS["adj_factor"]), "trade_date", "adj_factor") == [(date(2024, 12, 30), 1.5)]
 
 
+def test_landed_filters_reach_the_scan(spark, tmp_path):
+    land_calendar(f"{tmp_path}/json")
+    rows = spark.sql("select '5' ts_code, date '2024-12-30' trade_date, 1.5D close, '000300.SH' name")
+    rows.write.parquet(f"{tmp_path}/in/index_daily/landed_day=20241230")
+    spark.read.json(f"{tmp_path}/json/trade_cal").write.parquet(f"{tmp_path}/in/trade_cal")
+    lake = jobs.Lake(spark, f"{tmp_path}/t", f"{tmp_path}/in", "parquet")
+    plan = jobs.read_batch(lake, SPECS["index_daily"], date(2024, 12, 1), END)._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan parquet" in line and "close#" in line)
+    pushed = scan.split("PushedFilters: ")[1]
+    assert "IsNotNull(trade_date)" in pushed and "In(ts_code, [" in pushed  # the text of the plan is cut off here
+
+
 def test_csv_with_another_column_order_fails(spark, tmp_path):
     swapped = spark.sql("select '20241230' trade_date, 'a.SZ' ts_code, 1.5D adj_factor")
     swapped.write.option("header", "true").csv(f"{tmp_path}/adj_factor")
