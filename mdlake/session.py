@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 import tempfile
@@ -43,9 +44,24 @@ def shared_root(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
+_scratch: list[tuple[SparkSession, str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared folder."""
-    return f"{shared_root(spark)}/mdlake-{name}-{uuid.uuid4().hex}"
+    """A fresh sub-folder of the shared folder, deleted when the driver program ends."""
+    path = f"{shared_root(spark)}/mdlake-{name}-{uuid.uuid4().hex}"
+    if not _scratch:
+        atexit.register(delete_scratch)  # runs before the session's own shutdown, which was registered earlier
+    _scratch.append((spark, path))
+    return path
+
+
+def delete_scratch() -> None:
+    """Delete all scratch folders of sessions that still run; frames that read from them end with it."""
+    while _scratch:
+        spark, path = _scratch.pop()
+        if spark.sparkContext._jsc is not None:
+            delete_folder(spark, path)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

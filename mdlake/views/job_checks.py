@@ -11,7 +11,7 @@ from ..operators import cleaning
 from ..operators.retention import retention_split
 from ..plans import bars as bar_jobs, update as jobs
 from ..plans.specs import BARS, SPECS
-from ..session import delete_folder, local_frame, scratch_path
+from ..session import checkpointed, delete_folder, local_frame, scratch_path
 from ..sources import bars_csv, landed
 from ..sources.lake import LakeTable
 from ..streaming import ingest as streaming
@@ -75,7 +75,7 @@ def read_landed(spark, sf_dir):
 def _land_bars(rows, root, by_day=False):
     """Bars as gzip CSV; shard P2 lands with another column order, and one file is empty."""
     text = rows.withColumn("trade_time", dates.compact_timestamp(F.col("trade_time")))
-    text = cleaning.with_shard(text.select(*bars_csv.BAR_COLUMNS))
+    text = checkpointed(cleaning.with_shard(text.select(*bars_csv.BAR_COLUMNS)))
     swapped = ["trade_time", "ts_code", "amount", "volume", "close", "low", "high", "open"]
     for rows, columns in ((text.where("shard <> 'P2'"), list(bars_csv.BAR_COLUMNS)), (text.where("shard = 'P2'"), swapped)):
         if by_day:
