@@ -8,6 +8,9 @@ smallest document. Repeated edges whose sources are consecutive too form a path
 of a path are compacted to one span over Spark, and each span is verified word by word against the place in
 its source that its coordinates name. Words covered by a verified span are removed.
 
+Common runs of words would make their bucket large. Edges are therefore counted by cell of their minimiser
+first; edges of a cell beyond a share of a bucket travel one by one and are dealt by their own hash instead.
+
 Where documents of one Arrow batch share a piece, only the one with the smallest id is sent on, since the
 others are already decided: a passage that a third of all documents share costs one piece a batch.
 
@@ -37,6 +40,8 @@ K = 13
 M = 4
 BUCKET_BYTES = 16 << 20  # text per bucket; a task needs some twenty times that
 EDGE_BYTES = 5  # of an edge's hash, beside the minimiser's eight
+CELLS = 1 << 20  # in which edges are counted by minimiser
+CELL_SHARE = 1 / 16  # of an average bucket: a cell with more edges is split, unless most cells are that large
 
 
 def _constants(n: int, seed: int) -> np.ndarray:
@@ -117,11 +122,39 @@ def _arrow(schema: str) -> tuple[T.StructType, pa.Schema]:
 PIECES = "doc long, start long, n long, src long, src_start long"
 
 
-def _dealt(docs: DataFrame, doc_id: str, text: str, k: int, buckets: int) -> DataFrame:
+def cell_counts(docs: DataFrame, doc_id: str, text: str, k: int, cells: int) -> DataFrame:
+    """(cell, edges) of all documents; each task adds up its own first and sends at most ``cells`` rows."""
+    struct, schema = _arrow("cell int, edges long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(cells, np.int64)
+        for batch in batches:
+            for value in batch.column(0):
+                minimiser, first, edges = pieces(words(value.as_py()), k)
+                np.add.at(total, (minimiser % np.uint64(cells)).astype(np.int64), np.diff(first, append=len(edges)))
+        for part in np.array_split(np.flatnonzero(total), 1 + cells // (1 << 16)):
+            yield pa.record_batch([pa.array(part, schema.types[0]), pa.array(total[part])], schema=schema)
+
+    each = docs.where(F.col(doc_id).isNotNull()).select(text).mapInArrow(run, struct)
+    return each.groupBy("cell").agg(F.sum("edges").alias("edges"))
+
+
+def split_cells(counts: DataFrame, buckets: int, cells: int, share: float = CELL_SHARE) -> np.ndarray:
+    """Whether a cell's edges travel one by one: those with over ``share`` of a bucket and 8 times a cell's average."""
+    total = counts.agg(F.sum("edges")).first()[0] or 0
+    rows = counts.where(F.col("edges") > max(share * total / buckets, 8 * total / cells)).select("cell").collect()
+    split = np.zeros(cells, bool)  # at most an eighth of the cells
+    split[[row["cell"] for row in rows]] = True
+    return split
+
+
+def _dealt(docs: DataFrame, doc_id: str, text: str, k: int, buckets: int, split: np.ndarray) -> DataFrame:
     """(bucket, meta, hashes, done): per Arrow batch and bucket the pieces to look up, and the decided ones."""
+    cells, packed = len(split), docs.sparkSession.sparkContext.broadcast(np.packbits(split))
     struct, schema = _arrow("bucket int, meta binary, hashes binary, done binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split = np.unpackbits(packed.value, count=cells).astype(bool)
         for batch in batches:
             parts: list[tuple] = []
             for ident, value in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -132,6 +165,11 @@ def _dealt(docs: DataFrame, doc_id: str, text: str, k: int, buckets: int) -> Dat
             if not parts:
                 continue
             minimiser, doc, first, count, edges = (np.concatenate(x) for x in zip(*parts))
+            alone = split[(minimiser % np.uint64(cells)).astype(np.int64)]
+            times = np.where(alone, count, 1)
+            offset = _take_runs(np.zeros_like(times), times)
+            minimiser, doc, first, count, alone = (np.repeat(x, times) for x in (minimiser, doc, first, count, alone))
+            first, count = first + offset, np.where(alone, 1, count)
             start = np.cumsum(count) - count
             place = np.arange(len(edges)) - np.repeat(start, count)
             content = np.add.reduceat(_mixed(edges + place.astype(np.uint64)), start)
@@ -147,7 +185,7 @@ def _dealt(docs: DataFrame, doc_id: str, text: str, k: int, buckets: int) -> Dat
             follower, source = order[decided], leader[decided]
             asking = np.sort(order[~decided])  # by document again, which packs better
             frags = edges.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :EDGE_BYTES]
-            bucket = (minimiser % np.uint64(buckets)).astype(np.int64)
+            bucket = (np.where(alone, content, minimiser) % np.uint64(buckets)).astype(np.int64)
             told = doc[follower] % buckets
             own, own_told = bucket[asking], told
             by, by_told = np.argsort(own, kind="stable"), np.argsort(own_told, kind="stable")
@@ -191,7 +229,7 @@ def _found(minimiser, doc, first, count, frags) -> np.ndarray:
     return np.stack([owner[i], place[i], np.diff(starts, append=len(at)), src[i], src_place[i]])
 
 
-def repeated_pieces(docs: DataFrame, doc_id: str, text: str, k: int, buckets: int) -> DataFrame:
+def repeated_pieces(docs: DataFrame, doc_id: str, text: str, k: int, buckets: int, split: np.ndarray) -> DataFrame:
     """(doc, start, n, src, src_start): runs of n repeated edges and where their source starts."""
     struct, schema = _arrow(PIECES)
 
@@ -213,7 +251,7 @@ def repeated_pieces(docs: DataFrame, doc_id: str, text: str, k: int, buckets: in
             for i in range(0, found.shape[1], 1 << 16):
                 yield out(found[:, i : i + (1 << 16)])
 
-    return _dealt(docs, doc_id, text, k, buckets).mapInArrow(run, struct)
+    return _dealt(docs, doc_id, text, k, buckets, split).mapInArrow(run, struct)
 
 
 def compacted(pieces_: DataFrame, k: int) -> DataFrame:
@@ -285,11 +323,14 @@ def release(spark: SparkSession) -> None:
         time.sleep(0.5)
 
 
-def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = K) -> DataFrame:
+def repeated_spans(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = K, cells: int = CELLS
+) -> DataFrame:
     """(doc, start, len, src, src_start, digest): verified maximal spans whose edges lie in a smaller document."""
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = max(1, -(-size // BUCKET_BYTES))
-    spans = checkpointed(compacted(repeated_pieces(docs, doc_id, text, k, buckets), k))
+    split = split_cells(checkpointed(cell_counts(docs, doc_id, text, k, cells)), buckets, cells)
+    spans = checkpointed(compacted(repeated_pieces(docs, doc_id, text, k, buckets, split), k))
     release(docs.sparkSession)
     proven = checkpointed(verified(docs, spans, doc_id, text))
     release(docs.sparkSession)

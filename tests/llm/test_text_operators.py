@@ -7,6 +7,7 @@ import math
 import random
 import re
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import functions as F
 import pytest
@@ -133,8 +134,11 @@ def repeats_by_hand(pairs, k):
     return Counter(out)
 
 
-@pytest.mark.parametrize("batch", [3, 10_000])
-def test_substrings_equal_brute_force(spark, make_docs, batch):
+@pytest.mark.parametrize("batch, split", [(3, 0), (10_000, 0), (3, 2), (10_000, 1)])
+def test_substrings_equal_brute_force(spark, make_docs, monkeypatch, batch, split):
+    if split:  # every cell or every second one is split, and there are many buckets
+        monkeypatch.setattr(substring, "split_cells", lambda counts, buckets, cells: np.arange(cells) % split == 0)
+        monkeypatch.setattr(substring, "BUCKET_BYTES", 40_000)
     random.seed(3)
     words = [f"w{i}" for i in range(200)] + ["é\x1cb", "日本"]
     text = lambda n, of=words: " ".join(random.choice(of) for _ in range(n))
@@ -153,6 +157,18 @@ def test_substrings_equal_brute_force(spark, make_docs, batch):
     assert got == repeats_by_hand(pairs, 13)
 
 
+def test_large_cells_are_split(spark, make_docs):
+    common = "at the end of"
+    docs = make_docs([(i, " ".join([common, *(f"w{i}.{j}" for j in range(9))])) for i in range(400)] + [(None, common * 20), (900, "a b")])
+    counts = substring.cell_counts(docs.repartition(4), "doc_id", "text", 13, 64)
+    assert counts.agg(F.sum("edges")).first()[0] == 400
+    by_cell = {r["cell"]: r["edges"] for r in counts.collect()}
+    split = substring.split_cells(counts, 2, 64)
+    assert [i for i in range(64) if split[i]] == sorted(i for i, n in by_cell.items() if n > 8 * 400 / 64)
+    assert not substring.split_cells(counts, 1, 8, 1.1).any()
+    assert not substring.split_cells(substring.cell_counts(make_docs([]), "doc_id", "text", 13, 64), 1, 64).any()
+
+
 def test_spans_are_compact_and_name_their_source(make_docs):
     passage = " ".join(f"p{i}" for i in range(60))
     docs = make_docs([(1, "x y " + passage), (2, "u " + passage + " v"), (3, passage)])
