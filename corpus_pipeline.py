@@ -34,9 +34,13 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each near-duplicate group, and documents without an id."""
+    """Keep the document with the smallest id of each near-duplicate group, and documents without an id.
+
+    An id whose rows have different texts stays if it is the smallest of any of their groups.
+    """
     found = simhash.near_duplicates(docs)
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    stays = F.bool_or(F.col("doc_id") == F.col("component_id"))
+    gone = found.groupBy("doc_id").agg(stays.alias("stays")).where(~F.col("stays")).select("doc_id")
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 

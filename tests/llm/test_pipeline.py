@@ -55,6 +55,13 @@ def test_stages_take_effect_and_keep_the_columns(spark, make_docs, tmp_path):
     assert 5 not in kept and None not in kept
 
 
+def test_near_duplicates_keep_one_of_each_group_though_an_id_has_two_texts(spark, make_docs, tmp_path):
+    first, second = "one two three four five six seven", "red green blue black white pink grey brown"
+    docs = make_docs([(1, first), (2, first), (2, second), (3, second), (3, second)])
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path))
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [(1, first), (2, first), (2, second)]
+
+
 def test_stages_on_empty_tables(spark, make_docs, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
