@@ -41,7 +41,7 @@ M = 4
 BUCKET_BYTES = 16 << 20  # text per bucket; a task needs some twenty times that
 EDGE_BYTES = 5  # of an edge's hash, beside the minimiser's eight
 CELLS = 1 << 20  # in which edges are counted by minimiser
-CELL_SHARE = 1 / 16  # of an average bucket: a cell with more edges is split, unless most cells are that large
+CELL_SHARE = 1 / 4  # of an average bucket: a cell with more edges is split, unless average cells are that large
 
 
 def _constants(n: int, seed: int) -> np.ndarray:
@@ -65,19 +65,27 @@ def run_hashes(word_hashes: np.ndarray, size: int, seed: int) -> np.ndarray:
     return _mixed(total)
 
 
+def paths(hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(minimiser, first edge) of each run of edges with one minimiser, from at least ``k`` word hashes."""
+    small, n = run_hashes(hashes, M, 1), len(hashes) - k + 1
+    best = np.arange(n)
+    for j in range(1, k - M + 1):  # leftmost smallest, which depends on the edge's words alone
+        other = np.arange(j, j + n)
+        best = np.where(small[other] < small[best], other, best)
+    first = np.flatnonzero(np.concatenate([[True], best[1:] != best[:-1]]))
+    return small[best[first]], first
+
+
+def word_hashes(each: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, each), np.uint64, len(each))
+
+
 def pieces(each: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(minimiser, first edge) of each run of edges with one minimiser, and all edge hashes in order."""
+    """``paths`` of a text's words, and all edge hashes in order."""
     if len(each) < k:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, each), np.uint64, len(each))
-    small, edges = run_hashes(hashes, M, 1), run_hashes(hashes, k, 2)
-    inside = k - M + 1
-    best = np.arange(len(edges))
-    for j in range(1, inside):  # leftmost smallest, which depends on the edge's words alone
-        other = np.arange(j, j + len(edges))
-        best = np.where(small[other] < small[best], other, best)
-    first = np.flatnonzero(np.concatenate([[True], best[1:] != best[:-1]]))
-    return small[best[first]], first, edges
+    hashes = word_hashes(each)
+    return *paths(hashes, k), run_hashes(hashes, k, 2)
 
 
 def _planes(values: np.ndarray, width: int) -> bytes:
@@ -122,35 +130,39 @@ def _arrow(schema: str) -> tuple[T.StructType, pa.Schema]:
 PIECES = "doc long, start long, n long, src long, src_start long"
 
 
-def cell_counts(docs: DataFrame, doc_id: str, text: str, k: int, cells: int) -> DataFrame:
-    """(cell, edges) of all documents; each task adds up its own first and sends at most ``cells`` rows."""
+def large_cells(docs: DataFrame, doc_id: str, text: str, k: int, share: float, cells: int) -> np.ndarray:
+    """Whether a cell's edges travel one by one: true for every cell with at least ``share`` of all edges.
+
+    A task tells of the cells with at least half that share of its own edges, at most 2 / share. What the tasks
+    leave out of a cell is less than half the share of all edges, so sums of at least the other half decide.
+    """
     struct, schema = _arrow("cell int, edges long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(cells, np.int64)
         for batch in batches:
             for value in batch.column(0):
-                minimiser, first, edges = pieces(words(value.as_py()), k)
-                np.add.at(total, (minimiser % np.uint64(cells)).astype(np.int64), np.diff(first, append=len(edges)))
-        for part in np.array_split(np.flatnonzero(total), 1 + cells // (1 << 16)):
-            yield pa.record_batch([pa.array(part, schema.types[0]), pa.array(total[part])], schema=schema)
+                each = words(value.as_py())
+                if len(each) >= k:
+                    minimiser, first = paths(word_hashes(each), k)
+                    np.add.at(total, (minimiser % np.uint64(cells)).astype(np.int64), np.diff(first, append=len(each) - k + 1))
+        every = total.sum()
+        told = np.flatnonzero(total >= max(1, every * share / 2))
+        columns = np.append(told, -1), np.append(total[told], every)  # -1: all cells
+        yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema)
 
     each = docs.where(F.col(doc_id).isNotNull()).select(text).mapInArrow(run, struct)
-    return each.groupBy("cell").agg(F.sum("edges").alias("edges"))
-
-
-def split_cells(counts: DataFrame, buckets: int, cells: int, share: float = CELL_SHARE) -> np.ndarray:
-    """Whether a cell's edges travel one by one: those with over ``share`` of a bucket and 8 times a cell's average."""
-    total = counts.agg(F.sum("edges")).first()[0] or 0
-    rows = counts.where(F.col("edges") > max(share * total / buckets, 8 * total / cells)).select("cell").collect()
-    split = np.zeros(cells, bool)  # at most an eighth of the cells
-    split[[row["cell"] for row in rows]] = True
-    return split
+    counts = checkpointed(each.groupBy("cell").agg(F.sum("edges").alias("edges")))
+    every = counts.where("cell = -1").first()
+    least = (every["edges"] if every else 0) * share / 2
+    large = np.zeros(cells, bool)
+    large[[r["cell"] for r in counts.where((F.col("cell") >= 0) & (F.col("edges") >= least)).collect()]] = True
+    return large
 
 
-def _dealt(docs: DataFrame, doc_id: str, text: str, k: int, buckets: int, split: np.ndarray) -> DataFrame:
+def _dealt(docs: DataFrame, doc_id: str, text: str, k: int, buckets: int, large: np.ndarray) -> DataFrame:
     """(bucket, meta, hashes, done): per Arrow batch and bucket the pieces to look up, and the decided ones."""
-    cells, packed = len(split), docs.sparkSession.sparkContext.broadcast(np.packbits(split))
+    cells, packed = len(large), docs.sparkSession.sparkContext.broadcast(np.packbits(large))
     struct, schema = _arrow("bucket int, meta binary, hashes binary, done binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,7 +241,7 @@ def _found(minimiser, doc, first, count, frags) -> np.ndarray:
     return np.stack([owner[i], place[i], np.diff(starts, append=len(at)), src[i], src_place[i]])
 
 
-def repeated_pieces(docs: DataFrame, doc_id: str, text: str, k: int, buckets: int, split: np.ndarray) -> DataFrame:
+def repeated_pieces(docs: DataFrame, doc_id: str, text: str, k: int, buckets: int, large: np.ndarray) -> DataFrame:
     """(doc, start, n, src, src_start): runs of n repeated edges and where their source starts."""
     struct, schema = _arrow(PIECES)
 
@@ -251,7 +263,7 @@ def repeated_pieces(docs: DataFrame, doc_id: str, text: str, k: int, buckets: in
             for i in range(0, found.shape[1], 1 << 16):
                 yield out(found[:, i : i + (1 << 16)])
 
-    return _dealt(docs, doc_id, text, k, buckets, split).mapInArrow(run, struct)
+    return _dealt(docs, doc_id, text, k, buckets, large).mapInArrow(run, struct)
 
 
 def compacted(pieces_: DataFrame, k: int) -> DataFrame:
@@ -329,8 +341,8 @@ def repeated_spans(
     """(doc, start, len, src, src_start, digest): verified maximal spans whose edges lie in a smaller document."""
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = max(1, -(-size // BUCKET_BYTES))
-    split = split_cells(checkpointed(cell_counts(docs, doc_id, text, k, cells)), buckets, cells)
-    spans = checkpointed(compacted(repeated_pieces(docs, doc_id, text, k, buckets, split), k))
+    large = large_cells(docs, doc_id, text, k, max(CELL_SHARE / buckets, 8 / cells), cells)
+    spans = checkpointed(compacted(repeated_pieces(docs, doc_id, text, k, buckets, large), k))
     release(docs.sparkSession)
     proven = checkpointed(verified(docs, spans, doc_id, text))
     release(docs.sparkSession)

@@ -137,7 +137,7 @@ def repeats_by_hand(pairs, k):
 @pytest.mark.parametrize("batch, split", [(3, 0), (10_000, 0), (3, 2), (10_000, 1)])
 def test_substrings_equal_brute_force(spark, make_docs, monkeypatch, batch, split):
     if split:  # every cell or every second one is split, and there are many buckets
-        monkeypatch.setattr(substring, "split_cells", lambda counts, buckets, cells: np.arange(cells) % split == 0)
+        monkeypatch.setattr(substring, "large_cells", lambda *args: np.arange(args[-1]) % split == 0)
         monkeypatch.setattr(substring, "BUCKET_BYTES", 40_000)
     random.seed(3)
     words = [f"w{i}" for i in range(200)] + ["é\x1cb", "日本"]
@@ -157,16 +157,23 @@ def test_substrings_equal_brute_force(spark, make_docs, monkeypatch, batch, spli
     assert got == repeats_by_hand(pairs, 13)
 
 
-def test_large_cells_are_split(spark, make_docs):
+@pytest.mark.parametrize("tasks", [1, 4, 100])
+def test_large_cells_are_found(make_docs, tasks):
+    random.seed(4)
     common = "at the end of"
-    docs = make_docs([(i, " ".join([common, *(f"w{i}.{j}" for j in range(9))])) for i in range(400)] + [(None, common * 20), (900, "a b")])
-    counts = substring.cell_counts(docs.repartition(4), "doc_id", "text", 13, 64)
-    assert counts.agg(F.sum("edges")).first()[0] == 400
-    by_cell = {r["cell"]: r["edges"] for r in counts.collect()}
-    split = substring.split_cells(counts, 2, 64)
-    assert [i for i in range(64) if split[i]] == sorted(i for i, n in by_cell.items() if n > 8 * 400 / 64)
-    assert not substring.split_cells(counts, 1, 8, 1.1).any()
-    assert not substring.split_cells(substring.cell_counts(make_docs([]), "doc_id", "text", 13, 64), 1, 64).any()
+    texts = [" ".join([*(f"w{i}.{j}" for j in range(random.randint(9, 12))), common]) for i in range(400)]
+    docs = make_docs(list(enumerate(texts)) + [(None, common * 20), (900, "a b"), (901, None)]).repartition(tasks)
+    edges = Counter()
+    for text in texts:
+        minimiser, first, every = substring.pieces(text.encode().split(), 13)
+        for m, n in zip(minimiser, np.diff(first, append=len(every))):
+            edges[int(m) % 64] += int(n)
+    total = sum(edges.values())
+    for share in (0.02, 0.03, 0.5):
+        large = substring.large_cells(docs, "doc_id", "text", 13, share, 64)
+        assert all(large[i] for i, n in edges.items() if n >= share * total)
+        assert not any(large[i] for i in range(64) if edges[i] < share / 2 * total)
+    assert not substring.large_cells(make_docs([]), "doc_id", "text", 13, 0.1, 64).any()
 
 
 def test_spans_are_compact_and_name_their_source(make_docs):
