@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 import public_tokenizers
 
-from mdlake.llm import bpe, decontaminate, line_dedup, quality_model, simhash
+from mdlake.llm import bpe, decontaminate, jaccard, line_dedup, quality_model
 from mdlake.llm.common import joined_sha256, table
 from mdlake.session import scratch_path
 
@@ -36,9 +36,9 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each near-duplicate group, and documents without an id.
 
-    An id whose rows have different texts stays if it is the smallest of any of their groups.
+    Near-duplicates are texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more. An id whose rows have different texts stays if it is the smallest of any of their groups.
     """
-    found = simhash.near_duplicates(docs)
+    found = jaccard.near_duplicates(docs)
     stays = F.bool_or(F.col("doc_id") == F.col("component_id"))
     gone = found.groupBy("doc_id").agg(stays.alias("stays")).where(~F.col("stays")).select("doc_id")
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)

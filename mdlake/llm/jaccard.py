@@ -1,0 +1,194 @@
+"""Near-duplicates by exact Jaccard similarity of the sets of word shingles.
+
+Texts with equal sets are one class, named by a 64-bit digest of its set (chance of one clash among n sets:
+about n * n / 2 ** 65). SimHash tiles link what lies within a few bits, which collapses dense groups at small
+cost. What they miss is found by a prefix filter: two sets of ``similarity`` s share one of the first
+``n - ceil(s * n) + 1`` shingles of each, in any order that is the same for all sets. Frequent shingles come last in it;
+a sample of classes tells which those are, and it changes the work, never the result. So every pair of
+``similarity`` or more is compared, except pairs that are in one component by then. All links are checked by
+their sets before they count.
+
+A component is what links reach; its name is its smallest id. Null and empty texts have the empty set and are
+one class. Rows without an id are left out. An empty table gives an empty table.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterable, Iterator
+from math import ceil
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
+import xxhash
+
+from ..session import checkpointed, scratch_path, staged
+from .common import map_rows
+from .components import connected
+from .simhash import RADIUS, SEED, fingerprint_of, shingle_hashes, tile_links
+from .substring import release
+
+SIZE, SIMILARITY = 5, 0.8
+SAMPLE, FREQUENT = 20_000, 100_000  # classes whose shingles are counted, and shingles that are put last: cost only
+BROADCAST_ROWS = 1_000_000
+SLACK = 1e-9  # of float products
+
+
+def shingle_set(text: str | None, size: int) -> np.ndarray:
+    return np.unique(shingle_hashes(text, size))
+
+
+def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    if min(len(a), len(b)) < similarity * max(len(a), len(b)) - SLACK:
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both >= similarity * (len(a) + len(b) - both) - SLACK
+
+
+def prefix(hashes: np.ndarray, frequent: np.ndarray, places: np.ndarray, similarity: float) -> np.ndarray:
+    """The first shingles of a set: those not in ``frequent`` (sorted) by hash, then the others by their place."""
+    n = len(hashes)
+    place = np.zeros(n, np.int64)
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
+        place = np.where(frequent[at] == hashes, places[at], 0)
+    return hashes[np.lexsort((hashes, place))[: n - ceil(similarity * n - SLACK) + 1]]
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def hashed(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
+    """(doc_id, text, id, fp, n): ``id`` is the digest of the set of shingles, ``n`` their number."""
+
+    @F.arrow_udf("struct<id: long, fp: long, n: int>")
+    def compute(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            hashes = [shingle_hashes(t.as_py(), size) for t in batch]
+            sets = [np.unique(h) for h in hashes]
+            ids = np.array([xxhash.xxh64_intdigest(s.astype("<u8").tobytes(), SEED) for s in sets], np.uint64)
+            sizes = pa.array(map(len, sets), type=pa.int32())
+            prints = pa.array(map(fingerprint_of, hashes), type=pa.int64())
+            yield pa.StructArray.from_arrays([pa.array(ids.view(np.int64)), prints, sizes], names=["id", "fp", "n"])
+
+    rows = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    return rows.withColumn("h", compute("text")).select("doc_id", "text", "h.id", "h.fp", "h.n")
+
+
+def frequent_shingles(found: DataFrame, classes: DataFrame, size: int) -> np.ndarray:
+    """The most frequent shingles of a sample of classes, rarest first; at most ``FREQUENT`` reach the driver."""
+
+    @F.arrow_udf("array<long>")
+    def every(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            yield pa.array([shingle_set(t.as_py(), size).view(np.int64) for t in batch], type=pa.list_(pa.int64()))
+
+    share = max(1, -(-classes.count() // SAMPLE))
+    counted = (
+        found.where(F.pmod(F.xxhash64("id"), F.lit(share)) == 0)
+        .select("id", F.explode(every("text")).alias("token"))
+        .groupBy("token")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where("n > 2")
+        .orderBy(F.desc("n"), "token")
+        .limit(FREQUENT)
+        .toArrow()
+    )
+    return counted["token"].to_numpy().view(np.uint64)[::-1]
+
+
+def shared_tokens(found: DataFrame, classes: DataFrame, size: int, similarity: float) -> DataFrame:
+    """(token, id, n, centre): prefix shingles that several classes have, and the smallest class of each."""
+    ranked = frequent_shingles(found, classes, size)
+    order = np.argsort(ranked)
+    frequent, places = ranked[order], order + 1
+
+    @F.arrow_udf("array<long>")
+    def first(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            sets = [shingle_set(t.as_py(), size) for t in batch]
+            tokens = [prefix(s, frequent, places, similarity).view(np.int64) if len(s) else [] for s in sets]
+            yield pa.array(tokens, type=pa.list_(pa.int64()))
+
+    with staged(found.select("id", "n", F.explode(first("text")).alias("token")), "jaccard-tokens") as rows:
+        several = rows.groupBy("token").agg(F.min("id").alias("centre"), F.max("id").alias("last")).where("centre < last")
+        shared = stored(rows.join(several.drop("last"), "token").distinct(), "jaccard-shared")
+    release(found.sparkSession)
+    return shared
+
+
+def checked(pairs: DataFrame, found: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) of classes whose sets have the similarity."""
+    pairs = checkpointed(pairs)
+    needed = checkpointed(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+    few = needed.count() <= BROADCAST_ROWS
+    rows = found.select("id", "text").join(F.broadcast(needed) if few else needed, "id", "left_semi")
+    texts = rows.groupBy("id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    both = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").join(
+        texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a"
+    )
+
+    def compare(rows: Iterator[tuple]) -> Iterable[tuple]:
+        last, own = None, np.zeros(0, np.uint64)
+        for a, b, ta, tb in rows:
+            if a != last:
+                last, own = a, shingle_set(ta, size)
+            if similar(own, shingle_set(tb, size), similarity):
+                yield a, b
+
+    links = checkpointed(map_rows(both.select("a", "b", "ta", "tb"), compare, "a long, b long"))
+    release(found.sparkSession)
+    return links
+
+
+def near_duplicates(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, similarity: float = SIMILARITY, radius: int = RADIUS
+) -> DataFrame:
+    """(doc_id, component_id) of each row with an id: the smallest id reachable over pairs of the similarity."""
+    found = stored(hashed(docs, doc_id, text, size), "jaccard-found")
+    classes = checkpointed(found.groupBy("id").agg(F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("doc_id").alias("least")))
+
+    def roots(links: DataFrame) -> DataFrame:
+        """(id, n, root) of every class."""
+        linked = connected(links)
+        return checkpointed(
+            classes.join(linked, classes["id"] == linked["node"], "left").select("id", "n", F.coalesce("root", "id").alias("root"))
+        )
+
+    links = checked(tile_links(classes.select("id", "fp"), radius).distinct(), found, size, similarity)
+    shared = shared_tokens(found, classes, size, similarity)
+
+    # each class against the smallest that shares a shingle of its prefix: joins dense groups without all pairs
+    known = roots(links)
+
+    def alike(x: str, y: str) -> Column:
+        """Sizes that allow the similarity."""
+        return F.least(x, y) >= similarity * F.greatest(x, y) - SLACK
+
+    stars = (
+        shared.where("id != centre")
+        .select(F.col("centre").alias("a"), F.col("id").alias("b"))
+        .distinct()
+        .join(known.select(F.col("id").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na")), "a")
+        .join(known.select(F.col("id").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb")), "b")
+        .where((F.col("ra") != F.col("rb")) & alike("na", "nb"))
+        .select("a", "b")
+    )
+    links = checkpointed(links.union(checked(stars, found, size, similarity)))
+
+    # all other pairs that share one, where they are of different components
+    labelled = shared.select("token", "id").join(roots(links), "id")
+    mixed = labelled.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("token")
+    open_ = checkpointed(labelled.join(mixed, "token"))
+    a, b = (open_.select("token", *(F.col(c).alias(c + side) for c in ("id", "n", "root"))) for side in "ab")
+    near = (F.col("roota") < F.col("rootb")) & alike("na", "nb")
+    rest = a.join(b, (a["token"] == b["token"]) & near).select(F.col("ida").alias("a"), F.col("idb").alias("b")).distinct()
+    whole = roots(links.union(checked(rest, found, size, similarity)))
+
+    members = classes.join(whole, "id").select("id", "root", "least")
+    names = members.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = members.join(names, "root").select("id", "component_id")
+    return found.select("doc_id", "id").join(named, "id").select("doc_id", "component_id")

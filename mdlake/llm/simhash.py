@@ -41,9 +41,13 @@ def shingle_hashes(text: str | None, size: int = SHINGLE) -> np.ndarray:
     return np.fromiter((digest(joined[i:j], SEED) for i, j in zip(starts[:n].tolist(), last)), np.uint64, n)
 
 
-def fingerprint(text: str | None) -> int:
+def fingerprint(text: str | None, size: int = SHINGLE) -> int:
     """The SimHash as a signed 64-bit integer."""
-    hashes = shingle_hashes(text)
+    return fingerprint_of(shingle_hashes(text, size))
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """The SimHash of hashed shingles."""
     if not len(hashes):
         return 0
     counts = np.zeros(64, np.int64)
