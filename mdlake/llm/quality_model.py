@@ -1,7 +1,8 @@
 """Quality classifier: gradient-boosted trees over statistics of the whole text.
 
 The model learns from at most ``MAX_TRAINING_ROWS`` labelled documents of the training fold, the ones with
-the smallest hash of their id, so the choice does not depend on partitioning. Every document is scored by
+the smallest hash of their id, so the choice does not depend on partitioning; of an id with several texts
+it learns from the one with the smallest hash. Every document is scored by
 its text alone. Null and empty texts have the statistics of an empty text. Null labels are ignored, repeated
 labels of a document are averaged, labels without a document have no effect, and without labels of both
 kinds every document gets the smoothed share of label 1. Rows without an id are scored but never learnt from.
@@ -85,10 +86,12 @@ def training_sample(docs: DataFrame, labels: DataFrame, limit: int) -> tuple[np.
     rows = (
         docs.select(F.col("doc_id").alias("_doc"), "text")
         .join(F.broadcast(chosen), F.col("_doc") == F.col("_labelled"))
-        .select("_labelled", "_quality", stats("text").alias("_x"))
+        .select("_labelled", "_quality", F.xxhash64("text").alias("_hash"), stats("text").alias("_x"))
+        .groupBy("_labelled", "_quality")
+        .agg(F.min_by("_x", "_hash").alias("_x"))
         .toArrow()
     )
-    order = np.argsort(rows["_labelled"].to_numpy(), kind="stable")[:limit]
+    order = np.argsort(rows["_labelled"].to_numpy(), kind="stable")
     x = np.array(rows["_x"].to_pylist(), dtype=np.float64).reshape(-1, FEATURES)[order]
     return x, rows["_quality"].to_numpy()[order]
 

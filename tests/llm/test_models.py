@@ -73,6 +73,18 @@ def test_classifier_edge_cases(make_docs, spark):
     assert quality_model.classify(make_docs([]), labels).count() == 0
 
 
+def test_samples_have_one_row_of_each_id(make_docs, spark, monkeypatch):
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
+    texts = {i: " ".join(f"w{i}x{k}" for k in range(60)) for i in ids}
+    docs = make_docs([*texts.items(), *((ids[0], f"{texts[ids[0]]} {k}") for k in range(100))])
+    labels = spark.createDataFrame([(i, n % 2) for n, i in enumerate(ids)], "doc_id long, quality int")
+    x, y = quality_model.training_sample(docs, labels, len(ids))
+    assert len(x) == len(ids) and y.tolist() == [n % 2 for n in range(len(ids))]
+    monkeypatch.setattr(quality_rules, "fit_forest", lambda x, good: (x, good))
+    x, good = quality_rules.fit(docs, labels, len(ids))
+    assert len(x) == len(ids) and good.tolist() == [n % 2 == 1 for n in range(len(ids))]
+
+
 # --- rules --------------------------------------------------------------------------------------
 
 
