@@ -19,12 +19,16 @@ SLICE = "_slice"
 
 @dataclass(frozen=True)
 class Running:
-    """How a value runs on: ``inside`` aggregates rows, ``across`` aggregates results of earlier slices, and
-    ``join`` puts the earlier result (null in a group's first slice) and the slice's own together."""
+    """How a value runs on: ``inside`` aggregates rows in their order, ``across`` the results of earlier slices
+    in theirs, and ``join`` puts the earlier result (null in a group's first slice) and the slice's own together.
+
+    ``total`` is a whole slice's result, of rows in no order, given their order as a column; if it is not named,
+    ``inside`` does not depend on the order."""
 
     inside: Callable[[], Column]
     across: Callable[[Column], Column]
     join: Callable[[Column, Column], Column]
+    total: Callable[[Column], Column] | None = None
 
 
 def row_numbers() -> Running:
@@ -42,6 +46,7 @@ def last_known(value: Column) -> Running:
         lambda: F.last(value, ignorenulls=True),
         lambda earlier: F.last(earlier, ignorenulls=True),
         lambda before, own: F.coalesce(own, before),
+        lambda order: F.max_by(value, F.when(value.isNotNull(), order)),
     )
 
 
@@ -59,7 +64,10 @@ def run(cut: DataFrame, by: Sequence[str], order: Sequence[str], outputs: dict[s
     Null groups are groups of their own. Rows that tie in the order get values in an arbitrary order.
     """
     rows = W.partitionBy(*by, SLICE).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    totals = cut.groupBy(*by, SLICE).agg(*(r.inside().alias(f"_t_{name}") for name, r in outputs.items()))
+    place = F.struct(*order)
+    totals = cut.groupBy(*by, SLICE).agg(
+        *((r.total(place) if r.total else r.inside()).alias(f"_t_{name}") for name, r in outputs.items())
+    )
     earlier = W.partitionBy(*by).orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
     left = totals.select(
         *(F.col(b).alias(f"_b_{b}") for b in by),
