@@ -8,7 +8,8 @@ from importlib import import_module
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 import public_tokenizers
 
-from . import bpe, conversations, decontaminate, line_dedup, pii, quality_model, quality_rules, sharding, simhash, substring
+from ..session import scratch_path
+from . import bpe, conversations, decontaminate, line_dedup, pii, quality_model, quality_rules, secret_ledger, sharding, simhash, substring
 from .common import joined_sha256, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -214,6 +215,56 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("conv_id", "n_turns", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 
+def sql_spans(rule: secret_ledger.Rule, place: int) -> str:
+    pattern = rule.pattern.replace("'", "''")
+    return f"""
+        select r, {place} as place, '{rule.kind}' as kind, spans.b as b, spans.e as e from (
+            select r, unnest(list_transform(range(1, len(m) + 1), lambda i: {{
+                'b': list_sum(list_transform(p[:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[:i - 1], lambda x: length(x))), 0),
+                'e': list_sum(list_transform(p[:i], lambda x: length(x))) + list_sum(list_transform(m[:i], lambda x: length(x))),
+                'n': length(c[i])}})) as spans
+            from (select r, regexp_split_to_array(text, '{pattern}') as p, regexp_extract_all(text, '{pattern}') as m,
+                         regexp_extract_all(text, '{pattern}', {rule.group}) as c from d)
+        ) where spans.n >= {rule.least}"""
+
+
+@query(
+    "op13_secret_ledger",
+    f"""
+    with d as (
+        select row_number() over () as r, doc_id, coalesce(text, '') as text from documents
+    ), spans as ({" union all ".join(sql_spans(rule, i) for i, rule in enumerate(secret_ledger.RULES))}
+    ), joined as (
+        select r, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access,
+               count(*) filter (kind = 'hex') as n_hex,
+               string_agg(kind || ':' || b || ':' || e, ',' order by b, place) filter (place < {len(secret_ledger.BASE)}) as base,
+               string_agg(kind || ':' || b || ':' || e, ',' order by b, place) as every
+        from spans group by r
+    )
+    select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+           sha256(coalesce(base, '')) as base_sha256, coalesce(every, '') as spans
+    from d left join joined using (r)
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ledger = secret_ledger.Ledger(spark, scratch_path(spark, "secret-ledger"))
+    found = secret_ledger.scan(ledger, documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: s["kind"].isin([r.kind for r in secret_ledger.BASE]))
+
+    def rendered(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *(number(r.kind) for r in secret_ledger.BASE),
+        F.sha2(rendered(base).cast("binary"), 256).alias("base_sha256"),
+        rendered(F.col("spans")).alias("spans"),
+    )
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return import_module("corpus_pipeline").run(spark, sf_dir)
