@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 import public_tokenizers
 
 from ..session import scratch_path
-from . import bpe, conversations, decontaminate, line_dedup, pii, quality_model, quality_rules, secret_ledger, sharding, simhash, substring
+from . import bpe, conversations, decontaminate, line_dedup, pii, prefix_trie, quality_model, quality_rules, secret_ledger, sharding, simhash, substring, whitening
 from .common import joined_sha256, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -215,6 +215,69 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("conv_id", "n_turns", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 
+@query(
+    "op11_prefix_trie",
+    """
+    with turns as (
+        select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+               row_number() over (partition by conv_id order by turn nulls first, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) as n
+        from conversations where conv_id is not null
+    ), ids as (
+        select conv_id, count(*) as own, cast(conv_id as varchar) as digits from turns group by conv_id
+    ), hashed as (
+        select conv_id, own, conv_id - conv_id % 100 as base,
+               xor(list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(string_split(digits, ''), lambda c: [ascii(c)::bigint, 0, 0, 0, 0, 0, 0, 0]))),
+                               lambda crc, b: xor(xor(crc, b) >> 1, (xor(crc, b) & 1) * 3988292384)), 4294967295) % 6 as h
+        from ids
+    ), plan as (
+        select c.conv_id, c.own, c.base, c.h, least(c.h, coalesce(b.own, 0)) as taken
+        from hashed c left join ids b on b.conv_id = c.base
+    ), rebuilt as (
+        select p.conv_id, t.n as depth, role, text from plan p join turns t on t.conv_id = p.base and t.n <= p.taken
+        union all
+        select p.conv_id, t.n - p.h + p.taken, role, text from plan p join turns t on t.conv_id = p.conv_id and t.n > p.h
+    ), prefixes as (
+        select conv_id, depth, length(text) as chars,
+               sha256(string_agg(length(role) || ':' || role || length(text) || ':' || text, '') over (partition by conv_id order by depth)) as h
+        from rebuilt
+        union all
+        select conv_id, 0, 0, '' from ids
+    ), lengths as (
+        select conv_id, max(depth) as length from prefixes group by conv_id
+    ), nodes as (
+        select depth, h, min(conv_id) as node, count(*) as n_convs, max(chars) as chars from prefixes group by depth, h
+    ), places as (
+        select p.conv_id, p.depth, n.node from prefixes p join nodes n using (depth, h)
+    ), linked as (
+        select n.node, n.depth, p.node as parent, n.n_convs, (n.n_convs - 1) * n.chars as saved
+        from nodes n left join places p on p.conv_id = n.node and p.depth = n.depth - 1
+    ), children as (
+        select parent as node, depth - 1 as depth, count(*) as n from linked where parent is not null group by all
+    ), sums as (
+        select p.node, p.depth, count(*) filter (c.n is null) as n_leaves, sum(l.saved)::bigint as saved_tokens
+        from linked l left join children c on c.node = l.node and c.depth = l.depth
+        join places p on p.conv_id = l.node and p.depth <= l.depth
+        group by p.node, p.depth
+    ), ends as (
+        select node, depth, sha256(string_agg(cast(conv_id as varchar), ',' order by conv_id)) as ends_sha256
+        from places join lengths using (conv_id) where depth = length group by node, depth
+    )
+    select l.node as conv_id, l.depth, l.parent as parent_conv_id, l.n_convs, coalesce(c.n, 0) as n_children,
+           s.n_leaves, s.saved_tokens, coalesce(e.ends_sha256, sha256('')) as ends_sha256
+    from linked l left join children c on c.node = l.node and c.depth = l.depth
+    join sums s on s.node = l.node and s.depth = l.depth
+    left join ends e on e.node = l.node and e.depth = l.depth
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), openings=True)
+
+
+@query("op12_bit_sliced_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def sql_spans(rule: secret_ledger.Rule, place: int) -> str:
     pattern = rule.pattern.replace("'", "''")
     return f"""
