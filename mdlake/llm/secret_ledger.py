@@ -31,8 +31,8 @@ from ..session import child_names, staged
 
 SPANS = "array<struct<kind:string,start:int,end:int>>"
 SCANS = f"blob string, rules array<string>, spans {SPANS}"
-# Blobs up to which the list of what to scan is broadcast, after counting it (some 150 bytes each); beyond, the join shuffles.
-MAX_BROADCAST_BLOBS = 100_000
+# Blobs up to which the list of what to scan is broadcast, after counting it (2 MB); beyond, the join shuffles.
+MAX_BROADCAST_BLOBS = 10_000
 
 
 @dataclass(frozen=True)
