@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 import public_tokenizers
 
-from mdlake.llm import bpe, decontaminate, jaccard, line_dedup, quality_model
+from mdlake.llm import bpe, decontaminate, line_dedup, quality_model, simhash
 from mdlake.llm.common import joined_sha256, table
 from mdlake.session import scratch_path
 
@@ -20,7 +20,11 @@ RANKS = "byte_bpe_50k.tiktoken"
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the documents that the quality classifier accepts; it learns from the labels of these documents."""
+    """Keep the documents that the quality classifier accepts; it learns from the labels of these documents.
+
+    Rows are judged one by one, null and empty texts too; repeated rows get the same verdict. Without labels all get
+    the same score.
+    """
     judged = quality_model.classify(docs, table(spark, sf_dir, "labels"))
     return judged.where(F.col("predicted") == 1).select(docs.columns)
 
@@ -36,16 +40,21 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each near-duplicate group, and documents without an id.
 
-    Near-duplicates are texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more. An id whose rows have different texts stays if it is the smallest of any of their groups.
+    Near-duplicates are linked by SimHash fingerprints of four-word shingles that differ in at most four bits. Null and
+    empty texts are one group. An id whose rows have different texts stays if it is the smallest of any of their
+    groups; its rows go or stay together.
     """
-    found = jaccard.near_duplicates(docs)
+    found = simhash.near_duplicates(docs)
     stays = F.bool_or(F.col("doc_id") == F.col("component_id"))
     gone = found.groupBy("doc_id").agg(stays.alias("stays")).where(~F.col("stays")).select("doc_id")
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the documents that hold no passage of the benchmark; without an id, the text's hash tells them apart."""
+    """Keep the documents that hold no passage of the benchmark; without an id, the text's hash tells them apart.
+
+    An id is one document: if one of its texts holds a passage, all its rows go. Null and empty texts hold none.
+    """
     key = F.coalesce(F.col("doc_id"), F.xxhash64("text"))
     judged = decontaminate.contamination(docs.select(key.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
     gone = judged.where("contaminated").select(F.col("doc_id").alias("_gone")).distinct()
