@@ -15,6 +15,7 @@ import regex
 import xxhash
 
 from mdlake.llm import bpe, conversations, line_dedup, sharding, substring
+from mdlake.operators import slices
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -293,3 +294,18 @@ def test_conversations_empty_table(spark):
     assert conversations.collapse_snapshots(empty).count() == 0
 
 
+
+
+def test_a_conversation_with_a_third_of_all_rows_spreads_over_tasks(spark):
+    rows = [(1, i, "user", f"hot {i}") for i in range(600)] + [(10 + c, i, "user", f"{c} {i}") for c in range(300) for i in range(4)]
+    rows += [(5, i, "user", f"hot {i}") for i in range(200)]  # a snapshot of the hot one
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small shuffles are cut like large ones
+    try:
+        df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+        prefixes = conversations.turn_prefixes(df)
+        assert prefixes.where("conv_id = 1").select(slices.SLICE).distinct().count() > 1
+        out = {r["conv_id"]: (r["n_turns"], r["text"]) for r in conversations.collapse_snapshots(df).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert set(out) == {1, *range(10, 310)}
+    assert out[1] == (600, "".join(f"<|user|>\nhot {i}<|end|>\n" for i in range(600)))
