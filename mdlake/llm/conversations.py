@@ -9,11 +9,17 @@ Turns are ordered by ``turn``, then role and text, so gaps in the numbers and re
 null turns come first. Exactly repeated rows count once. A null role or text counts as empty. Rows without
 a conversation id are left out, as nothing says which turns belong together. Extra columns are ignored, and
 an empty table gives no rows.
+
+A conversation is walked in range slices, so one with a third of all rows spreads over many tasks. It is
+rendered slice by slice too; only the last step puts its slices into one text, which may not be longer than
+Spark's limit of 2 GB for a value (the job fails then, nothing is cut).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from ..operators import slices
 
 PREFIX = ["n_turns", "h1", "h2"]
 # The marks around a rendered turn.
@@ -21,10 +27,7 @@ TURN_FORMAT = "<|{role}|>\n{text}<|end|>\n"
 
 
 def turn_prefixes(turns: DataFrame) -> DataFrame:
-    """(conv_id, role, text, n_turns, h1, h2, total): each turn with the hash of all turns up to it.
-
-    The running window streams over a conversation, however long, and spills if it has to.
-    """
+    """(conv_id, role, text, n_turns, h1, h2, slice): each turn with the hash of all turns up to it."""
     clean = (
         turns.where(F.col("conv_id").isNotNull())
         .select(
@@ -35,21 +38,15 @@ def turn_prefixes(turns: DataFrame) -> DataFrame:
         )
         .distinct()
     )
-    ordered = W.partitionBy("conv_id").orderBy("turn", "role", "text")
-    running = ordered.rowsBetween(W.unboundedPreceding, W.currentRow)
-    numbered = clean.withColumn("n_turns", F.row_number().over(ordered))
+    by, order = ["conv_id"], ["turn", "role", "text"]
+    cut = slices.sliced(clean, by, order)
+    numbered = slices.run(cut, by, order, {"n_turns": slices.row_numbers()}, keep_slice=True)
 
     def turn_hash(half: int) -> Column:
         return F.xxhash64(F.lit(half), "n_turns", "role", "text")
 
-    return numbered.select(
-        "conv_id",
-        "role",
-        "text",
-        "n_turns",
-        F.bit_xor(turn_hash(1)).over(running.orderBy("n_turns")).alias("h1"),
-        F.bit_xor(turn_hash(2)).over(running.orderBy("n_turns")).alias("h2"),
-    )
+    hashes = {"h1": slices.running_xor(turn_hash(1)), "h2": slices.running_xor(turn_hash(2))}
+    return slices.run(numbered, by, ["n_turns"], hashes, keep_slice=True).drop("turn")
 
 
 def maximal(prefixes: DataFrame) -> DataFrame:
@@ -71,11 +68,15 @@ def render(prefixes: DataFrame, kept: DataFrame) -> DataFrame:
     before_text, after_text = rest.split("{text}")
     piece = F.concat(F.lit(before_role), "role", F.lit(before_text), "text", F.lit(after_text))
     pieces = prefixes.join(kept.select("conv_id"), "conv_id", "left_semi").select(
-        "conv_id", F.struct("n_turns", piece.alias("piece")).alias("turn")
+        "conv_id", slices.SLICE, F.struct("n_turns", piece.alias("piece")).alias("turn")
     )
-    together = F.sort_array(F.collect_list("turn"))
-    return pieces.groupBy("conv_id").agg(
-        F.count(F.lit(1)).alias("n_turns"), F.array_join(together["piece"], "").alias("text")
+
+    def joined(parts: Column, name: str) -> Column:
+        return F.array_join(F.sort_array(F.collect_list(parts))[name], "")
+
+    chunks = pieces.groupBy("conv_id", slices.SLICE).agg(F.count(F.lit(1)).alias("n"), joined(F.col("turn"), "piece").alias("chunk"))
+    return chunks.groupBy("conv_id").agg(
+        F.sum("n").alias("n_turns"), joined(F.struct(slices.SLICE, "chunk"), "chunk").alias("text")
     )
 
 
