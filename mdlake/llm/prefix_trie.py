@@ -107,12 +107,13 @@ def named_rows(conversations: DataFrame, rows: DataFrame) -> tuple[DataFrame, Da
     zero = F.lit(0).cast("long")
     roots = conversations.select("conv_id", *(zero.alias(k) for k in key), "length", zero.alias("chars"))
     every = kept(hashed.select("conv_id", *key, "length", "chars").union(roots), "prefixes")
-    nodes = every.groupBy(*key).agg(
+    counted = every.groupBy(*key).agg(
         F.min("conv_id").alias("node"),
         F.count(F.lit(1)).alias("n_convs"),
         F.sum(F.col("length") - F.col("depth") + 1).alias("weight"),
         F.max("chars").alias("chars"),
     )
+    nodes = kept(counted, "counted")  # so that the join below shuffles both sides anew, and can split a hot opening
     named = kept(every.join(nodes.select(*key, "node"), key).select("conv_id", "depth", "node", "length"), "names")
     above = named.select("conv_id", (F.col("depth") + 1).alias("depth"), F.col("node").alias("parent"))
     return named.join(above, ["conv_id", "depth"], "left"), nodes.drop("h1", "h2")
