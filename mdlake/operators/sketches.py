@@ -33,8 +33,8 @@ def merged(stored: DataFrame, by: Sequence[str], distinct: Sequence[str], quanti
     """States of coarser groups from stored ones, in the same form, so that they can be stored and merged again."""
     return stored.groupBy(*by).agg(
         F.sum("n_rows").alias("n_rows"),
-        *(F.hll_union_agg(c, F.lit(False)).alias(c) for c in distinct),
-        *(F.kll_merge_agg_double(c, F.lit(KLL_K)).alias(c) for c in quantile),
+        *(F.when(F.count(c) > 0, F.hll_union_agg(c, F.lit(False))).alias(c) for c in distinct),
+        *(F.when(F.count(c) > 0, F.kll_merge_agg_double(c, F.lit(KLL_K))).alias(c) for c in quantile),
     )
 
 

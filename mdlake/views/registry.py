@@ -6,7 +6,7 @@ from importlib import import_module
 
 from .base import ORACLES, QUERIES, Query
 
-MODULES = ("calendar_checks", "cleaning_checks", "merge_checks", "planning_checks", "quality_checks", "job_checks")
+MODULES = ("calendar_checks", "cleaning_checks", "merge_checks", "planning_checks", "quality_checks", "job_checks", "analysis_checks", "event_checks")
 
 
 def _load() -> None:
