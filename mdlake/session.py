@@ -8,6 +8,7 @@ from contextlib import contextmanager
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -93,6 +94,23 @@ def delete_folder(spark: SparkSession, path: str) -> bool:
     return bool(folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True))
 
 
+def move_file(spark: SparkSession, source: str, target: str) -> bool:
+    """Move a file into place unless there is one already; false if there is. Folders are made as needed."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    old, new = hadoop.Path(source), hadoop.Path(target)
+    system = new.getFileSystem(conf)
+    system.mkdirs(new.getParent())
+    context = hadoop.FileContext.getFileContext(system.getUri(), conf)
+    careful = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)  # no option: nothing is overwritten
+    try:
+        context.rename(old, new, careful)
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getSimpleName() != "FileAlreadyExistsException":
+            raise
+        return False
+    return True
+
+
 @contextmanager
 def staged(df: DataFrame, name: str, reader: SparkSession | None = None) -> Iterator[DataFrame]:
     """Evaluate once into parquet in the shared folder and read from there.
