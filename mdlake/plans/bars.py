@@ -6,17 +6,17 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.codes import SHARDS
 from ..functions.dates import in_session
-from ..operators import calendar as cal_ops, cleaning, state
+from ..operators import calendar as cal_ops, cleaning, quality, state
 from ..session import local_frame, staged
 from ..sources import bars_csv
 from ..sources.lake import LakeTable
-from ..sources.landed import LANDED_DAY
+from ..sources.landed import LANDED_DAY, file_name, list_files
 from .specs import BARS, SPECS
-from .update import Lake, apply_retention, retention_cutoff, write_batch
+from .update import Lake, affected, apply_retention, retention_cutoff, write_batch
 
 FEED = BARS.name
 
@@ -30,6 +30,13 @@ class BarsReport:
     rows_deleted: int
     cursors: dict[str, date | None]
     inserted_by_shard: dict[str, int]
+    # only counted on request: rows that lack a part of their key, that fall outside of sessions, open days or the
+    # window, that changed a stored row, that equal it, and the count a server would report as affected
+    rows_dropped: int | None = None
+    rows_outside: int | None = None
+    rows_updated: int | None = None
+    rows_unchanged: int | None = None
+    rows_affected: int | None = None
 
 
 def resolve_end(lake: Lake, end: date | None, now: datetime) -> date:
@@ -100,23 +107,34 @@ def _load(
     write_mode: str,
     codes: DataFrame | None,
     listed: DataFrame | None,
-) -> tuple[int, dict[str, int], dict[str, date]]:
-    """Load whole day folders; (rows fetched, inserted per shard, newest day per shard).
+    count_changes: bool = False,
+) -> tuple[int, dict[str, int], dict[str, date], dict[str, int]]:
+    """Load whole day folders; (rows fetched, inserted per shard, newest day per shard, counts on request).
 
     The files of ``listed`` are recorded as done, except those with rows that a later run may want: on days
     after the shard's end, or that the calendar does not know yet. A file outside a day folder is never done.
     """
     if not days:
-        return 0, {s: 0 for s in SHARDS}, {}
+        return 0, {s: 0 for s in SHARDS}, {}, {}
+    counts: dict[str, int] = {}
     cal = lake.calendar()
     # text is parsed once, into the staged rows; every filter then works on typed columns
     with staged(parse_landed(lake, days), BARS.name) as parsed:
         batch = usable(parsed, cal, starts, ends).drop(bars_csv.SOURCE_FILE)
+        if count_changes:
+            keyless = F.count_if(F.col("ts_code").isNull() | F.col("trade_time").isNull())
+            every = parsed.agg(F.count(F.lit(1)).alias("n"), keyless.alias("dropped")).first()
+            counts = {"rows_dropped": every.dropped, "rows_outside": every.n - every.dropped - batch.count()}
         if codes is not None:
             batch = cleaning.only_codes(batch, codes)
         day = F.col("trade_time").cast("date")
         newest = {r.shard: r.day for r in batch.groupBy("shard").agg(F.max(day).alias("day")).collect()}
-        result = write_batch(lake.table(BARS), BARS, batch, write_mode)
+        result = write_batch(lake.table(BARS), BARS, batch, write_mode, count_changes=count_changes)
+        if count_changes:
+            seen = result.changes or {}
+            replaced = seen.get("updated", 0) if write_mode == "upsert" else 0
+            kept = seen.get("unchanged", 0) + seen.get("updated", 0) - replaced
+            counts |= {"rows_updated": replaced, "rows_unchanged": kept, "rows_affected": affected(seen, write_mode)}
         if listed is not None:
             dated = parsed.where(F.col("trade_time").isNotNull()).withColumn("_day", day)
             known = cal.select(F.col("cal_date").alias("_day")).distinct()
@@ -124,13 +142,13 @@ def _load(
             wanted = later.select(bars_csv.SOURCE_FILE).union(
                 dated.join(known, "_day", "left_anti").select(bars_csv.SOURCE_FILE)
             )
-            open_files = wanted.select(bars_csv.file_name(F.col(bars_csv.SOURCE_FILE)).alias("path")).distinct()
+            open_files = wanted.select(file_name(F.col(bars_csv.SOURCE_FILE)).alias("path")).distinct()
             read = listed.where(F.col(LANDED_DAY).isin(*days) & (F.col(LANDED_DAY) != ""))
             folders = [f"{LANDED_DAY}={d}" for d in days if d]
             if folders:
                 done_files(lake).replace(read.join(open_files, "path", "left_anti"), folders)
     inserted = {s: sum(n for p, n in result.inserted_by_part.items() if p.endswith(f"shard={s}")) for s in SHARDS}
-    return result.fetched, inserted, newest
+    return result.fetched, inserted, newest, counts
 
 
 def _move_cursors(lake: Lake, cursors: dict[str, date | None], reached: dict[str, date], now: datetime) -> dict[str, date | None]:
@@ -151,12 +169,14 @@ def update_bars(
     keep_open_days: int = 250,
     write_mode: str = "upsert",
     no_delete: bool = False,
+    count_changes: bool = False,
 ) -> BarsReport:
     """Load the files that are new or rewritten since the last run, and enforce retention.
 
     An explicit start or a look-back reads all files of its range again. The cursor is the newest day with
     data; it only sets where a first run without retention starts. A run restricted to some codes reads all
-    files of its range, records none of them and leaves the cursors.
+    files of its range, records none of them and leaves the cursors. ``count_changes`` fills the report's counts, which
+    takes another pass.
     """
     last = resolve_end(lake, end, now)
     cutoff = None if no_delete else retention_cutoff(lake, keep_open_days, last, BARS.exchange)
@@ -167,15 +187,16 @@ def update_bars(
     begin = max(floor, start) if start and cutoff else start or floor
     if lookback_days:
         begin = max(min(begin, last - timedelta(days=2 * lookback_days)), cutoff or date.min)
-    listed = bars_csv.list_files(lake.spark, landed_path(lake), begin, last)
+    listed = list_files(lake.spark, landed_path(lake), begin, last, "*.csv*")
     again = start is not None or lookback_days > 0 or codes is not None
     days = sorted(r[0] for r in listed.select(LANDED_DAY).distinct().collect()) if again else pending_days(lake, listed)
     starts, ends = {s: begin for s in SHARDS}, {s: last for s in SHARDS}
     complete = codes is None and begin <= floor
-    fetched, inserted, newest = _load(lake, days, starts, ends, write_mode, codes, listed if complete else None)
+    recorded = listed if complete else None
+    fetched, inserted, newest, counts = _load(lake, days, starts, ends, write_mode, codes, recorded, count_changes)
     moved = cursors if codes is not None else _move_cursors(lake, cursors, newest, now)
     deleted = _retain(lake.table(BARS), cutoff)
-    return BarsReport(last, cutoff, fetched, sum(inserted.values()), deleted, moved, inserted)
+    return BarsReport(last, cutoff, fetched, sum(inserted.values()), deleted, moved, inserted, **counts)
 
 
 def _first_recorded(lake: Lake) -> date | None:
@@ -228,6 +249,7 @@ def backfill_bars(
     max_codes: int = 0,
     max_days: int = 0,
     no_delete: bool = False,
+    count_changes: bool = False,
 ) -> BarsReport:
     """Load the last ``keep_open_days`` open days of every instrument.
 
@@ -251,16 +273,42 @@ def backfill_bars(
         for s in SHARDS:
             ahead = [d for d in ordered if not (resume and cursors[s]) or d > cursors[s]][:max_days]
             ends[s] = ahead[-1] if ahead else last
-    listed = bars_csv.list_files(lake.spark, landed_path(lake), cutoff, max(ends.values()))
+    listed = list_files(lake.spark, landed_path(lake), cutoff, max(ends.values()), "*.csv*")
     if resume and not reset_cursor:
         days = pending_days(lake, listed)
     else:
         days = sorted(r[LANDED_DAY] for r in listed.select(LANDED_DAY).distinct().collect())
     starts = {s: cutoff for s in SHARDS}
-    fetched, inserted, _ = _load(lake, days, starts, ends, write_mode, chosen, None if max_codes else listed)
+    recorded = None if max_codes else listed
+    fetched, inserted, _, counts = _load(lake, days, starts, ends, write_mode, chosen, recorded, count_changes)
     if not max_codes and lake.table(BARS).exists():
         ahead_of = min((c for c in cursors.values() if c), default=cutoff)
         complete = newest_complete_days(lake, universe, first=max(cutoff, ahead_of), last=max(ends.values()))
         cursors = _move_cursors(lake, cursors, {s: min(d, ends[s]) for s, d in complete.items()}, now)
     deleted = 0 if no_delete else _retain(lake.table(BARS), cutoff)
-    return BarsReport(last, cutoff, fetched, sum(inserted.values()), deleted, cursors, inserted)
+    return BarsReport(last, cutoff, fetched, sum(inserted.values()), deleted, cursors, inserted, **counts)
+
+
+def audit_shards(lake: Lake) -> DataFrame:
+    """Columns whose presence or type differs between the files of the stored shards, or that are text though numeric.
+
+    Every revision's files have one schema, which is read from one of them; no rows are read. A shard whose live
+    partitions were written with several schemas counts once for each.
+    """
+    table = lake.table(BARS)
+    at = table.snapshot()
+    schemas: dict[str, T.StructType] = {}
+    found: dict[str, dict[str, T.StructType]] = {s: {} for s in SHARDS}
+    for part in at.parts:
+        shard = part.part.split("shard=")[1]
+        if part.folder not in schemas:
+            schemas[part.folder] = lake.spark.read.parquet(f"{table.path}/data/{part.folder}/{part.part}").schema
+        found.setdefault(shard, {})[schemas[part.folder].simpleString()] = schemas[part.folder]
+    frames = {}
+    for shard, kinds in found.items():
+        for i, schema in enumerate(kinds.values()):
+            frames[f"{shard}#{i + 1}" if len(kinds) > 1 else shard] = lake.spark.createDataFrame([], schema)
+    if not frames:
+        frames = {"none": lake.spark.createDataFrame([], BARS.schema)}
+    numeric = [f.name for f in BARS.schema if isinstance(f.dataType, T.NumericType)]
+    return quality.schema_drift(frames, numeric)

@@ -18,7 +18,7 @@ from ..functions.dates import month_label
 from ..operators import calendar as cal_ops, cleaning, merge, retention, state, windows
 from ..session import local_frame, staged
 from ..sources.lake import LakeTable
-from ..sources.landed import LANDING_ORDER, landed_or_none
+from ..sources.landed import FILES, LANDING_ORDER, added_columns, file_name, landed_or_none, list_files
 from .specs import BARS, SPECS, STATE_KEYS, STATE_SCHEMA, TableSpec, backfill_order, calendar_years, update_order
 
 MASTER = "MASTER"
@@ -47,11 +47,14 @@ class TableReport:
     cursor_value: str | None = None
     retention_cutoff: str | None = None
     added_columns: tuple[str, ...] = ()
-    # only counted on request: rows that changed a stored one, that equal it, and that lack a part of their key
+    # only counted on request: rows that changed a stored one, that equal it, and that lack a part of their key; the
+    # count a server would report as affected; landed files that are exactly one full page, so that a page may be missing
     rows_updated: int | None = None
     rows_unchanged: int | None = None
     rows_dropped: int | None = None
     rows_not_finite: int | None = None
+    rows_affected: int | None = None
+    pages_truncated: int | None = None
 
 
 class Lake:
@@ -138,6 +141,53 @@ def takes_codes(spec: TableSpec) -> bool:
     return spec.by_instrument and "ts_code" in spec.schema.names
 
 
+@dataclass(frozen=True)
+class Landed:
+    """What lies in the folders of a table whose rows come from several feeds, compared with the last run.
+
+    ``files`` is what is there now; ``loaded_until`` is the last day up to which the known ones were loaded, and
+    ``fresh`` names the files that are new or rewritten since.
+    """
+
+    files: DataFrame
+    fresh: DataFrame
+    loaded_until: date | None
+
+
+def loaded_files(lake: Lake, spec: TableSpec) -> LakeTable:
+    """Landed files of a table with several feeds, and the day up to which their rows are loaded."""
+    return LakeTable(lake.spark, f"{lake.root}/{spec.name}_files", f"{FILES}, loaded_until date")
+
+
+def landed_since(lake: Lake, spec: TableSpec, floor: date, end: date) -> Landed:
+    """The files of all feeds of a table, in day folders within [floor, end] and outside of day folders."""
+    listed = [list_files(lake.spark, f"{lake.landing}/{feed}", floor, end) for feed in spec.landed()]
+    files = reduce(DataFrame.union, listed)
+    known = loaded_files(lake, spec).rows()
+    fresh = state.pending_units(files, known, ["path", "length", "modified"]).select("path")
+    return Landed(files, fresh, known.agg(F.min("loaded_until")).first()[0])
+
+
+def days_to_merge(lake: Lake, spec: TableSpec, landed: Landed, floor: date, end: date) -> DataFrame | None:
+    """(day): days up to ``end`` that were not loaded yet, or of which any feed has rows in a fresh file; None for all."""
+    if landed.loaded_until is None:
+        return None
+    days = cal_ops.open_days(lake.calendar(), spec.exchange, landed.loaded_until + timedelta(days=1), end).select(F.col("cal_date").alias("_merge_day"))
+    if not landed.fresh.isEmpty():
+        for raw in landed_feeds(lake, spec, floor, end):
+            new = raw.withColumn("path", file_name(F.col(f"{LANDING_ORDER}.file"))).join(landed.fresh, "path", "left_semi")
+            days = days.union(cleaning.clean(new, spec).select(F.col(spec.cursor)))
+    return days.where(F.col("_merge_day").isNotNull()).distinct()
+
+
+def record_files(lake: Lake, spec: TableSpec, landed: Landed, end: date) -> None:
+    """Remember what was read: rows up to ``end``, or to the last day that the calendar knows, are loaded."""
+    until = lake.calendar().agg(F.least(F.max("cal_date"), F.lit(end))).first()[0]
+    table = loaded_files(lake, spec)
+    at = table.snapshot()
+    table.replace(landed.files.withColumn("loaded_until", F.lit(until).cast("date")).coalesce(1), [""], at)
+
+
 def _wanted(raw: DataFrame, lake: Lake, spec: TableSpec, first: date, last: date) -> DataFrame:
     """Accepted values, and the date range where the landed column is a date already."""
     for column, values in lake.accepted(spec).items():
@@ -148,12 +198,19 @@ def _wanted(raw: DataFrame, lake: Lake, spec: TableSpec, first: date, last: date
     return raw
 
 
-def landed_feeds(lake: Lake, spec: TableSpec, start: date, end: date) -> list[DataFrame]:
-    """Raw rows of a table's feeds that have landed, accepted values only."""
+def landed_feeds(lake: Lake, spec: TableSpec, start: date, end: date, vendor_columns: bool = False) -> list[DataFrame]:
+    """Raw rows of a table's feeds that have landed, accepted values only.
+
+    ``vendor_columns`` also reads JSON columns that the specification names for no feed; other formats carry them anyway.
+    """
+    named = T.StructType([*spec.schema.fields, *(f for schema in spec.landed().values() for f in schema)])
     first = start.replace(day=1) if spec.from_month_start else start
     feeds = []
     for feed, schema in spec.landed().items():
         folders = (start, end) if spec.by_open_day else (None, None)
+        if vendor_columns and lake.fmt == "json":
+            new = added_columns(lake.spark, lake.landing, feed, named, *folders)
+            schema = T.StructType([*schema.fields, *new.fields])
         raw = landed_or_none(
             lake.spark, lake.landing, feed, schema, lake.fmt, *folders, where=lambda df: _wanted(df, lake, spec, first, end)
         )
@@ -162,27 +219,36 @@ def landed_feeds(lake: Lake, spec: TableSpec, start: date, end: date) -> list[Da
     return feeds
 
 
-def read_batch(lake: Lake, spec: TableSpec, start: date, end: date, codes: DataFrame | None = None) -> DataFrame | None:
-    """Cleaned rows of a table's landed feeds within [start, end]; None when nothing ever landed."""
+def read_batch(
+    lake: Lake, spec: TableSpec, start: date, end: date, codes: DataFrame | None = None, days: DataFrame | None = None
+) -> DataFrame | None:
+    """Cleaned rows of a table's landed feeds within [start, end]; None when nothing ever landed.
+
+    ``days`` restricts them to some days.
+    """
     first = start.replace(day=1) if spec.from_month_start else start
     feeds = []
-    for raw in landed_feeds(lake, spec, start, end):
-        rows = cleaning.drop_null_keys(cleaning.clean(raw, spec), spec.keys)
+    for raw in landed_feeds(lake, spec, start, end, vendor_columns=True):
+        new_dates = [n for n in raw.columns if n.endswith("_date") and n not in (*spec.schema.names, *spec.dates)]
+        rows = cleaning.drop_null_keys(cleaning.normalize_dates(cleaning.clean(raw, spec), new_dates), spec.keys)
         if spec.cursor:
             rows = rows.where(F.col(spec.cursor).between(F.lit(first), F.lit(end)))
         if spec.by_open_day:
             rows = cal_ops.on_open_days(rows, lake.calendar(), F.col(spec.cursor), spec.exchange)
         if codes is not None and takes_codes(spec):
             rows = cleaning.only_codes(rows, codes)
+        if days is not None:
+            rows = rows.join(F.broadcast(days), F.col(spec.cursor) == F.col("_merge_day"), "left_semi")  # one row per date
         feeds.append(rows)
     if len(feeds) == 2:
         return merge.merge_feeds(*feeds, spec.keys, spec.cursor, order=(LANDING_ORDER,), null_safe=False)
     return feeds[0] if feeds else None
 
 
-def count_losses(lake: Lake, spec: TableSpec, start: date, end: date) -> tuple[int, int]:
-    """Landed rows that lack a part of their key, and rows with a number that is not finite (stored as NULL)."""
-    dropped = infinite = 0
+def count_losses(lake: Lake, spec: TableSpec, start: date, end: date) -> tuple[int, int, int]:
+    """Landed rows that lack a part of their key, rows with a number that is not finite (stored as NULL), and files
+    of exactly one full page, whose next page may not have landed."""
+    dropped = infinite = truncated = 0
     floating = [f.name for f in spec.schema if isinstance(f.dataType, T.DoubleType)]
     for raw in landed_feeds(lake, spec, start, end):
         rows = cleaning.clean(raw, spec)
@@ -190,8 +256,15 @@ def count_losses(lake: Lake, spec: TableSpec, start: date, end: date) -> tuple[i
         missing = reduce(or_, [F.col(k).isNull() for k in spec.keys])
         texts = [F.lower(F.trim(F.col(f"`{c}`").cast("string"))).isin(*NOT_FINITE) for c in present]
         counts = rows.agg(F.count_if(missing)).first()[0], raw.agg(F.count_if(reduce(or_, texts, F.lit(False)))).first()[0]
-        dropped, infinite = dropped + counts[0], infinite + counts[1]
-    return dropped, infinite
+        files = raw.groupBy(F.col(f"{LANDING_ORDER}.file").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+        full = files.where(F.col("n") == windows.PAGE_ROWS).count()
+        dropped, infinite, truncated = dropped + counts[0], infinite + counts[1], truncated + full
+    return dropped, infinite, truncated
+
+
+def affected(changes: dict[str, int], mode: str) -> int:
+    """One per inserted row, two per replaced one, none for rows that stay as they are."""
+    return changes.get("inserted", 0) + (2 * changes.get("updated", 0) if mode == "upsert" else 0)
 
 
 @dataclass(frozen=True)
@@ -259,30 +332,51 @@ def update_table(
     write_mode: str = "upsert",
     no_delete: bool = False,
     count_changes: bool = False,
+    by_files: bool = False,
 ) -> TableReport:
     """Bring one table up to date according to its plan.
 
-    A run restricted to some codes writes their rows and leaves the cursor, so the others still load.
+    A run restricted to some codes writes their rows and leaves the cursor, so the others still load. A table
+    whose rows come from several feeds is decided by files, since its feeds land at different times and a day
+    is only right once all of them are merged: days with a row in a file that is new or rewritten, in whichever feed and
+    however old, are merged again from all feeds. Its cursor only tells the newest day and where a first run starts.
+    An explicit start or a look-back reads its whole range, as for other tables, and leaves the files as they are.
     """
     partial = codes is not None and takes_codes(spec)
+    by_files = by_files and not partial and spec.by_open_day and len(spec.landed()) > 1
     report = TableReport(
         spec.name, plan.start.isoformat(), plan.end.isoformat(), cursor_col=spec.cursor,
         retention_cutoff=plan.cutoff.isoformat() if plan.cutoff else None,
     )
     table = lake.table(spec)
-    batch = read_batch(lake, spec, plan.start, plan.end, codes)
+    start, days, landed = plan.start, None, None
+    if by_files:
+        floor = plan.cutoff or plan.end - timedelta(days=state.FIRST_RUN_DAYS)
+        landed = landed_since(lake, spec, floor, plan.end)
+        days = days_to_merge(lake, spec, landed, floor, plan.end)
+        if days is not None:
+            first = days.where(F.col("_merge_day").between(F.lit(floor), F.lit(plan.end))).agg(F.min("_merge_day")).first()[0]
+            # rows of a day land on it or later, so folders before the first day to merge are not needed
+            start = first or plan.end
+        else:
+            start = floor
+        report.start = start.isoformat()
+    batch = read_batch(lake, spec, start, plan.end, codes, days)
     result = WriteResult(0, 0, None)
     if batch is not None:
         newest = F.col(spec.cursor) if spec.cursor else None
         with staged(batch, spec.name) as rows:
             result = write_batch(table, spec, rows, write_mode, newest, count_changes)
+    if landed is not None and batch is not None:
+        record_files(lake, spec, landed, plan.end)
     report.rows_fetched, report.rows_inserted, report.added_columns = result.fetched, result.inserted, result.added
     if count_changes:
         seen = result.changes or {}
         ignored = write_mode == "ignore"  # which leaves what is stored
         report.rows_updated = 0 if ignored else seen.get("updated", 0)
         report.rows_unchanged = seen.get("unchanged", 0) + (seen.get("updated", 0) if ignored else 0)
-        report.rows_dropped, report.rows_not_finite = count_losses(lake, spec, plan.start, plan.end)
+        report.rows_affected = affected(seen, write_mode)
+        report.rows_dropped, report.rows_not_finite, report.pages_truncated = count_losses(lake, spec, start, plan.end)
     if spec.cursor:
         following = plan.cursor if partial else next_cursor(plan, result)
         report.cursor_value = following.isoformat() if following else None
@@ -327,7 +421,8 @@ def update(
     rest = ordered[1:]
     plans = plan_tables(lake, rest, end, start, lookback_days, no_delete) if rest else {}
     for spec in rest:
-        reports.append(update_table(lake, spec, plans[spec.name], now, codes, write_mode, no_delete, count_changes))
+        by_files = start is None and not lookback_days
+        reports.append(update_table(lake, spec, plans[spec.name], now, codes, write_mode, no_delete, count_changes, by_files))
     return reports
 
 
@@ -388,6 +483,7 @@ def report_frame(spark: SparkSession, reports: Sequence[TableReport]) -> DataFra
     ddl = (
         "`table` string, start string, end string, rows_fetched bigint, rows_inserted bigint, rows_deleted bigint, "
         "cursor_col string, cursor_value string, retention_cutoff string, added_columns array<string>, "
-        "rows_updated bigint, rows_unchanged bigint, rows_dropped bigint, rows_not_finite bigint"
+        "rows_updated bigint, rows_unchanged bigint, rows_dropped bigint, rows_not_finite bigint, rows_affected bigint, "
+        "pages_truncated bigint"
     )
     return local_frame(spark, [astuple(r) for r in reports], ddl)

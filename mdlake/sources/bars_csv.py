@@ -1,16 +1,14 @@
 """Intraday bars landed as gzip CSV with a header.
 
-Spark maps CSV columns by position, but the files do not agree on column order. The files are read once,
-without their header lines being taken for names; each file's first row then says which position holds which
-column, and rows and headers meet in a join by file. Empty files yield no rows.
+The files do not agree on column order, and may have any number of further columns, unnamed ones included. Lines
+are read once and split into as many fields as they have; each file's first line then says which position holds
+which column, and lines and headers meet in a join by file. Empty files yield no rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..session import checkpointed
@@ -18,82 +16,70 @@ from .landed import LANDED_DAY, LANDING_ORDER, with_landing_order
 
 # The columns of a bar file.
 BAR_COLUMNS = ("ts_code", "trade_time", "open", "high", "low", "close", "volume", "amount")
+KEY_COLUMNS = ("ts_code", "trade_time")
 SOURCE_FILE = "source_file"
-MAX_COLUMNS = 32
-FILES = "path string, length bigint, modified bigint, landed_day string"
+QUOTED = r',("[^"]*(?:""[^"]*)*"|[^,]*)'
 
 
-def file_name(path: Column) -> Column:
-    """One spelling of a file's address, whichever reader names it."""
-    return F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/")
-
-
-def list_files(spark: SparkSession, path: str, start: date | None = None, end: date | None = None) -> DataFrame:
-    """(path, length, modified, landed_day) of the non-empty files in day folders within [start, end] and outside
-    of day folders, where the day is empty. A missing folder has no files."""
-    try:
-        found = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.csv*")
-            .load(path)
-        )
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], FILES)
-        raise
-    day = F.regexp_extract("path", rf"/{LANDED_DAY}=(\d{{8}})/", 1)
-    files = found.where(F.col("length") > 0).select(
-        file_name(F.col("path")).alias("path"), "length", F.unix_micros("modificationTime").alias("modified"), day.alias(LANDED_DAY)
+def csv_fields(line: Column) -> Column:
+    """The fields of a line, quotes removed; an empty field is null."""
+    found = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(QUOTED), F.lit(1))
+    inner = F.transform(
+        found, lambda f: F.when(f.startswith('"'), F.replace(F.substr(f, F.lit(2), F.char_length(f) - 2), F.lit('""'), F.lit('"'))).otherwise(f)
     )
-    if start is not None:
-        files = files.where((F.col(LANDED_DAY) == "") | (F.col(LANDED_DAY) >= start.strftime("%Y%m%d")))
-    if end is not None:
-        files = files.where((F.col(LANDED_DAY) == "") | (F.col(LANDED_DAY) <= end.strftime("%Y%m%d")))
-    return files
+    fields = F.when(F.contains(line, F.lit('"')), inner).otherwise(F.split(line, ",", -1))
+    return F.transform(fields, lambda f: F.when(f != "", f))
 
 
 def read_bars_csv(
-    spark: SparkSession, path: str, columns: tuple[str, ...] = BAR_COLUMNS, days: Sequence[str] | None = None
+    spark: SparkSession,
+    path: str,
+    columns: tuple[str, ...] = BAR_COLUMNS,
+    days: Sequence[str] | None = None,
+    required: tuple[str, ...] = KEY_COLUMNS,
 ) -> DataFrame:
     """All bars under ``path`` as text columns by header name, plus file and landing order of each row.
 
     ``days`` restricts the read to some day folders, an empty text standing for files outside of them. A file
-    may have up to ``MAX_COLUMNS`` columns.
+    whose header lacks a column of ``required`` fails the read when its rows are wanted; other columns that a
+    header lacks are null. Of columns with one name the first counts.
     """
-    positions = [f"_c{i}" for i in range(MAX_COLUMNS)]
-    reader = spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in positions]))
-    reader = reader.option("pathGlobFilter", "*.csv*")
+    reader = spark.read.option("pathGlobFilter", "*.csv*")
     if days is None:
-        raw = reader.option("recursiveFileLookup", "true").csv(path)
+        raw = reader.option("recursiveFileLookup", "true").text(path)
     else:
         folders = [f"{path}/{LANDED_DAY}={d}" for d in days if d] + [f"{path}/*.csv*"] * ("" in days)
-        raw = reader.csv(folders) if folders else None
+        raw = reader.text(folders) if folders else None
     if raw is None:
         schema = T.StructType([T.StructField(n, T.StringType()) for n in (*columns, SOURCE_FILE)])
         position = "struct<file_time timestamp, file string, split bigint, row bigint>"
         return spark.createDataFrame([], schema).withColumn(LANDING_ORDER, F.lit(None).cast(position))
-    fields = F.array(*[F.col(n) for n in positions])
-    # unzipped and split into fields once; the header and the rows are taken from here
-    rows = checkpointed(
-        with_landing_order(raw).select(
-            F.col(f"{LANDING_ORDER}.file").alias(SOURCE_FILE),
-            LANDING_ORDER,
-            F.filter(fields, lambda f: f.isNotNull()).alias("_filled"),
-            fields.alias("_fields"),
+    # unzipped once; the header and the rows are taken from here
+    lines = checkpointed(
+        with_landing_order(raw.where(F.trim("value") != "").select("value", "_metadata")).select(
+            F.col(f"{LANDING_ORDER}.file").alias(SOURCE_FILE), LANDING_ORDER, "value"
         )
     )
-    first = F.min_by(F.struct("_filled", LANDING_ORDER), LANDING_ORDER)
-    headers = rows.groupBy(SOURCE_FILE).agg(first.alias("_first")).select(
+    headers = lines.groupBy(SOURCE_FILE).agg(F.min_by(F.struct("value", LANDING_ORDER), LANDING_ORDER).alias("_first")).select(
         SOURCE_FILE,
-        F.transform("_first._filled", lambda n: F.trim(F.ltrim(n, F.lit("﻿")))).alias("_names"),
+        F.transform(csv_fields(F.col("_first.value")), lambda n: F.trim(F.ltrim(n, F.lit("\ufeff")))).alias("_names"),
         F.col(f"_first.{LANDING_ORDER}").alias("_header_at"),
     )
-    body = rows.join(headers, SOURCE_FILE).where(F.col(LANDING_ORDER) != F.col("_header_at"))
+
+    def position(name: str) -> Column:
+        found = F.array_position("_names", name)
+        if name not in required:
+            return found
+        fault = F.concat(F.lit(f"no column {name} in the header of "), F.col(SOURCE_FILE))
+        return F.when(F.coalesce(found, F.lit(0)) > 0, found).otherwise(F.raise_error(fault).cast("long"))
+
+    # looked up once a file, not once a row
+    placed = headers.select(SOURCE_FILE, "_header_at", F.struct(*(position(n).alias(n) for n in columns)).alias("_at"))
+    body = lines.join(placed, SOURCE_FILE).where(F.col(LANDING_ORDER) != F.col("_header_at")).withColumn("_fields", csv_fields(F.col("value")))
 
     def named(name: str) -> Column:
-        position = F.array_position("_names", name)
-        return F.when(position > 0, F.get("_fields", (position - 1).cast("int"))).alias(name)
+        at = F.col("_at")[name]
+        return F.when(at > 0, F.get("_fields", (at - 1).cast("int"))).alias(name)
 
     return body.select(*map(named, columns), SOURCE_FILE, LANDING_ORDER)
 

@@ -9,11 +9,38 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 LANDED_DAY = "landed_day"
 LANDING_ORDER = "landing_order"
+FILES = "path string, length bigint, modified bigint, landed_day string"
+
+
+def file_name(path: Column) -> Column:
+    """One spelling of a file's address, whichever reader names it."""
+    return F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/")
+
+
+def list_files(spark: SparkSession, path: str, start: date | None = None, end: date | None = None, names: str = "*") -> DataFrame:
+    """(path, length, modified, landed_day) of the non-empty files in day folders within [start, end] and outside
+    of day folders, where the day is empty. A missing folder has no files."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", names)
+    try:
+        found = reader.load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], FILES)
+        raise
+    day = F.regexp_extract("path", rf"/{LANDED_DAY}=(\d{{8}})/", 1)
+    files = found.where(F.col("length") > 0).select(
+        file_name(F.col("path")).alias("path"), "length", F.unix_micros("modificationTime").alias("modified"), day.alias(LANDED_DAY)
+    )
+    if start is not None:
+        files = files.where((F.col(LANDED_DAY) == "") | (F.col(LANDED_DAY) >= start.strftime("%Y%m%d")))
+    if end is not None:
+        files = files.where((F.col(LANDED_DAY) == "") | (F.col(LANDED_DAY) <= end.strftime("%Y%m%d")))
+    return files
 
 
 def with_landing_order(df: DataFrame) -> DataFrame:
@@ -30,6 +57,58 @@ def with_landing_order(df: DataFrame) -> DataFrame:
     return df.select("*", position.alias(LANDING_ORDER))
 
 
+def _text_lines(spark: SparkSession, path: str, start: date | None, end: date | None) -> DataFrame:
+    """(value, _metadata) of text files, skipping day folders outside [start, end]."""
+    lines = spark.read.text(path)
+    day = F.col(LANDED_DAY).cast("string") if LANDED_DAY in lines.columns else F.lit(None).cast("string")
+    if start is not None:
+        lines = lines.where(day.isNull() | (day >= start.strftime("%Y%m%d")))
+    if end is not None:
+        lines = lines.where(day.isNull() | (day <= end.strftime("%Y%m%d")))
+    return lines.where(F.trim("value") != "")
+
+
+def json_columns(spark: SparkSession, path: str, start: date | None = None, end: date | None = None) -> T.StructType:
+    """Columns of landed JSON objects, one per line, with the types that fit all lines.
+
+    Types are merged by an aggregate over all lines, so files need not agree. Whole numbers are bigint, others
+    double; a column that is a number here and text there, or that is nested, is text. Lines that are no object
+    do not count.
+    """
+    parsed = F.try_parse_json("value")
+    lines = _text_lines(spark, path, start, end).where(F.schema_of_variant(parsed).startswith("OBJECT"))
+    merged = lines.agg(F.schema_of_variant_agg(parsed)).first()[0]
+    if not merged.startswith("OBJECT<"):
+        return T.StructType()
+    found = T.StructType.fromDDL(merged.replace("OBJECT<", "STRUCT<")[len("STRUCT<") : -1])
+
+    def simple(kind: T.DataType) -> T.DataType:
+        if isinstance(kind, T.LongType):
+            return kind
+        return T.DoubleType() if isinstance(kind, (T.DecimalType, T.DoubleType, T.FloatType)) else T.StringType()
+
+    return T.StructType([T.StructField(f.name, simple(f.dataType)) for f in found])
+
+
+def quarantined(spark: SparkSession, root: str, feed: str, start: date | None = None, end: date | None = None) -> DataFrame:
+    """(file, value) of landed lines that are no JSON object, which no reader turns into a row."""
+    kind = F.schema_of_variant(F.try_parse_json("value"))
+    bad = _text_lines(spark, f"{root}/{feed}", start, end).where(~F.coalesce(kind.startswith("OBJECT"), F.lit(False)))
+    return bad.select(F.col("_metadata.file_path").alias("file"), "value")
+
+
+def added_columns(spark: SparkSession, root: str, feed: str, schema: T.StructType, start: date | None = None, end: date | None = None) -> T.StructType:
+    """Columns of a landed JSON feed that its schema does not name; none if the feed never landed."""
+    known = {n.lower() for n in schema.names}
+    try:
+        found = json_columns(spark, f"{root}/{feed}", start, end)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return T.StructType()
+        raise
+    return T.StructType([f for f in found if f.name.lower() not in known and f.name != LANDED_DAY])
+
+
 def read_landed(
     spark: SparkSession,
     root: str,
@@ -47,10 +126,11 @@ def read_landed(
 
     Text formats are read with the given schema; CSV needs a header that agrees with it, otherwise the
     read fails, because Spark would assign columns by position. Columnar formats keep the types they
-    carry, and absent columns are NULL.
+    carry, columns of all files are read, and absent columns are NULL.
     """
     path = f"{root}/{feed}"
     if fmt in ("parquet", "orc"):
+        options = {"mergeSchema": "true"} | options
         df = spark.read.format(fmt).options(**options).load(path)
         absent = [n for n in (*schema.names, LANDED_DAY) if n not in df.columns]
     else:

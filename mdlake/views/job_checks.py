@@ -9,6 +9,7 @@ from pyspark.sql import functions as F, types as T
 from ..functions import dates
 from ..operators import cleaning
 from ..operators.retention import retention_split
+from ..operators.windows import PAGE_ROWS
 from ..plans import bars as bar_jobs, update as jobs
 from ..plans.specs import BARS, SPECS
 from ..session import checkpointed, delete_folder, local_frame, scratch_path
@@ -73,10 +74,12 @@ def read_landed(spark, sf_dir):
 
 
 def _land_bars(rows, root, by_day=False):
-    """Bars as gzip CSV; shard P2 lands with another column order, and one file is empty."""
+    """Bars as gzip CSV; shard P2 lands with another column order, an unnamed first column and 40 columns in all, and
+    one file is empty."""
     text = rows.withColumn("trade_time", dates.compact_timestamp(F.col("trade_time")))
     text = checkpointed(cleaning.with_shard(text.select(*bars_csv.BAR_COLUMNS)))
-    swapped = ["trade_time", "ts_code", "amount", "volume", "close", "low", "high", "open"]
+    wide = [F.lit(i).alias(f"x{i}") for i in range(31)]
+    swapped = [F.lit("7").alias(" "), "trade_time", *wide, "ts_code", "amount", "volume", "close", "low", "high", "open"]
     for rows, columns in ((text.where("shard <> 'P2'"), list(bars_csv.BAR_COLUMNS)), (text.where("shard = 'P2'"), swapped)):
         if by_day:
             day = F.substring("trade_time", 1, 8).alias(landed.LANDED_DAY)
@@ -145,10 +148,12 @@ def retention_counts(spark, sf_dir):
 # --- jobs -----------------------------------------------------------------------------------------------
 
 
-def _daily_lake(spark, sf_dir):
+def _daily_lake(spark, sf_dir, feeds=True):
     root = scratch_path(spark, "lake")
     lake = jobs.Lake(spark, f"{root}/tables", f"{root}/landing")
     _land(calendar(spark, sf_dir), lake.landing, "trade_cal")
+    if not feeds:
+        return lake
     _land(daily(spark, sf_dir), lake.landing, "daily")
     _land(basic(spark, sf_dir), lake.landing, "daily_basic")
     return lake
@@ -183,15 +188,16 @@ all_cal as (select * from cal where cal_date between date '2000-12-31' - 1825 an
 again as (select m.*, ts_code < '000005' and (ts_code, trade_date) in (select ts_code, trade_date from daily) as revised
  from m where trade_date >= date '2000-07-01')
 select 1 as run, 'daily_raw' as "table", count(*) as rows_fetched, count(*) as rows_inserted, 0 as rows_updated, 0 as rows_unchanged,
- 4 as rows_dropped, 2 as rows_not_finite, 0 as rows_deleted,
+ 6004 as rows_dropped, 2 as rows_not_finite, count(*) as rows_affected, 1 as pages_truncated, 0 as rows_deleted,
  strftime(max(trade_date), '%Y-%m-%d') as cursor_value, strftime(any_value(cutoff), '%Y-%m-%d') as retention_cutoff from m
-union all select 1, 'trade_cal', count(*), count(*), 0, 0, 0, 0, 0, strftime(max(cal_date), '%Y-%m-%d'), null from all_cal
-union all select 2, 'daily_raw', count(*), 0, count(*) filter (revised), count(*) filter (not revised), 4, 2, 0,
+union all select 1, 'trade_cal', count(*), count(*), 0, 0, 0, 0, count(*), 0, 0, strftime(max(cal_date), '%Y-%m-%d'), null from all_cal
+union all select 2, 'daily_raw', count(*), 0, count(*) filter (revised), count(*) filter (not revised), 4, 2, 2 * count(*) filter (revised), 0, 0,
  (select strftime(max(trade_date), '%Y-%m-%d') from m), strftime(any_value(cutoff), '%Y-%m-%d') from again
-union all select 2, 'trade_cal', count(*), 0, 0, count(*), 0, 0, 0, strftime(max(cal_date), '%Y-%m-%d'), null from all_cal""",
+union all select 2, 'trade_cal', count(*), 0, 0, count(*), 0, 0, 0, 0, 0, strftime(max(cal_date), '%Y-%m-%d'), null from all_cal""",
 )
 def update_report(spark, sf_dir):
-    """Two runs over landed rows of which some lack a key or hold an infinity; the second finds some prices revised."""
+    """Two runs over landed rows of which some lack a key or hold an infinity, and one file is a full page; the second
+    finds some prices revised."""
     lake = _daily_lake(spark, sf_dir)
     bad = local_frame(
         spark,
@@ -200,6 +206,8 @@ def update_report(spark, sf_dir):
     )
     bad.limit(4).write.mode("append").json(f"{lake.landing}/daily")
     bad.where("ts_code = 'x.SZ'").write.mode("append").json(f"{lake.landing}/daily")
+    page = spark.range(0, PAGE_ROWS, 1, 1).select(F.lit("20001229").alias("trade_date"), F.col("id").cast("string").alias("close"))
+    page.write.mode("append").json(f"{lake.landing}/daily")
     first = jobs.report_frame(spark, jobs.update(lake, ["daily_raw"], END, NOW, count_changes=True))
     revised = daily(spark, sf_dir).where("ts_code < '000005'").withColumn("close", F.col("close") + 1)
     delete_folder(spark, f"{lake.landing}/daily")
@@ -207,7 +215,7 @@ def update_report(spark, sf_dir):
     bad.write.mode("append").json(f"{lake.landing}/daily")
     again = jobs.update(lake, ["daily_raw"], END, NOW, start=date(2000, 7, 1), count_changes=True)
     columns = ["run", "table", "rows_fetched", "rows_inserted", "rows_updated", "rows_unchanged", "rows_dropped",
-               "rows_not_finite", "rows_deleted", "cursor_value", "retention_cutoff"]
+               "rows_not_finite", "rows_affected", "pages_truncated", "rows_deleted", "cursor_value", "retention_cutoff"]
     both = first.withColumn("run", F.lit(1)).unionByName(jobs.report_frame(spark, again).withColumn("run", F.lit(2)))
     return both.select(*columns)
 
@@ -222,6 +230,27 @@ def update_codes_then_full(spark, sf_dir):
     return lake.table(SPECS["daily_raw"]).rows().select(*DAILY_OUT)
 
 
+@check("update_feeds_late", _sql_daily_job("cutoff", "2000-12-31"))
+def update_feeds_late(spark, sf_dir):
+    """The feeds of a day land in runs of their own, in either order; then one feed's files are rewritten with other prices."""
+    lake = _daily_lake(spark, sf_dir, feeds=False)
+    main, extra = daily(spark, sf_dir), basic(spark, sf_dir)
+    early = F.col("trade_date") < F.lit(date(2000, 3, 1))
+    wrong = main.withColumn("close", F.lit(-1.0)).where("abs(hash(ts_code)) % 2 = 0")
+    steps = (
+        [(extra.where(early), "daily_basic"), (wrong.where(~early), "daily")],
+        [(extra.where(~early), "daily_basic"), (wrong.where(early), "daily")],
+    )
+    for step in steps:
+        for rows, feed in step:
+            _land(rows, lake.landing, feed)
+        jobs.update(lake, ["daily_raw"], END, NOW)
+    delete_folder(spark, f"{lake.landing}/daily")
+    _land(main, lake.landing, "daily")
+    jobs.update(lake, ["daily_raw"], END, NOW)
+    return lake.table(SPECS["daily_raw"]).rows().select(*DAILY_OUT)
+
+
 @check("backfill_master", _sql_daily_job("cutoff", "2000-12-31"))
 def backfill_master(spark, sf_dir):
     """Month batches over the retention window, here a year of months per job."""
@@ -334,7 +363,7 @@ def stream_ingest(spark, sf_dir):
     )
     target = LakeTable(spark, f"{root}/ticks", spec.schema, spec.partition_by, spec.keys)
     held_schema = "ts_code string, event_id bigint, trade_date date, value double, landing_order int"
-    held = LakeTable(spark, f"{root}/held", held_schema)
+    held = streaming.held_table(spark, f"{root}/held", held_schema)
     for finished in (date(2024, 1, 18), date(2024, 1, 25)):
         stream = streaming.landed_stream(spark, f"{root}/in", T.StructType.fromDDL(ddl), files_per_batch=4)
         query = streaming.ingest(

@@ -17,7 +17,7 @@ from mdlake.plans.specs import ALL_SPECS, BARS, SPECS, STATE_SCHEMA, TableSpec,
 from mdlake.plans.repair import repair_table
 from mdlake.sources.bars_csv import read_bars_csv
 from mdlake.sources.lake import LakeTable, StaleSnapshot
-from mdlake.sources.landed import read_landed
+from mdlake.sources.landed import json_columns, quarantined, read_landed
 from mdlake.streaming.ingest import ingest, landed_stream
 
 NOW = datetime(2024, 12, 31, 16)
@@ -67,6 +67,116 @@ def test_daily_update_then_restart(lake):
     assert content(lake.table(SPECS["daily_raw"]), *columns) == expected
 
 
+def daily_rows(lake):
+    return content(lake.table(SPECS["daily_raw"]), "ts_code", "trade_date", "close", "pe")
+
+
+@pytest.mark.parametrize("folders", [True, False])
+@pytest.mark.parametrize("first", ["daily", "daily_basic"])
+def test_feeds_of_a_day_land_in_either_order(lake, first, folders):
+    """Days 4 and 5: one feed of the 4th lands a run late, its partner and the 5th are loaded by then."""
+    feeds = {
+        "daily": [{"ts_code": c, "trade_date": "20240104", "close": p} for c, p in (("a.SZ", 5), ("b.SZ", 6))],
+        "daily_basic": [{"ts_code": "a.SZ", "trade_date": "20240104", "close": 9, "pe": 1}],
+    }
+    late = "daily_basic" if first == "daily" else "daily"
+    place = (lambda d: d) if folders else (lambda d: None)
+    land(lake.landing, first, feeds[first], place("20240104"), "d4")
+    for feed in feeds:
+        land(lake.landing, feed, [{"ts_code": "a.SZ", "trade_date": "20240105", "close": 7, "pe": 2}], place("20240105"), "d5")
+    jobs.update(lake, ["daily_raw"], END, NOW)
+    land(lake.landing, late, feeds[late], place("20240104"), "d4")
+    report = jobs.update(lake, ["daily_raw"], END, NOW)[-1]
+    d4, d5 = date(2024, 1, 4), date(2024, 1, 5)
+    assert daily_rows(lake) == [("a.SZ", d4, 5.0, 1.0), ("a.SZ", d5, 7.0, 2.0), ("b.SZ", d4, 6.0, None)]
+    assert report.cursor_value == "2024-01-05" and report.rows_fetched == 2  # the 5th is not merged again
+    assert jobs.update(lake, ["daily_raw"], END, NOW)[-1].rows_fetched == 0
+
+
+def test_a_rewritten_feed_file_is_merged_with_its_partner(lake):
+    land(lake.landing, "daily", [{"ts_code": "a.SZ", "trade_date": "20240104", "close": 5}], "20240104")
+    land(lake.landing, "daily_basic", [{"ts_code": "a.SZ", "trade_date": "20240104", "pe": 1}], "20240104")
+    jobs.update(lake, ["daily_raw"], END, NOW)
+    land(lake.landing, "daily", [{"ts_code": "a.SZ", "trade_date": "20240104", "close": 55}], "20240104")
+    jobs.update(lake, ["daily_raw"], END, NOW)
+    assert daily_rows(lake) == [("a.SZ", date(2024, 1, 4), 55.0, 1.0)]
+
+
+def test_days_after_the_end_are_loaded_by_a_later_run(lake):
+    rows = [{"ts_code": "a.SZ", "trade_date": d, "close": 1} for d in ("20241226", "20241227", "20241230")]
+    land(lake.landing, "daily", rows)
+    land(lake.landing, "daily_basic", [r | {"pe": 3} for r in rows])
+    assert jobs.update(lake, ["daily_raw"], date(2024, 12, 26), NOW)[-1].rows_fetched == 1
+    assert jobs.update(lake, ["daily_raw"], date(2024, 12, 27), NOW)[-1].rows_fetched == 1
+    assert jobs.update(lake, ["daily_raw"], END, NOW)[-1].rows_fetched == 1
+    assert [r[1].day for r in daily_rows(lake)] == [26, 27, 30]
+
+
+def test_runs_of_a_range_or_of_some_codes_leave_the_files_to_load(spark, lake):
+    rows = [{"ts_code": c, "trade_date": d, "close": 1} for c in ("a.SZ", "b.SZ") for d in ("20240104", "20240105")]
+    land(lake.landing, "daily", rows)
+    jobs.update(lake, ["daily_raw"], END, NOW, codes=spark.createDataFrame([("a.SZ",)], "ts_code string"))
+    jobs.update(lake, ["daily_raw"], END, NOW, start=date(2024, 1, 5))
+    assert len(daily_rows(lake)) == 3
+    jobs.update(lake, ["daily_raw"], END, NOW)
+    assert len(daily_rows(lake)) == 4
+
+
+def test_a_new_vendor_column_reaches_the_table(lake):
+    base = {"ts_code": "a.SZ", "trade_date": "20240104", "adj_factor": "1.5"}
+    land(lake.landing, "adj_factor", [base], "20240104")
+    assert jobs.update(lake, ["adj_factor"], END, NOW)[-1].added_columns == ()
+    new = {"trade_date": "20240105", "grade": "x", "rank": 7, "share": 0.25, "listed_date": "19910403", "mixed": 1}
+    land(lake.landing, "adj_factor", [base | new, base | new | {"ts_code": "b.SZ", "mixed": "one", "rank": None}], "20240105")
+    report = jobs.update(lake, ["adj_factor"], END, NOW)[-1]
+    assert sorted(report.added_columns) == ["grade", "listed_date", "mixed", "rank", "share"]
+    columns = ("ts_code", "trade_date", "adj_factor", "grade", "rank", "share", "listed_date", "mixed")
+    d4, d5, listed = date(2024, 1, 4), date(2024, 1, 5), date(1991, 4, 3)
+    assert content(lake.table(SPECS["adj_factor"]), *columns) == [
+        ("a.SZ", d4, 1.5, None, None, None, None, None),
+        ("a.SZ", d5, 1.5, "x", 7, 0.25, listed, "1"),
+        ("b.SZ", d5, 1.5, "x", None, 0.25, listed, "one"),
+    ]
+
+
+def test_columns_of_all_columnar_files_are_read(spark, tmp_path):
+    one = spark.createDataFrame([("a.SZ", "20240104", "1")], "ts_code string, trade_date string, adj_factor string")
+    one.write.parquet(f"{tmp_path}/adj_factor/landed_day=20240104")
+    one.withColumn("grade", F.lit("x")).write.parquet(f"{tmp_path}/adj_factor/landed_day=20240105")
+    raw = read_landed(spark, str(tmp_path), "adj_factor", one.schema, "parquet")
+    assert {r["grade"] for r in raw.collect()} == {"x", None}
+
+
+def test_lines_that_are_no_object_are_quarantined(spark, tmp_path):
+    os.makedirs(f"{tmp_path}/feed")
+    with open(f"{tmp_path}/feed/a.json", "w") as out:
+        out.write('{"a": 1, "b": {"c": 2}}\n{broken\n[1, 2]\n\n{"a": 2.5, "d": null}\n7\n')
+    assert sorted(r["value"] for r in quarantined(spark, str(tmp_path), "feed").collect()) == ["7", "[1, 2]", "{broken"]
+    found = json_columns(spark, f"{tmp_path}/feed")
+    assert {f.name: f.dataType.simpleString() for f in found} == {"a": "double", "b": "string", "d": "string"}
+
+
+@pytest.mark.parametrize("header", [",ts_code,trade_time,close", '"","ts_code","trade_time","close"', "\ufeffx y,ts_code,trade_time,close"])
+def test_bar_columns_keep_their_places_beside_unnamed_ones(spark, tmp_path, header):
+    land_bars(str(tmp_path), "a", header, ['0,1.SZ,20240104093000,"5"', '"a, ""b""",2.SZ,20240104093500,', ""])
+    rows = read_bars_csv(spark, f"{tmp_path}/minute_5m").select("ts_code", "trade_time", "close", "open").collect()
+    assert sorted(tuple(r) for r in rows) == [("1.SZ", "20240104093000", "5", None), ("2.SZ", "20240104093500", None, None)]
+
+
+def test_bar_files_have_any_number_of_columns(spark, tmp_path):
+    wide = [f"c{i}" for i in range(70)]
+    land_bars(str(tmp_path), "a", ",".join(["ts_code", *wide, "trade_time", "close"]), [",".join(["1.SZ", *wide, "t", "5"])])
+    land_bars(str(tmp_path), "b", "close,trade_time,ts_code", ["6,u,2.SZ,more,fields"])
+    rows = read_bars_csv(spark, f"{tmp_path}/minute_5m").select("ts_code", "trade_time", "close").collect()
+    assert sorted(tuple(r) for r in rows) == [("1.SZ", "t", "5"), ("2.SZ", "u", "6")]
+
+
+def test_a_bar_file_without_a_key_column_is_refused(spark, tmp_path):
+    land_bars(str(tmp_path), "a", "ts_code,close", ["1.SZ,5"])
+    with pytest.raises(Exception, match="no column trade_time in the header of .*a.csv.gz"):
+        read_bars_csv(spark, f"{tmp_path}/minute_5m").collect()
+
+
 def test_revised_rows_need_a_lookback(lake):
     land(lake.landing, "adj_factor", [{"ts_code": "a.SZ", "trade_date": "20241230", "adj_factor": 1}], "20241230")
     jobs.update(lake, ["adj_factor"], END, NOW)
@@ -181,6 +291,29 @@ def test_bar_update_and_cursor(bar_lake):
     assert bar_jobs.update_bars(bar_lake, NOW).rows_fetched == 0
 
 
+def test_bar_reports_tell_what_was_left_out(bar_lake):
+    header = "ts_code,trade_time,open,high,low,close,volume,amount"
+    rows = ["000009.SZ,20241230100000,1,1,1,1,1,1", ",20241230100500,1,1,1,1,1,1", "000009.SZ,bad,1,1,1,1,1,1", "000009.SZ,20241230200000,1,1,1,1,1,1"]
+    land_bars(bar_lake.landing, "extra", header, rows, "20241230")
+    report = bar_jobs.update_bars(bar_lake, NOW, end=END, count_changes=True)
+    assert (report.rows_dropped, report.rows_updated, report.rows_unchanged) == (2, 0, 0)
+    assert report.rows_outside >= 1 and report.rows_affected == report.rows_inserted > 0
+    again = bar_jobs.update_bars(bar_lake, NOW, end=END, start=date(2024, 12, 2), count_changes=True)
+    assert again.rows_affected == 0 and again.rows_unchanged == again.rows_fetched > 0
+
+
+def test_drift_between_stored_shards_is_found(spark, bar_lake):
+    bar_jobs.update_bars(bar_lake, NOW, end=END)
+    assert bar_jobs.audit_shards(bar_lake).collect() == []
+    table = bar_lake.table(BARS)
+    at = table.snapshot()
+    one = [p.part for p in at.parts][:1]
+    drifted = table.read(one, at).withColumn("close", F.col("close").cast("string")).withColumn("volume", F.lit(1.0))
+    table.replace(drifted, one, at)
+    found = {r["column_name"]: (r["types"], r["text_shards"] != "", r["missing_shards"] > 0) for r in bar_jobs.audit_shards(bar_lake).collect()}
+    assert found == {"close": ("double,string", True, False), "volume": ("double", False, True)}
+
+
 def test_unfinished_session_waits(bar_lake):
     report = bar_jobs.update_bars(bar_lake, datetime(2024, 12, 3, 14, 0))
     assert report.end == date(2024, 12, 2) and report.cursors["P2"] == date(2024, 12, 2)
@@ -414,6 +547,15 @@ def test_second_writer_from_one_snapshot_is_refused(spark, table):
     assert table.vacuum() == 2 + 1  # two replaced partitions and the refused write
 
 
+def test_of_two_writers_that_log_at_one_moment_one_is_refused(spark, table, monkeypatch):
+    at = table.snapshot()
+    monkeypatch.setattr(type(table), "_newest_revision", lambda self: at.rev)  # both look before either has logged
+    table.replace(sample(spark, 0, 10), [p.part for p in at.parts], at)
+    with pytest.raises(StaleSnapshot, match="another writer"):
+        table.replace(sample(spark, 0, 20), [p.part for p in at.parts], at)
+    assert table.snapshot().rev == at.rev + 1 and table.rows().count() == 10
+
+
 def test_long_log_is_cut_into_spans(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("mdlake.sources.lake.SPAN", 4)
     made = LakeTable(spark, f"{tmp_path}/t", TABLE_SCHEMA, ("trade_month",), ("k",))
