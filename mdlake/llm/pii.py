@@ -6,25 +6,36 @@ dynamic program over segment ends chooses boundaries and types together. It lear
 bounded sample, and from copies of them with prefixes and separators changed, so that it also knows spans
 that the patterns miss; those that touch no base span are added.
 
-Offsets count code points, ends are exclusive. Null and empty texts have no spans. Extra columns pass
-through; columns named like the outputs are replaced.
+Bounds, all on what is learnt from but for the first: an entity has at most ``MAX_TOKENS`` tokens separated by
+single spaces (15 digits in pairs are 8), while base spans may have any number; regions with a longer base
+span teach nothing. At most ``MAX_TRAINING_DOCS`` documents, ``MAX_REGIONS_PER_DOC`` regions of one, chosen by
+hash, regions of at most ``MAX_REGION_CHARS`` characters, and ``MAX_TRAINING_REGIONS`` regions in all.
+
+Offsets count code points, ends are exclusive. Null and empty texts have no spans; texts and spans are read
+whole, however long. Repeated rows get the same spans and teach once. Without documents to learn from, and in
+an empty table, the base spans are all there is. Extra columns pass through; columns named like the outputs
+are replaced.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+import heapq
 import math
 import random
 import re
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 KINDS = ("email", "ip", "card", "phone")
-MAX_TOKENS = 5
+MAX_TOKENS = 8
 MAX_TRAINING_DOCS = 4_000
 MAX_TRAINING_REGIONS = 6_000
+MAX_REGIONS_PER_DOC = 64
+MAX_REGION_CHARS = 400
 Span = tuple[str, int, int]
 
 # The base patterns. Each is anchored where its leftmost match has to begin, so that no
@@ -128,7 +139,7 @@ def span_features(value: str, n_tokens: int, before: str) -> list[str]:
     """Features of a whole segment: digit count, grouping, checks and shape, not of single tokens."""
     digits = only_digits(value)
     n = len(digits)
-    groups = re.findall("[0-9]+", value[:80])
+    groups = re.findall("[0-9]+", value)
     rest = set(value) - set("0123456789")
     out = [
         f"n={n if n < 20 else 20}",
@@ -170,10 +181,7 @@ class Field:
             here: list[Segment] = []
             for i in range(max(0, j - MAX_TOKENS + 1), j + 1):
                 start, end = trimmed(text, tokens[i][0], tokens[j][1])
-                if end - start > 80 and i < j:
-                    continue
-                value = text[start : min(end, start + 200)]
-                features = span_features(value, j - i + 1, before if i == 0 else "")
+                features = span_features(text[start:end], j - i + 1, before if i == 0 else "")
                 here += [(i, kind, features) for kind in KINDS]
                 if i == j:
                     here.append((i, "O", features))
@@ -252,7 +260,7 @@ def gold_segments(text: str, region: Region, spans: list[Span]) -> list[tuple[in
     for kind, start, end in spans:
         run = [k for k, (a, b) in enumerate(tokens) if a < end and start < b]
         free = not any(i <= k <= j for i, j, _ in out for k in run)
-        if run and free and len(run) <= MAX_TOKENS:
+        if run and free:
             out.append((run[0], run[-1], kind))
     return out
 
@@ -279,18 +287,32 @@ def examples_of(text: str) -> Iterator[tuple[str, str, list[Span]]]:
         own = [(k, a - start, b - start) for k, a, b in spans if start <= a and b <= end]
         if any(base_spans(text[a:b]) and not any(x < b - start and a - start < y for _, x, y in own) for a, b in tokens):
             continue  # a token would match alone, but a longer match that failed swallowed it: no clear answer
+        if any(sum(x < b - start and a - start < y for a, b in tokens) > MAX_TOKENS for _, x, y in own):
+            continue  # too long for a segment; its tokens are not "outside" either
         yield before, text[start:end], own
         if len(own) == 1:
             kind, a, b = own[0]
             for other in variants(text[start + a : start + b], kind):
-                if 0 < len(other) < 60:
+                if other:
                     yield before, text[start : start + a] + other + text[start + b : end], [(kind, a, a + len(other))]
 
 
-def fit(docs: DataFrame, limit: int = MAX_TRAINING_DOCS) -> Field:
-    """Learn from the base spans of at most ``limit`` documents with a digit or an at sign."""
+def teaching(text: str | None, most: int, longest: int) -> list[tuple[str, str, list[Span]]]:
+    """At most ``most`` examples of a text, those with the smallest hash of region and word before."""
+    found = [e for e in examples_of(text or "") if len(e[1]) <= longest]
+    return heapq.nsmallest(most, found, key=lambda e: (zlib.crc32(f"{e[0]} {e[1]}".encode()), e[:2]))
+
+
+def fit(
+    docs: DataFrame,
+    limit: int = MAX_TRAINING_DOCS,
+    regions_limit: int = MAX_TRAINING_REGIONS,
+    per_doc: int = MAX_REGIONS_PER_DOC,
+    longest: int = MAX_REGION_CHARS,
+) -> Field:
+    """Learn from the base spans of at most ``limit`` documents with a digit or an at sign; see the module for the bounds."""
     hinted = docs.where(F.col("text").rlike("[0-9@]") & F.col("doc_id").isNotNull())
-    chosen = hinted.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).distinct()
+    chosen = hinted.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
 
     @F.arrow_udf("array<struct<before: string, text: string, spans: array<struct<kind: string, a: int, b: int>>>>")
     def gather(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -300,9 +322,8 @@ def fit(docs: DataFrame, limit: int = MAX_TRAINING_DOCS) -> Field:
             found = [
                 [
                     {"before": w, "text": t, "spans": [{"kind": k, "a": a, "b": b} for k, a, b in s]}
-                    for w, t, s in examples_of(value)
-                    if len(t) < 400
-                ][:64]
+                    for w, t, s in teaching(value, per_doc, longest)
+                ]
                 for value in batch.to_pylist()
             ]
             yield pa.array(found, type=row)
@@ -314,7 +335,7 @@ def fit(docs: DataFrame, limit: int = MAX_TRAINING_DOCS) -> Field:
         .select(F.col("e.before"), F.col("e.text"), F.col("e.spans"))
         .distinct()
         .orderBy(F.xxhash64("text", "before"), "text", "before")
-        .limit(MAX_TRAINING_REGIONS)
+        .limit(regions_limit)
         .collect()
     )
     examples = []
