@@ -8,6 +8,11 @@ smallest document. Repeated edges whose sources are consecutive too form a path
 of a path are compacted to one span over Spark, and each span is verified word by word against the place in
 its source that its coordinates name. Words covered by a verified span are removed.
 
+Inside a bucket edges are told apart by their minimiser and ``EDGE_BYTES`` bytes of their hash. If another edge of
+a smaller document clashes, the span names a wrong source and is refused; at 5 bytes that happens to one edge in
+10^12 per edge of its minimiser. Every window of a refused span is then looked up once more, by a 128-bit digest
+in all documents, so a real repeat behind a clash is found too.
+
 Common runs of words would make their bucket large. Edges are therefore counted by cell of their minimiser
 first; edges of a cell beyond a share of a bucket travel one by one and are dealt by their own hash instead.
 
@@ -41,6 +46,8 @@ M = 4
 BUCKET_BYTES = 16 << 20  # text per bucket; a task needs some twenty times that
 EDGE_BYTES = 5  # of an edge's hash, beside the minimiser's eight
 CELLS = 1 << 20  # in which edges are counted by minimiser
+PLACES = 4096  # of one document that are looked up in one go
+LOOKED_UP = 1 << 20  # windows of refused spans that one pass over the documents looks for
 CELL_SHARE = 1 / 4  # of an average bucket: a cell with more edges is split, unless average cells are that large
 
 
@@ -288,14 +295,22 @@ def digest(each: list[bytes], start: int, length: int) -> bytes:
     return xxhash.xxh3_128_digest(b" ".join(each[start : start + length]))
 
 
+def in_slices(places: DataFrame) -> DataFrame:
+    """(doc, places): the distinct (start, len) of each document, in as many rows as ``PLACES`` asks for."""
+    number = F.pmod(F.xxhash64("start", "len"), F.ceil(F.col("n") / PLACES))
+    sized = places.join(places.groupBy("doc").agg(F.count(F.lit(1)).alias("n")), "doc")
+    return sized.groupBy("doc", number.alias("slice")).agg(F.collect_list(F.struct("start", "len")).alias("places")).drop("slice")
+
+
 def verified(docs: DataFrame, spans: DataFrame, doc_id: str, text: str) -> DataFrame:
     """The spans whose words are the same in both documents, with a digest of them.
 
-    Every distinct place that a span or a source names is looked up once, in its own document.
+    Every distinct place that a span or a source names is looked up once, in its own document; a document of which
+    very many places are named gets several rows of at most some ``PLACES`` each.
     """
     here = spans.select("doc", "start", "len")
     there = spans.select(F.col("src").alias("doc"), F.col("src_start").alias("start"), "len")
-    places = here.union(there).distinct().groupBy("doc").agg(F.collect_list(F.struct("start", "len")).alias("places"))
+    places = in_slices(here.union(there).distinct())
 
     @F.arrow_udf("array<struct<start: long, len: long, digest: binary>>")
     def digests(texts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -324,6 +339,58 @@ def verified(docs: DataFrame, spans: DataFrame, doc_id: str, text: str) -> DataF
     )
 
 
+def exact_sources(docs: DataFrame, refused: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
+    """Single windows of refused spans with their first place in a smaller document, found by 128-bit digests.
+
+    The windows' 64-bit hashes are looked for in passes over all documents, ``LOOKED_UP`` at a time, and only
+    windows with such a hash are digested.
+    """
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("edge", pa.int64()), ("digest", pa.binary())]))
+
+    @F.arrow_udf("array<struct<start: long, edge: long, digest: binary>>")
+    def windows(texts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for values, asked in texts:
+            out = []
+            for value, wanted in zip(values, asked):
+                each = words(value.as_py())
+                edges = run_hashes(word_hashes(each), k, 2).view(np.int64) if len(each) >= k else np.zeros(0, np.int64)
+                spans = ((p["start"], p["start"] + p["len"] - k + 1) for p in wanted.as_py())
+                at = sorted({i for first, last in spans for i in range(first, min(last, len(edges)))})
+                out.append([{"start": i, "edge": int(edges[i]), "digest": digest(each, i, k)} for i in at])
+            yield pa.array(out, kind)
+
+    located = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("_text"))
+    asked = in_slices(refused.select("doc", "start", "len").distinct())
+    wanted = checkpointed(
+        located.join(asked, "doc").select("doc", F.explode(windows("_text", "places")).alias("w")).select("doc", "w.*").distinct()
+    )
+    edges = wanted.select("edge").distinct()
+    rounds = -(-edges.count() // LOOKED_UP)
+    struct, schema = _arrow("doc long, start long, digest binary")
+    found = None
+    for r in range(rounds):
+        part = edges.where(F.pmod(F.xxhash64("edge"), F.lit(rounds)) == r).toArrow()["edge"].to_numpy()
+        looked_for = docs.sparkSession.sparkContext.broadcast(np.sort(part))
+
+        def search(batches: Iterator[pa.RecordBatch], looked_for=looked_for) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                rows = []
+                for ident, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    each = words(value.as_py())
+                    if len(each) >= k:
+                        hit = np.flatnonzero(np.isin(run_hashes(word_hashes(each), k, 2).view(np.int64), looked_for.value))
+                        rows += [(ident, int(i), digest(each, int(i), k)) for i in hit]
+                columns = zip(*rows) if rows else ((), (), ())
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema)
+
+        hits = located.mapInArrow(search, struct).groupBy("digest").agg(F.min(F.struct("doc", "start")).alias("first"))
+        found = hits if found is None else found.union(hits)
+    source = found.groupBy("digest").agg(F.min("first").alias("first"))
+    return wanted.join(source, "digest").where(F.col("doc") > F.col("first.doc")).select(
+        "doc", "start", F.lit(k).cast("long").alias("len"), F.col("first.doc").alias("src"), F.col("first.start").alias("src_start"), "digest"
+    )
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of frames that are no longer referenced.
 
@@ -346,7 +413,10 @@ def repeated_spans(
     release(docs.sparkSession)
     proven = checkpointed(verified(docs, spans, doc_id, text))
     release(docs.sparkSession)
-    return proven
+    refused = spans.join(proven, ["doc", "start", "len", "src", "src_start"], "left_anti")
+    if refused.isEmpty():
+        return proven
+    return checkpointed(proven.union(exact_sources(docs, refused, doc_id, text, k)))
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = K) -> DataFrame:
