@@ -121,6 +121,75 @@ def test_rules_keep_good_rows_and_drop_symbol_junk(given):
     assert junk and np.mean([r["kept"] for r in junk]) < 0.2
 
 
+def test_repetition_just_under_the_rules_is_rejected(given, make_docs, spark):
+    docs, labels = given
+    random.seed(4)
+    prose = [r["text"].split() for r in docs.join(labels.where("quality = 1"), "doc_id").limit(40).collect() if len(r["text"].split()) >= 200]
+
+    def repeating(each):
+        fresh, phrase = each[:110], each[110:119]
+        return " ".join(fresh + phrase * 10)  # 90 of 200 words in repeated windows
+
+    def lines(each):
+        return "\n".join(" ".join(each[i : i + 6]) for i in range(0, 180, 6)) + "\n" + "\n".join([" ".join(each[:6])] * 12)
+
+    junk = {-10 - i: repeating(e) for i, e in enumerate(prose)} | {-100 - i: lines(e) for i, e in enumerate(prose)}
+    junk |= {-200 - i: " ".join(w + "#" * (k % 2) for k, w in enumerate(e)) for i, e in enumerate(prose)}
+    plain = {-300 - i: " ".join(e[:200]) for i, e in enumerate(prose)}
+    made = make_docs(list((junk | plain).items())).select("doc_id", "text")
+    rows = {r["doc_id"]: r for r in quality_rules.apply_rules(docs.select("doc_id", "text").union(made), labels).collect()}
+    assert not any(rows[i]["base_failed"] for i in junk)
+    for first in (-10, -100, -200):
+        kept = [rows[i]["kept"] for i in junk if first >= i > first - 90]
+        assert len(kept) == len(prose) and np.mean(kept) < 0.1, first
+    assert np.mean([rows[i]["kept"] for i in plain]) > 0.9
+
+
+def path_by_hand(forest, row):
+    inner, total = forest.feature.shape[1], 0.0
+    for t in range(len(forest.feature)):
+        def walk(node):
+            if node >= inner:
+                return forest.path[t, node - inner]
+            f = forest.feature[t, node]
+            return walk(2 * node + 1 + int(f >= 0 and row[f] > forest.threshold[t, node]))
+        total += walk(0)
+    return total / len(forest.feature)
+
+
+def boxes_by_hand(forest, sample_size):
+    """Path lengths follow from the splits alone: level plus the mean path of what a box holds, at least its level."""
+    return all(0 < p <= np.log2(forest.path.shape[1]) + quality_rules.mean_path(sample_size) for p in forest.path[forest.path > 0])
+
+
+def test_forest_scores_equal_walking_each_tree():
+    random_ = np.random.default_rng(2)
+    low, high = np.array(quality_rules.RANGES).T
+    x = low + (high - low) * random_.beta(1, 8, size=(500, 4))
+    good = random_.random(500) < 0.8
+    forest = quality_rules.fit_forest(x, good, trees=9, rows=64)
+    want = [2.0 ** -(path_by_hand(forest, row) / forest.scale) for row in x]
+    assert np.allclose(forest.scores(x), want) and boxes_by_hand(forest, 64)
+    far = np.array([high])
+    assert forest.scores(far)[0] > np.quantile(forest.scores(x[good]), 0.99)
+
+
+def test_calibration_equals_trying_every_limit():
+    random_ = np.random.default_rng(3)
+    for n_bad in (0, 1, 30):
+        scores = np.round(np.concatenate([random_.normal(0.4, 0.05, 1500), random_.normal(0.5, 0.05, n_bad)]), 3)
+        good = np.arange(len(scores)) < 1500
+        limit = quality_rules.calibrated(scores, good)
+        least = sorted(scores[good])[int(np.ceil((1 - quality_rules.FALSE_ALARMS) * 1499))]
+
+        def gain(at):
+            caught = (scores[~good] > at).sum() / max(1, n_bad)
+            return caught - quality_rules.COST * (scores[good] > at).mean()
+
+        assert limit >= least and (scores[good] > limit).mean() <= quality_rules.FALSE_ALARMS
+        assert gain(limit) == pytest.approx(max(gain(at) for at in scores if at >= least))
+
+
 def test_rules_edge_cases(make_docs, spark):
     docs = make_docs([*enumerate(ODD), (1, "again"), (None, "w " * 60 + "1 2 3")], extra=("n_words", "kept", "base_failed", "_good"))
     labels = spark.createDataFrame([(1, None), (2, 1), (6, 1), (None, 0)], "doc_id long, quality int")
@@ -192,6 +261,55 @@ def test_best_segmentation_equals_trying_all():
     assert abs(score - max(every(len(ends)))) < 1e-9
 
 
+def test_gradient_equals_enumerating_all_segmentations():
+    random.seed(9)
+    text = "12 345-6789 x@y.z (12)"
+    region = next(pii.regions(text))
+    field = pii.Field()
+    ends = field.candidates(text, region)
+    for label, f in {(label, f) for here in ends for _, label, features in here for f in features}:
+        field.weights[label, f] = random.gauss(0, 0.3)
+    gold = [(1, 2, "phone")]
+
+    def every(j):
+        """(score, features with their labels) of each segmentation of the first j tokens."""
+        if j == 0:
+            yield 0.0, Counter()
+            return
+        for i, label, features in ends[j - 1]:
+            for rest, seen in every(i):
+                yield rest + field.score(label, features), seen + Counter((label, f) for f in features)
+
+    whole = list(every(len(ends)))
+    total = sum(np.exp(s) for s, _ in whole)
+    want = Counter()
+    for s, seen in whole:
+        for key, times in seen.items():
+            want[key] -= times * np.exp(s) / total
+    at = {(i, j): (label, features) for j, here in enumerate(ends) for i, label, features in here if (i, j, label) in gold or label == "O"}
+    for key in [(0, 0), (1, 2), (3, 3)]:
+        label, features = at[key]
+        want.update((label, f) for f in features)
+    before = dict(field.weights)
+    field._update(ends, gold, 1.0)
+    for key, change in want.items():
+        assert field.weights[key] - before[key] == pytest.approx(change, abs=2e-3), key
+
+
+def test_long_entities_and_regions(make_docs):
+    pairs = "+12 34 56 78 90 12 34"  # seven groups of digits
+    assert [s for s in pii.base_spans(f"call {pairs} now")] == [("phone", 5, 5 + len(pairs))]
+    assert [e[2] for e in pii.examples_of(f"call {pairs} now")][0] == [("phone", 0, len(pairs))]
+    singles = "+" + " ".join("123456789")  # nine tokens: longer than a segment may be, so it teaches nothing
+    assert pii.base_spans(singles) and list(pii.examples_of(singles)) == []
+    many = [f"x {i} y" for i in range(300)]
+    chosen = pii.teaching(" z ".join(many), 64, 400)
+    assert len(chosen) == 64 and {e[1] for e in chosen} != {str(i) for i in range(64)}
+    docs = [(i, f"phone +1 (873) 555-47{i % 90 + 10} or call 12 34 56 78 90 12") for i in range(50)]
+    repeated = docs + [docs[0]] * 300  # one id with very many rows does not fill the sample
+    assert pii.fit(make_docs(docs), limit=40).weights == pii.fit(make_docs(repeated), limit=40).weights
+
+
 def test_field_adds_spans_the_patterns_miss(given, make_docs):
     field = pii.fit(given[0])
     docs = make_docs([

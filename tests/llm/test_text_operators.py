@@ -254,6 +254,28 @@ def test_shard_files(make_docs, tmp_path, spark):
     assert spark.read.parquet(str(tmp_path / "out")).groupBy("shard").count().count() == 16
 
 
+@pytest.mark.parametrize("looked_up", [1 << 20, 200])
+def test_real_repeats_behind_clashing_edges_are_found(spark, make_docs, monkeypatch, looked_up):
+    """Edges told apart by one byte only: most spans name a wrong source, and are looked up again."""
+    monkeypatch.setattr(substring, "EDGE_BYTES", 1)
+    monkeypatch.setattr(substring, "LOOKED_UP", looked_up)
+    monkeypatch.setattr(substring, "PLACES", 3)
+    random.seed(21)
+    common = [f"c{i}" for i in range(40)]
+    passages = [[f"p{i}x{k}" for k in range(15)] for i in range(60)]
+    pairs = []
+    for i in range(120):
+        own = [f"o{random.randrange(50_000)}" for _ in range(20)]
+        pairs.append((i, " ".join(own[:10] + common + passages[i % 60] + own[10:])))
+    pairs += [(None, pairs[0][1]), (3, pairs[70][1]), (500, None), (501, "")]
+    refused = []
+    monkeypatch.setattr(substring, "exact_sources", lambda *a, f=substring.exact_sources: refused.append(a[1].count()) or f(*a))
+    out = substring.remove_repeats(make_docs(pairs))
+    got = Counter((r["doc_id"], r["text"], r["n_words"], r["n_removed"]) for r in out.collect())
+    assert refused and refused[0] > 20
+    assert got == repeats_by_hand(pairs, 13)
+
+
 # --- conversations ------------------------------------------------------------------------------
 
 
