@@ -4,7 +4,7 @@ Lines are split at newlines; a null or empty text is one empty line. A line's ke
 of ASCII white space with A-Z lower-cased. Keys of at least ``min_length`` characters found in at least
 ``min_docs`` distinct documents lose all their lines except in the document with the smallest id.
 
-Rows with the same id count as one document and decide alike. A row without an id holds no key and
+Ids are integers or texts of integers; other texts fail the job. Rows with the same id count as one document and decide alike. A row without an id holds no key and
 keeps all its lines. An empty table gives an empty table.
 """
 

@@ -6,6 +6,7 @@ it learns from the one with the smallest hash. Every document is scored by
 its text alone. Null and empty texts have the statistics of an empty text. Null labels are ignored, repeated
 labels of a document are averaged, labels without a document have no effect, and without labels of both
 kinds every document gets the smoothed share of label 1. Rows without an id are scored but never learnt from.
+Texts are read whole, however long, repeated rows get the same score, and an empty table gives an empty table.
 Extra columns pass through; columns named like the outputs are replaced.
 """
 

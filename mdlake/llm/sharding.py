@@ -6,7 +6,8 @@ weight, and the smallest draw wins. A draw depends on its own child only, so a c
 rows into or out of that child alone, and siblings never exchange rows.
 
 A null key is hashed like an empty text, a null payload has no bytes. Repeated rows get the same shard
-and slots of their own. Columns of the input that are named like an output are replaced.
+and slots of their own. Columns of the input that are named like an output are replaced, other columns pass
+through. An empty table gives an empty table.
 """
 
 from __future__ import annotations

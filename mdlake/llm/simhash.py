@@ -7,7 +7,8 @@ the count by one. A comparison is numpy exclusive-or and bit counts over all pai
 is missed, and it returns a spanning forest of what it linked, never all pairs of a dense group.
 
 A null or empty text has fingerprint zero. Rows without an id get a fingerprint but link nothing. Rows with
-the same id and text get the same result. An empty table gives an empty table.
+the same id and text get the same result. Texts are hashed whole, in parts of bounded memory for the bit counts.
+Extra columns are ignored. An empty table gives an empty table.
 """
 
 from __future__ import annotations

@@ -19,7 +19,8 @@ first; edges of a cell beyond a share of a bucket travel one by one and are deal
 Where documents of one Arrow batch share a piece, only the one with the smallest id is sent on, since the
 others are already decided: a passage that a third of all documents share costs one piece a batch.
 
-Words are runs of characters other than ASCII white space; null and empty texts have none. Rows without an id
+Words are runs of characters other than ASCII white space; null and empty texts have none. Ids are integers or
+texts of integers; other texts fail the job. Rows without an id
 are neither sources nor changed. Repeated rows of an id are one document, and if their texts differ each is
 held to its own words. Columns named like an output are replaced, other columns pass through, and an empty
 table gives an empty table.
