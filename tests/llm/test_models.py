@@ -47,6 +47,70 @@ def test_array_traversal_equals_walking_each_tree():
         assert abs(1 / (1 + np.exp(-total)) - score) < 1e-12
 
 
+def test_histogram_fit_equals_trying_every_split():
+    random_ = np.random.default_rng(8)
+    x = np.round(random_.normal(size=(200, 4)), 1)
+    y = (x[:, 2] + 0.3 * random_.normal(size=200) > 0.4).astype(int)
+    model = gbdt.fit(x, y, trees=1, depth=2, rate=0.5, l2=1.0, least_hessian=2.0)
+    p = (y.sum() + 0.5) / 201
+    g, h = p - y, np.full(200, p * (1 - p))
+    assert model.base == pytest.approx(np.log(p / (1 - p)))
+
+    def best(rows):
+        """(gain, feature, threshold) of the best split of some rows at the bins' edges."""
+        def part(at):
+            return g[at].sum() ** 2 / (h[at].sum() + 1.0)
+        found = (1e-9, None, None)
+        for f in range(4):
+            for e in np.unique(np.quantile(x[:, f], np.linspace(0, 1, 65)[1:-1])):
+                left, right = rows & (x[:, f] <= e), rows & (x[:, f] > e)
+                if min(h[left].sum(), h[right].sum()) >= 2.0:
+                    found = max(found, (part(left) + part(right) - part(rows), f, e), key=lambda t: t[0])
+        return found
+
+    def gain(rows, f, e):
+        left, right = rows & (x[:, f] <= e), rows & (x[:, f] > e)
+        return sum(g[at].sum() ** 2 / (h[at].sum() + 1.0) for at in (left, right)) - g[rows].sum() ** 2 / (h[rows].sum() + 1.0)
+
+    rows = {0: np.ones(200, bool)}
+    for node in range(3):
+        want = best(rows[node])
+        f, e = model.feature[0, node], model.threshold[0, node]
+        if want[1] is None:
+            assert e == np.inf
+        else:
+            assert gain(rows[node], f, e) == pytest.approx(want[0])
+        rows[2 * node + 1], rows[2 * node + 2] = rows[node] & (x[:, f] <= e), rows[node] & (x[:, f] > e)
+    for leaf in range(4):
+        at = rows[3 + leaf]
+        assert model.leaf[0, leaf] == pytest.approx(-0.5 * g[at].sum() / (h[at].sum() + 1.0))
+
+
+def statistics_by_hand(text):
+    text = text or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    raw = text.encode()
+    n, total = max(len(raw), 1), max(len(w), 1)
+    of = lambda chars: sum(c in chars for c in text) / n
+    upper, lower = (sum(a <= c <= z for c in text) / n for a, z in ("AZ", "az"))
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    pairs = list(zip(w, w[1:]))
+    out = [upper, lower, sum("0" <= c <= "9" for c in text) / n, of("!"), of("?"), of("|"), of("#*$%&<>"), of(".,"), of("'\"()-:;/"), of("\n")]
+    out += [sum(len(c.encode()) for c in text if ord(c) > 127) / n, upper / max(upper + lower, 1e-9), np.log1p(len(raw)), np.log1p(len(w))]
+    out += [sum(len(x.encode()) for x in w) / total, len(set(w)) / total, max(Counter(w).values(), default=0) / total]
+    out += [sum(a == b for a, b in pairs) / total, len(set(pairs)) / max(len(w) - 1, 1), sum(x[-1] in "!*#$%&|<>" for x in w) / total]
+    out += [len(set(lines)) / max(len(lines), 1), len(w) / max(len(lines), 1), max((len(x.encode()) for x in lines), default=0) / n]
+    return out + [sum(bool(re.search("[A-Z]", x)) and not re.search("[a-z]", x) for x in w) / total]
+
+
+def test_classifier_statistics_equal_brute_force():
+    random.seed(15)
+    texts = [t for t in ODD if t is None or len(t) < 1000]
+    texts += ["".join(random.choices(["A", "b ", "Cd ", "é", "\n", " ", "9", "!", "a|b ", "<#> ", "AB ", "\t", "x.y, "], k=random.randrange(60))) for _ in range(300)]
+    for text in texts:
+        assert np.allclose(quality_model.statistics(text), statistics_by_hand(text)), repr(text)
+
+
 def test_classifier_on_held_out_rows(given):
     docs, labels = given
     rows = {r["doc_id"]: r for r in quality_model.classify(docs, labels).collect()}
