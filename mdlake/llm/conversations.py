@@ -20,14 +20,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators import slices
+from ..session import checkpointed
 
 PREFIX = ["n_turns", "h1", "h2"]
 # The marks around a rendered turn.
 TURN_FORMAT = "<|{role}|>\n{text}<|end|>\n"
 
 
-def turn_prefixes(turns: DataFrame) -> DataFrame:
-    """(conv_id, role, text, n_turns, h1, h2, slice): each turn with the hash of all turns up to it."""
+def ordered_turns(turns: DataFrame) -> DataFrame:
+    """(conv_id, turn, role, text, slice, place): distinct turns in range slices; ``place`` grows along a conversation.
+
+    The frame is checkpointed, so slices and places are fixed.
+    """
     clean = (
         turns.where(F.col("conv_id").isNotNull())
         .select(
@@ -38,15 +42,24 @@ def turn_prefixes(turns: DataFrame) -> DataFrame:
         )
         .distinct()
     )
-    by, order = ["conv_id"], ["turn", "role", "text"]
-    cut = slices.sliced(clean, by, order)
-    numbered = slices.run(cut, by, order, {"n_turns": slices.row_numbers()}, keep_slice=True)
+    order = ["conv_id", "turn", "role", "text"]
+    sorted_ = clean.repartitionByRange(*order).sortWithinPartitions(*order)
+    return checkpointed(
+        sorted_.withColumn(slices.SLICE, F.spark_partition_id()).withColumn("place", F.monotonically_increasing_id())
+    )
+
+
+def turn_prefixes(ordered: DataFrame) -> DataFrame:
+    """(conv_id, n_turns, h1, h2): each turn's number and the hash of all turns up to it. Texts stay behind."""
+    by, order = ["conv_id"], ["place"]
 
-    def turn_hash(half: int) -> Column:
-        return F.xxhash64(F.lit(half), "n_turns", "role", "text")
+    def content(half: int) -> Column:
+        return F.xxhash64(F.lit(half), "role", "text").alias(f"c{half}")
 
-    hashes = {"h1": slices.running_xor(turn_hash(1)), "h2": slices.running_xor(turn_hash(2))}
-    return slices.run(numbered, by, ["n_turns"], hashes, keep_slice=True).drop("turn")
+    narrow = ordered.select("conv_id", slices.SLICE, "place", content(1), content(2))
+    numbered = slices.run(narrow, by, order, {"n_turns": slices.row_numbers()}, keep_slice=True)
+    hashes = {f"h{half}": slices.running_xor(F.xxhash64(F.lit(half), "n_turns", "c1", "c2")) for half in (1, 2)}
+    return slices.run(numbered, by, order, hashes).select("conv_id", *PREFIX)
 
 
 def maximal(prefixes: DataFrame) -> DataFrame:
@@ -62,13 +75,13 @@ def maximal(prefixes: DataFrame) -> DataFrame:
     return finals.join(proper, PREFIX, "left_anti").select("conv_id", "n_turns")
 
 
-def render(prefixes: DataFrame, kept: DataFrame) -> DataFrame:
+def render(ordered: DataFrame, kept: DataFrame) -> DataFrame:
     """(conv_id, n_turns, text): each kept conversation as one text in turn order."""
     before_role, rest = TURN_FORMAT.split("{role}")
     before_text, after_text = rest.split("{text}")
     piece = F.concat(F.lit(before_role), "role", F.lit(before_text), "text", F.lit(after_text))
-    pieces = prefixes.join(kept.select("conv_id"), "conv_id", "left_semi").select(
-        "conv_id", slices.SLICE, F.struct("n_turns", piece.alias("piece")).alias("turn")
+    pieces = ordered.join(kept.select("conv_id"), "conv_id", "left_semi").select(
+        "conv_id", slices.SLICE, F.struct("place", piece.alias("piece")).alias("turn")
     )
 
     def joined(parts: Column, name: str) -> Column:
@@ -82,5 +95,5 @@ def render(prefixes: DataFrame, kept: DataFrame) -> DataFrame:
 
 def collapse_snapshots(turns: DataFrame) -> DataFrame:
     """(conv_id, n_turns, text) of the maximal conversations, rendered."""
-    prefixes = turn_prefixes(turns)
-    return render(prefixes, maximal(prefixes))
+    ordered = ordered_turns(turns)
+    return render(ordered, maximal(turn_prefixes(ordered)))
