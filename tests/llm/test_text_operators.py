@@ -324,8 +324,8 @@ def test_a_conversation_with_a_third_of_all_rows_spreads_over_tasks(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small shuffles are cut like large ones
     try:
         df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-        prefixes = conversations.turn_prefixes(df)
-        assert prefixes.where("conv_id = 1").select(slices.SLICE).distinct().count() > 1
+        ordered = conversations.ordered_turns(df)
+        assert ordered.where("conv_id = 1").select(slices.SLICE).distinct().count() > 1
         out = {r["conv_id"]: (r["n_turns"], r["text"]) for r in conversations.collapse_snapshots(df).collect()}
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
