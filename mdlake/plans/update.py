@@ -168,8 +168,11 @@ def landed_since(lake: Lake, spec: TableSpec, floor: date, end: date) -> Landed:
     return Landed(files, fresh, known.agg(F.min("loaded_until")).first()[0])
 
 
-def days_to_merge(lake: Lake, spec: TableSpec, landed: Landed, floor: date, end: date) -> DataFrame | None:
-    """(day): days up to ``end`` that were not loaded yet, or of which any feed has rows in a fresh file; None for all."""
+def days_to_merge(lake: Lake, spec: TableSpec, landed: Landed, floor: date, end: date) -> list[date] | None:
+    """Days in [floor, end] that were not loaded yet, or of which any feed has rows in a fresh file; None for all.
+
+    There is at most one per date, so the driver can hold them.
+    """
     if landed.loaded_until is None:
         return None
     days = cal_ops.open_days(lake.calendar(), spec.exchange, landed.loaded_until + timedelta(days=1), end).select(F.col("cal_date").alias("_merge_day"))
@@ -177,7 +180,8 @@ def days_to_merge(lake: Lake, spec: TableSpec, landed: Landed, floor: date, end:
         for raw in landed_feeds(lake, spec, floor, end):
             new = raw.withColumn("path", file_name(F.col(f"{LANDING_ORDER}.file"))).join(landed.fresh, "path", "left_semi")
             days = days.union(cleaning.clean(new, spec).select(F.col(spec.cursor)))
-    return days.where(F.col("_merge_day").isNotNull()).distinct()
+    inside = days.where(F.col("_merge_day").between(F.lit(floor), F.lit(end)))
+    return sorted(r[0] for r in inside.distinct().collect())
 
 
 def record_files(lake: Lake, spec: TableSpec, landed: Landed, end: date) -> None:
@@ -220,7 +224,7 @@ def landed_feeds(lake: Lake, spec: TableSpec, start: date, end: date, vendor_col
 
 
 def read_batch(
-    lake: Lake, spec: TableSpec, start: date, end: date, codes: DataFrame | None = None, days: DataFrame | None = None
+    lake: Lake, spec: TableSpec, start: date, end: date, codes: DataFrame | None = None, days: Sequence[date] | None = None
 ) -> DataFrame | None:
     """Cleaned rows of a table's landed feeds within [start, end]; None when nothing ever landed.
 
@@ -238,7 +242,8 @@ def read_batch(
         if codes is not None and takes_codes(spec):
             rows = cleaning.only_codes(rows, codes)
         if days is not None:
-            rows = rows.join(F.broadcast(days), F.col(spec.cursor) == F.col("_merge_day"), "left_semi")  # one row per date
+            wanted = local_frame(lake.spark, [(d,) for d in days], "_merge_day date")
+            rows = rows.join(F.broadcast(wanted), F.col(spec.cursor) == F.col("_merge_day"), "left_semi")  # one row per date
         feeds.append(rows)
     if len(feeds) == 2:
         return merge.merge_feeds(*feeds, spec.keys, spec.cursor, order=(LANDING_ORDER,), null_safe=False)
@@ -354,12 +359,8 @@ def update_table(
         floor = plan.cutoff or plan.end - timedelta(days=state.FIRST_RUN_DAYS)
         landed = landed_since(lake, spec, floor, plan.end)
         days = days_to_merge(lake, spec, landed, floor, plan.end)
-        if days is not None:
-            first = days.where(F.col("_merge_day").between(F.lit(floor), F.lit(plan.end))).agg(F.min("_merge_day")).first()[0]
-            # rows of a day land on it or later, so folders before the first day to merge are not needed
-            start = first or plan.end
-        else:
-            start = floor
+        # rows of a day land on it or later, so folders before the first day to merge are not needed
+        start = floor if days is None else days[0] if days else plan.end
         report.start = start.isoformat()
     batch = read_batch(lake, spec, start, plan.end, codes, days)
     result = WriteResult(0, 0, None)

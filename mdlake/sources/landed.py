@@ -12,6 +12,8 @@ from datetime import date
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from ..session import checkpointed
+
 LANDED_DAY = "landed_day"
 LANDING_ORDER = "landing_order"
 FILES = "path string, length bigint, modified bigint, landed_day string"
@@ -24,7 +26,10 @@ def file_name(path: Column) -> Column:
 
 def list_files(spark: SparkSession, path: str, start: date | None = None, end: date | None = None, names: str = "*") -> DataFrame:
     """(path, length, modified, landed_day) of the non-empty files in day folders within [start, end] and outside
-    of day folders, where the day is empty. A missing folder has no files."""
+    of day folders, where the day is empty. A missing folder has no files.
+
+    The list is fixed when it is made: a file that lands or changes later is not on it, so it is not taken as read.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", names)
     try:
         found = reader.load(path)
@@ -40,7 +45,7 @@ def list_files(spark: SparkSession, path: str, start: date | None = None, end: d
         files = files.where((F.col(LANDED_DAY) == "") | (F.col(LANDED_DAY) >= start.strftime("%Y%m%d")))
     if end is not None:
         files = files.where((F.col(LANDED_DAY) == "") | (F.col(LANDED_DAY) <= end.strftime("%Y%m%d")))
-    return files
+    return checkpointed(files)
 
 
 def with_landing_order(df: DataFrame) -> DataFrame:

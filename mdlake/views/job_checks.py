@@ -259,6 +259,46 @@ def backfill_master(spark, sf_dir):
     return lake.table(SPECS["daily_raw"]).rows().select(*DAILY_OUT)
 
 
+@check(
+    "update_new_columns",
+    f"""with {SQL_EVENT_CAL}, f as (
+  select {sql_code('user_id')} as ts_code, cast(ts as date) as trade_date, max(value) as adj_factor, count(*) as n_events,
+         avg(event_id) as mean_id, min(event_type) as first_kind, max(cast(ts as date)) as seen_date
+  from events where cast(ts as date) in (select cal_date from open_ecal) group by 1, 2)
+select ts_code, trade_date, adj_factor, case when new then n_events end as n_events, case when new then mean_id end as mean_id,
+ case when new then first_kind end as first_kind, case when new then seen_date end as seen_date
+from (select *, trade_date > date '2024-01-15' as new from f)""",
+)
+def update_new_columns(spark, sf_dir):
+    """From some day on the vendor sends four more columns, of which the table keeps the types."""
+    root = scratch_path(spark, "lake")
+    lake = jobs.Lake(spark, f"{root}/tables", f"{root}/landing")
+    _land(event_calendar(spark, sf_dir), lake.landing, "trade_cal")
+    ev = table(spark, sf_dir, "events")
+    rows = ev.groupBy(code(F.col("user_id")).alias("ts_code"), F.col("ts").cast("date").alias("trade_date")).agg(
+        F.max("value").alias("adj_factor"), F.count(F.lit(1)).alias("n_events"), F.avg("event_id").alias("mean_id"),
+        F.min("event_type").alias("first_kind"), F.max(F.col("ts").cast("date")).alias("seen_date"),
+    )
+    dated = rows.withColumns({c: dates.compact_date(F.col(c)) for c in ("trade_date", "seen_date")})
+    early = F.col("trade_date") <= "20240115"
+    dated.where(early).select("ts_code", "trade_date", "adj_factor").write.json(f"{lake.landing}/adj_factor")
+    jobs.update(lake, ["adj_factor"], date(2024, 1, 15), NOW, start=date(2024, 1, 1), no_delete=True)
+    dated.where(~early).write.mode("append").json(f"{lake.landing}/adj_factor")
+    jobs.update(lake, ["adj_factor"], NOW.date(), NOW, no_delete=True)
+    return lake.table(SPECS["adj_factor"]).rows()
+
+
+@check("quarantined_lines", "select event_id from events where event_type = 'error' or event_id % 10 = 3")
+def quarantined_lines(spark, sf_dir):
+    """Landed lines that were cut off, or are an array and no object."""
+    root = scratch_path(spark, "lines")
+    whole = F.to_json(F.struct("event_id", "user_id", "event_type"))
+    line = F.when(F.col("event_type") == "error", F.substring_index(whole, ",", 2)).when(F.col("event_id") % 10 == 3, F.concat(F.lit("["), whole, F.lit("]")))
+    table(spark, sf_dir, "events").select(F.coalesce(line, whole).alias("value")).write.text(f"{root}/feed")
+    found = landed.quarantined(spark, root, "feed")
+    return found.select(F.regexp_extract("value", r'"event_id":(\d+)', 1).cast("bigint").alias("event_id"))
+
+
 def _bar_lake(spark, sf_dir, land=True):
     root = scratch_path(spark, "bars")
     lake = jobs.Lake(spark, f"{root}/tables", f"{root}/landing")

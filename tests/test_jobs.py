@@ -102,6 +102,23 @@ def test_a_rewritten_feed_file_is_merged_with_its_partner(lake):
     assert daily_rows(lake) == [("a.SZ", date(2024, 1, 4), 55.0, 1.0)]
 
 
+def test_a_file_that_lands_while_a_run_reads_is_left_for_the_next(lake, monkeypatch):
+    row = {"ts_code": "a.SZ", "trade_date": "20240104", "close": 5}
+    land(lake.landing, "daily", [row])
+    write = jobs.write_batch
+
+    def slow_write(*args, **kwargs):
+        if args[1].name == "daily_raw":
+            land(lake.landing, "daily", [row | {"ts_code": "b.SZ"}], name="late")
+        return write(*args, **kwargs)
+
+    monkeypatch.setattr(jobs, "write_batch", slow_write)
+    jobs.update(lake, ["daily_raw"], END, NOW)
+    monkeypatch.undo()
+    jobs.update(lake, ["daily_raw"], END, NOW)
+    assert [r[0] for r in daily_rows(lake)] == ["a.SZ", "b.SZ"]
+
+
 def test_days_after_the_end_are_loaded_by_a_later_run(lake):
     rows = [{"ts_code": "a.SZ", "trade_date": d, "close": 1} for d in ("20241226", "20241227", "20241230")]
     land(lake.landing, "daily", rows)
