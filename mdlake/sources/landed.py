@@ -103,15 +103,22 @@ def quarantined(spark: SparkSession, root: str, feed: str, start: date | None =
 
 
 def added_columns(spark: SparkSession, root: str, feed: str, schema: T.StructType, start: date | None = None, end: date | None = None) -> T.StructType:
-    """Columns of a landed JSON feed that its schema does not name; none if the feed never landed."""
-    known = {n.lower() for n in schema.names}
+    """Columns of a landed JSON feed that its schema does not name; none if the feed never landed.
+
+    Only names are read from the lines; types are merged when there is a new name.
+    """
+    known = {n.lower() for n in (*schema.names, LANDED_DAY)}
+    path = f"{root}/{feed}"
     try:
-        found = json_columns(spark, f"{root}/{feed}", start, end)
+        lines = _text_lines(spark, path, start, end)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return T.StructType()
         raise
-    return T.StructType([f for f in found if f.name.lower() not in known and f.name != LANDED_DAY])
+    named = F.array(*(F.lit(n) for n in schema.names))
+    others = lines.select(F.explode(F.array_except(F.json_object_keys("value"), named)).alias("name")).distinct()
+    new = {r["name"] for r in others.collect() if r["name"].lower() not in known}
+    return T.StructType([f for f in json_columns(spark, path, start, end) if f.name in new]) if new else T.StructType()
 
 
 def read_landed(
