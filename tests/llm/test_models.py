@@ -254,6 +254,47 @@ def test_calibration_equals_trying_every_limit():
         assert gain(limit) == pytest.approx(max(gain(at) for at in scores if at >= least))
 
 
+def test_every_labelled_document_teaches_the_forest(make_docs, spark):
+    """Counted in tasks the forest is the one of all rows at hand, beyond 20,000 rows and a tree's 1,024 as well."""
+    ids = [i for i in range(26_500) if zlib.crc32(str(i).encode()) % 5]
+    assert len(ids) > 20_000
+    prose = [" ".join(f"w{i}x{k}" + "y" * (i % 4) + "#" * (k < i % 12) for k in range(55)) for i in ids]
+    docs = make_docs(list(zip(ids, prose))).repartition(3)
+    labels = spark.createDataFrame([(i, int(i % 12 < 8)) for i in ids], "doc_id long, quality int")
+    forest = quality_rules.fit(docs, labels)
+    stats, good = np.array([quality_rules.statistics(t) for t in prose]), np.array([i % 12 < 8 for i in ids])
+    whole = quality_rules.fit_forest(quality_rules.features(stats), good)
+    assert np.allclose(forest.path, whole.path) and forest.scale == whole.scale
+    x = quality_rules.features(stats)
+    assert (forest.anomalous(x) == whole.anomalous(x)).all()
+    counts = quality_rules.leaf_counts(forest, x[good])
+    assert (counts.sum(axis=1) == good.sum()).all()  # no good row is left out of any tree
+
+
+def test_boxes_equal_growing_each_tree():
+    random_ = np.random.default_rng(9)
+    low, high = np.array(quality_rules.RANGES).T
+    x = low + (high - low) * random_.beta(1, 6, size=(700, 4))
+    splits = quality_rules.random_splits(5, 64, seed=3)
+    forest = quality_rules.with_paths(splits, quality_rules.leaf_counts(splits, x), 64)
+    inner = splits.feature.shape[1]
+
+    def grow(t, node, level, part):
+        held = len(part) * 64 / 700
+        if node >= inner or held <= 1:
+            first, last = node, node
+            while first < inner:
+                first, last = 2 * first + 1, 2 * last + 2
+            assert np.allclose(forest.path[t, first - inner : last - inner + 1], level + quality_rules.mean_path(held))
+            return
+        right = part[:, splits.feature[t, node]] > splits.threshold[t, node]
+        grow(t, 2 * node + 1, level + 1, part[~right])
+        grow(t, 2 * node + 2, level + 1, part[right])
+
+    for t in range(5):
+        grow(t, 0, 0, x)
+
+
 def test_rules_edge_cases(make_docs, spark):
     docs = make_docs([*enumerate(ODD), (1, "again"), (None, "w " * 60 + "1 2 3")], extra=("n_words", "kept", "base_failed", "_good"))
     labels = spark.createDataFrame([(1, None), (2, 1), (6, 1), (None, 0)], "doc_id long, quality int")
