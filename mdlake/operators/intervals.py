@@ -1,8 +1,11 @@
 """Days inside periods with open ends, without a join on a range.
 
-A period of days is cut into dyadic blocks: runs of 2^k days that start at a multiple of 2^k. Any period takes
-at most two blocks a level, and a day lies in one block of each level, so days and periods meet in an equi-join
-on (code, level, block), each pair in exactly one block. A code with very many days spreads over its blocks.
+A period is cut to the days that occur and into blocks: runs of 64^(k+1) days that start at a multiple of that. Its
+ends lie in blocks of 64 days, which they may fill in part, and blocks of higher levels are used only inside of
+it. A day lies in one block of each level, so days and periods meet in an equi-join on (code, level, block), each pair in
+exactly one block, and a comparison drops the days of a block outside of the period. A day is repeated once for each
+level that can occur, which is one level unless the days span more than 64 blocks. A code with very many days
+spreads over its blocks.
 """
 
 from __future__ import annotations
@@ -14,46 +17,55 @@ from pyspark.sql import Column, DataFrame, functions as F
 from . import slices
 from .asof import asof_join
 
-# Days are counted from this many days before 1970, so that all dates from year 1 to 9999 lie in the block of the highest level.
+# Days are counted from this many days before 1970, so that all dates from year 1 to 9999 have positive numbers.
 ORIGIN = 1 << 20
-LEVELS = 22
+# A block holds 2^BITS blocks of the level below; the highest level's hold all dates.
+BITS, LEVELS = 6, 4
 
 
 def day_number(day: Column) -> Column:
     return F.unix_date(day).cast("long") + ORIGIN
 
 
-def blocks_of_day(number: Column, levels: Sequence[int]) -> Column:
+def levels_within(first: int, last: int) -> int:
+    """How many levels have a block that can lie inside the days ``first`` to ``last``, the lowest level included."""
+    begin, end, levels = first >> BITS, (last >> BITS) + 1, 1
+    while levels < LEVELS and (begin := -(-begin >> BITS)) < (end := end >> BITS):
+        levels += 1
+    return levels
+
+
+def blocks_of_day(number: Column, levels: int) -> Column:
     """(level, block) of the block of each level that holds a day."""
     return F.array(
-        *(F.struct(F.lit(k).alias("level"), _halved(number, F.lit(k)).alias("block")) for k in levels)
+        *(F.struct(F.lit(k).alias("level"), F.shiftright(number, BITS * (k + 1)).alias("block")) for k in range(levels))
     )
 
 
-def _halved(number: Column, times: Column) -> Column:
-    return F.floor(number / F.pow(F.lit(2), times)).cast("long")
-
+def blocks_of_period(first: Column, last: Column, lowest: int, highest: int) -> Column:
+    """(level, block) of the fewest blocks that hold the days ``first`` to ``last``; null ends are open.
 
-def blocks_of_period(first: Column, last: Column) -> Column:
-    """(level, block) of the fewest blocks that make up the days ``first`` to ``last``; null ends are open.
-
-    At each level the first block is left alone if its number is even, as a larger block starts there, and the
-    same holds for the end. An empty period has no blocks.
+    Days outside of ``lowest`` to ``highest`` are left out. An empty period has no blocks.
     """
-    low = F.coalesce(day_number(first), F.lit(0).cast("long"))
-    high = F.coalesce(day_number(last) + 1, F.lit(1 << LEVELS).cast("long"))
-
-    def at_level(k: Column) -> Column:
-        begin = F.ceil(low / F.pow(F.lit(2), k)).cast("long")
-        end = _halved(high, k)
-        inside = begin < end
-
-        def one(block: Column, needed: Column) -> Column:
-            return F.when(inside & needed, F.struct(k.alias("level"), block.alias("block")))
-
-        return F.array(one(begin, begin % 2 == 1), one(end - 1, end % 2 == 1))
-
-    return F.filter(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS)), at_level)), lambda b: b.isNotNull())
+    low = F.greatest(F.coalesce(day_number(first), F.lit(lowest)), F.lit(lowest)).cast("long")
+    high = F.least(F.coalesce(day_number(last), F.lit(highest)), F.lit(highest)).cast("long")
+    alive = low <= high
+    begin, end = F.shiftright(low, BITS), F.shiftright(high, BITS) + 1
+    levels, found = levels_within(lowest, highest), []
+    for k in range(levels):
+        above, below = F.shiftright(begin + ((1 << BITS) - 1), BITS), F.shiftright(end, BITS)
+        rises = (above < below) if k + 1 < levels else F.lit(False)
+        found.append(_blocks(k, alive, begin, F.when(rises, F.shiftleft(above, BITS)).otherwise(end)))
+        if k + 1 < levels:
+            found.append(_blocks(k, alive & rises, F.shiftleft(below, BITS), end))
+        alive, begin, end = alive & rises, above, below
+    return F.flatten(F.array(*found))
+
+
+def _blocks(level: int, wanted: Column, begin: Column, end: Column) -> Column:
+    """Blocks from ``begin`` up to but not including ``end``."""
+    numbers = F.when(wanted & (begin < end), F.sequence(begin, end - 1)).otherwise(F.array().cast("array<bigint>"))
+    return F.transform(numbers, lambda b: F.struct(F.lit(level).alias("level"), b.alias("block")))
 
 
 def interval_join(points: DataFrame, periods: DataFrame, by: Sequence[str], day: str, start: str, end: str) -> DataFrame:
@@ -65,17 +77,15 @@ def interval_join(points: DataFrame, periods: DataFrame, by: Sequence[str], day:
     clash = set(points.columns) & set(periods.columns) - set(by)
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
-    cut = periods.withColumn("_b", F.explode(blocks_of_period(F.col(start), F.col(end)))).withColumns(
-        {"_level": F.col("_b.level"), "_block": F.col("_b.block")}
-    )
-    levels = sorted(r["_level"] for r in cut.select("_level").distinct().collect())  # at most 23, so days skip the others
-    if not levels:
+    number = day_number(F.col(day))
+    lowest, highest = points.agg(F.min(number), F.max(number)).first()
+    if lowest is None:
         return points.withColumns({c: F.lit(None).cast(periods.schema[c].dataType) for c in periods.columns if c not in by}).limit(0)
-    blocks = F.explode(blocks_of_day(day_number(F.col(day)), levels))
-    placed = points.where(F.col(day).isNotNull()).withColumn("_b", blocks).withColumns(
-        {"_level": F.col("_b.level"), "_block": F.col("_b.block")}
-    )
-    return placed.drop("_b").join(cut.drop("_b"), [*by, "_level", "_block"]).select(
+    cut = periods.withColumn("_b", F.explode(blocks_of_period(F.col(start), F.col(end), lowest, highest)))
+    placed = points.where(F.col(day).isNotNull()).withColumn("_b", F.explode(blocks_of_day(number, levels_within(lowest, highest))))
+    cut, placed = (df.withColumns({"_level": F.col("_b.level"), "_block": F.col("_b.block")}).drop("_b") for df in (cut, placed))
+    inside = (F.col(start).isNull() | (F.col(day) >= F.col(start))) & (F.col(end).isNull() | (F.col(day) <= F.col(end)))
+    return placed.join(cut, [*by, "_level", "_block"]).where(inside).select(
         *points.columns, *(c for c in periods.columns if c not in by)
     )
 

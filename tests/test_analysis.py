@@ -112,6 +112,24 @@ def test_blocks_of_extreme_periods_cover_each_day_once(spark):
     assert rows_of(got) == Counter(("a", d, *r) for d in days for r in rows if holds(("a", *r), "a", d))
 
 
+def test_open_ends_do_not_repeat_the_days(spark):
+    """Days of a few years are joined once each, however long the periods are; longer spans use few levels."""
+    numbers = [intervals.ORIGIN + n for n in (9000, 9000 + 2500)]
+    assert intervals.levels_within(*numbers) == 1
+    days = [D0 + timedelta(days=n) for n in (0, 63, 64, 2000, 300_000)]
+    rows = [(None, None), (days[0], None), (None, days[3]), (days[1], days[2]), (days[2] + timedelta(days=1), days[4] - timedelta(days=1))]
+    p = spark.createDataFrame([("a", d) for d in days], "code string, at date")
+    q = spark.createDataFrame([("a", *r) for r in rows], "code string, s date, e date")
+    got = intervals.interval_join(p, q, ["code"], "at", "s", "e")
+    assert rows_of(got) == Counter(("a", d, *r) for d in days for r in rows if holds(("a", *r), "a", d))
+    low, high = intervals.ORIGIN + 9000, intervals.ORIGIN + 309_000
+    blocks = intervals.blocks_of_period(F.col("s"), F.col("e"), low, high)
+    one = spark.createDataFrame([(None, None)], "s date, e date").select(F.explode(blocks).alias("b")).select("b.*")
+    covers = sorted((b << 6 * (k + 1), (b + 1) << 6 * (k + 1)) for k, b in one.collect())
+    assert covers[0][0] <= low and covers[-1][1] > high and all(x[1] == y[0] for x, y in zip(covers, covers[1:]))
+    assert len(covers) < 5 * 2 * 64
+
+
 def test_merged_periods(spark, many_slices):
     periods = periods_of(40, 9)
     q = spark.createDataFrame(periods, "code string, s date, e date")
