@@ -66,10 +66,12 @@ def merge_feeds(
     names landing-order columns that make each feed unique per key first; without it the feeds must
     already be unique. ``null_safe`` lets missing key parts match each other.
     """
+    every = main
     if order:
         main, extra = (last_per_key(f, keys, order).drop(*order) for f in (main, extra))
     shared = [c for c in extra.columns if c in main.columns and c not in keys]
-    main_days = main.select(F.col(day).alias("_day")).distinct().withColumn("_main_day", F.lit(True))
+    # a day of the key has main rows whichever of them are kept
+    main_days = (every if day in keys else main).select(F.col(day).alias("_day")).distinct().withColumn("_main_day", F.lit(True))
     if isinstance(main.schema[day].dataType, T.DateType):
         main_days = F.broadcast(main_days)  # one row per parsed date, about 213,000 dates exist
 

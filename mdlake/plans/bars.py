@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ..functions.codes import SHARDS
 from ..functions.dates import in_session
 from ..operators import calendar as cal_ops, cleaning, quality, state
-from ..session import local_frame, staged
+from ..session import in_short_methods, local_frame, staged
 from ..sources import bars_csv
 from ..sources.lake import LakeTable
 from ..sources.landed import LANDED_DAY, file_name, list_files
@@ -159,6 +159,7 @@ def _move_cursors(lake: Lake, cursors: dict[str, date | None], reached: dict[str
     return moved
 
 
+@in_short_methods
 def update_bars(
     lake: Lake,
     now: datetime,
@@ -238,6 +239,7 @@ def _within(part: str, first: date | None, last: date | None) -> bool:
     return (first is None or day >= first.isoformat()) and (last is None or day <= last.isoformat())
 
 
+@in_short_methods
 def backfill_bars(
     lake: Lake,
     now: datetime,

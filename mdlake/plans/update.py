@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ..functions.dates import month_label
 from ..operators import calendar as cal_ops, cleaning, merge, retention, state, windows
-from ..session import local_frame, staged
+from ..session import in_short_methods, local_frame, staged
 from ..sources.lake import LakeTable
 from ..sources.landed import FILES, LANDING_ORDER, added_columns, file_name, landed_or_none, list_files
 from .specs import BARS, SPECS, STATE_KEYS, STATE_SCHEMA, TableSpec, backfill_order, calendar_years, update_order
@@ -234,9 +234,13 @@ def read_batch(
     feeds = []
     for raw in landed_feeds(lake, spec, start, end, vendor_columns=True):
         new_dates = [n for n in raw.columns if n.endswith("_date") and n not in (*spec.schema.names, *spec.dates)]
-        rows = cleaning.drop_null_keys(cleaning.normalize_dates(cleaning.clean(raw, spec), new_dates), spec.keys)
+        rows = cleaning.normalize_dates(cleaning.clean(raw, spec), new_dates)
         if spec.cursor:
-            rows = rows.where(F.col(spec.cursor).between(F.lit(first), F.lit(end)))
+            # a day in the range is not null; one comparison, as Spark parses the landed text for each
+            span = (end - first).days
+            rows = rows.where(F.abs(2 * F.datediff(F.col(spec.cursor), F.lit(first)) - span) <= span)
+        others = [k for k in spec.keys if k != spec.cursor]
+        rows = cleaning.drop_null_keys(rows, others) if others else rows
         if spec.by_open_day:
             rows = cal_ops.on_open_days(rows, lake.calendar(), F.col(spec.cursor), spec.exchange)
         if codes is not None and takes_codes(spec):
@@ -395,6 +399,7 @@ def _known(names: Sequence[str]) -> list[TableSpec]:
     return [SPECS[n] for n in names]
 
 
+@in_short_methods
 def update(
     lake: Lake,
     tables: Sequence[str],
@@ -434,6 +439,7 @@ def month_batches(spark: SparkSession, start: date, end: date) -> list[tuple[dat
     return [(r.window_start, r.window_end) for r in rows.collect()]
 
 
+@in_short_methods
 def backfill_master(
     lake: Lake,
     end: date,

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import atexit
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
+from functools import wraps
 import tempfile
 import uuid
 
@@ -32,6 +33,31 @@ def build_session(app: str = "mdlake", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
+# Fixed value: the JVM does not compile longer methods, it interprets them.
+METHOD_BYTES = 8000
+METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+
+
+def in_short_methods(job: Callable) -> Callable:
+    """A job on a lake whose steps Spark evaluates in methods that the JVM compiles.
+
+    Cleaning a wide table makes one method of all its columns' rules, longer than the JVM compiles. Below the limit that
+    is set while the job runs, Spark splits such a step into several methods.
+    """
+
+    @wraps(job)
+    def run(lake, *args, **kwargs):
+        conf = lake.spark.conf
+        before = conf.get(METHOD_LIMIT)
+        conf.set(METHOD_LIMIT, str(min(int(before), METHOD_BYTES)))
+        try:
+            return job(lake, *args, **kwargs)
+        finally:
+            conf.set(METHOD_LIMIT, before)
+
+    return run
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

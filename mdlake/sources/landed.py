@@ -115,8 +115,10 @@ def added_columns(spark: SparkSession, root: str, feed: str, schema: T.StructTyp
         if error.getCondition() == "PATH_NOT_FOUND":
             return T.StructType()
         raise
+    # lines agree in few sets of names, so they are told apart before names are compared
+    sets = lines.select(F.json_object_keys("value").alias("names")).distinct()
     named = F.array(*(F.lit(n) for n in schema.names))
-    others = lines.select(F.explode(F.array_except(F.json_object_keys("value"), named)).alias("name")).distinct()
+    others = sets.select(F.explode(F.array_except("names", named)).alias("name")).distinct()
     new = {r["name"] for r in others.collect() if r["name"].lower() not in known}
     return T.StructType([f for f in json_columns(spark, path, start, end) if f.name in new]) if new else T.StructType()
 

@@ -1,7 +1,7 @@
 """Sessions of instruments, closed by timers.
 
 Bars of a code and day are held in keyed state until the watermark passes the close of the session. A timer per
-key then puts out the held bars in time order, one row for each five-minute slot that had none, and drops the state. So
+key then puts out the held bars as one row and drops the state; Spark makes a row of each five-minute slot of it. So
 rows of unfinished sessions wait by key in the state store, and are not rewritten with every micro-batch. A key
 holds at most the bars of one session; a repeated bar replaces the earlier one.
 
@@ -14,7 +14,7 @@ from collections.abc import Iterator
 from datetime import datetime, time, timedelta, timezone
 from typing import Any
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.dates import SESSION_CLOSE, SESSION_OPEN
@@ -22,7 +22,7 @@ from ..functions.dates import SESSION_CLOSE, SESSION_OPEN
 STEP = timedelta(minutes=5)
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-OUTPUT = "ts_code string, day date, trade_time timestamp, close double, kind string"
+CLOSED = "ts_code string, day date, held map<bigint, double>"
 
 
 def use_rocksdb(spark: SparkSession) -> None:
@@ -38,6 +38,13 @@ def session_slots(day: Any) -> Iterator[datetime]:
         at += STEP
 
 
+def slots_of(day: Column) -> Column:
+    """``session_slots`` of a column of days, in seconds."""
+    midnight = datetime(1970, 1, 1, tzinfo=timezone.utc)
+    offsets = [int((at - midnight).total_seconds()) for at in session_slots(midnight.date())]
+    return F.transform(F.array(*map(F.lit, offsets)), lambda seconds: F.unix_date(day).cast("long") * 86400 + seconds)
+
+
 class SessionProcessor(StatefulProcessor):
     """Holds the bars of one (code, day) by slot until the session has closed."""
 
@@ -57,11 +64,7 @@ class SessionProcessor(StatefulProcessor):
         yield from ()
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        bars = {k[0]: v[0] for k, v in self.held.iterator()}
-        for at in session_slots(key[1]):
-            slot = int(at.timestamp())
-            kind = "bar" if slot in bars else "missing"
-            yield Row(ts_code=key[0], day=key[1], trade_time=at, close=bars.get(slot), kind=kind)
+        yield Row(ts_code=key[0], day=key[1], held={k[0]: v[0] for k, v in self.held.iterator()})
         self.held.clear()
 
     def close(self) -> None:
@@ -80,4 +83,12 @@ def closed_sessions(bars: DataFrame, delay: str) -> DataFrame:
     seconds = int(STEP.total_seconds())
     slot = (F.floor(F.unix_timestamp("trade_time") / seconds) * seconds).alias("slot")
     keyed = inside.select("ts_code", F.col("trade_time").cast("date").alias("day"), slot, "trade_time", "close")
-    return keyed.groupBy("ts_code", "day").transformWithState(SessionProcessor(), T.StructType.fromDDL(OUTPUT), "Append", "EventTime")
+    closed = keyed.groupBy("ts_code", "day").transformWithState(SessionProcessor(), T.StructType.fromDDL(CLOSED), "Append", "EventTime")
+    at = F.col("_slot")
+    return closed.select("*", F.explode(slots_of(F.col("day"))).alias("_slot")).select(
+        "ts_code",
+        "day",
+        F.timestamp_seconds(at).alias("trade_time"),
+        F.try_element_at("held", at).alias("close"),
+        F.when(F.map_contains_key("held", at), "bar").otherwise("missing").alias("kind"),
+    )

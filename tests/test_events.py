@@ -106,3 +106,19 @@ def test_merged_states_equal_the_state_of_all_rows_within_the_error(spark):
         for rank, value in zip([0.1, 0.5, 0.99], got[part]["values"]):
             assert abs(sum(v <= value for v in values) / len(values) - rank) < 0.03
     assert (got["z"]["n_rows"], got["z"]["users"], got["z"]["values"]) == (1, 0, None)
+
+
+def test_a_closed_session_leaves_python_as_one_row():
+    """However many slots it has; Spark makes the rows of its slots."""
+
+    class Held:
+        def iterator(self):
+            return iter([((1,), (2.0,)), ((3,), (None,))])
+
+        def clear(self):
+            self.cleared = True
+
+    processor = sessions.SessionProcessor()
+    processor.held = Held()
+    (row,) = processor.handleExpiredTimer(("a", T0.date()), None, None)
+    assert row.asDict() == {"ts_code": "a", "day": T0.date(), "held": {1: 2.0, 3: None}} and processor.held.cleared

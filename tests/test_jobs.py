@@ -10,6 +10,7 @@ import os
 import pytest
 from pyspark.sql import functions as F, types as T
 
+from mdlake import session
 from mdlake.__main__ import main
 from mdlake.operators import quality, reshape
 from mdlake.plans import bars as bar_jobs, update as jobs
@@ -639,3 +640,25 @@ def test_repair_rejects_what_either_test_rejects(spark):
     df = spark.createDataFrame([("1.005",), ("1-2",), ("1e3",), ("",), (" 7",), (None,)], "v string")
     got = [r.v for r in quality.repair_types(df, ["v"]).collect()]
     assert [None if v is None else str(v) for v in got] == ["1.01", None, None, None, None, None]
+
+
+def test_jobs_evaluate_wide_steps_in_short_methods(spark, tmp_path, monkeypatch):
+    """While a job runs, Spark makes no method that the JVM would interpret; afterwards the session is as it was."""
+    before = spark.conf.get(session.METHOD_LIMIT)
+    seen = []
+    real = jobs.read_batch
+
+    def reading(lake, *args, **kwargs):
+        seen.append(int(lake.spark.conf.get(session.METHOD_LIMIT)))
+        return real(lake, *args, **kwargs)
+
+    monkeypatch.setattr(jobs, "read_batch", reading)
+    lake = jobs.Lake(spark, str(tmp_path / "tables"), str(tmp_path / "landing"))
+    (tmp_path / "landing" / "trade_cal").mkdir(parents=True)
+    (tmp_path / "landing" / "trade_cal" / "a.json").write_text('{"exchange":"SSE","cal_date":"20240102","is_open":"1"}\n')
+    jobs.update(lake, ["trade_cal"], date(2024, 1, 31), datetime(2024, 1, 31, 16))
+    assert seen and max(seen) <= 8000 and spark.conf.get(session.METHOD_LIMIT) == before
+    assert lake.calendar().count() == 1
+    with pytest.raises(ValueError):
+        jobs.update(lake, ["no_such_table"], date(2024, 1, 31), datetime(2024, 1, 31, 16))
+    assert spark.conf.get(session.METHOD_LIMIT) == before
