@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from ..operators import sketches
-from ..session import scratch_path
+from ..session import child_names, local_frame, scratch_path
 from ..streaming import events, sessions
 from ..streaming.ingest import landed_stream
 from .base import SQL_BARS, bars, check, code, sql_code, table
@@ -66,16 +66,26 @@ def sketch_states(spark, sf_dir):
 # --- streams --------------------------------------------------------------------------------------------
 
 
-def _land_in_steps(rows, day, path):
-    """One file set per span of days, in the order of time; a file's rows are in no order."""
+def _land_in_steps(rows, day, path, n_files):
+    """One set of ``n_files`` files per span of days, in the order of time; a file's rows are in no order.
+
+    Tasks write the files of a set beside each other. Spark writes none for a task without rows, so files without rows
+    fill up a set of few rows: every set has the same number, by which a stream takes up whole sets.
+    """
+    spark = rows.sparkSession
     bounds = [date(1900, 1, 1), *CUTS, date(2999, 1, 1)]
-    for first, last in zip(bounds, bounds[1:]):
-        rows.where((day >= F.lit(first)) & (day < F.lit(last))).coalesce(1).write.mode("append").parquet(path)
+    for step, (first, last) in enumerate(zip(bounds, bounds[1:]), start=1):
+        span = rows.where((day >= F.lit(first)) & (day < F.lit(last)))
+        span.repartition(n_files, *rows.columns).write.mode("append").parquet(path)
+        landed = sum(name.endswith(".parquet") for name in child_names(spark, path))
+        for _ in range(step * n_files - landed):
+            local_frame(spark, [], rows.schema).coalesce(1).write.mode("append").parquet(path)
 
 
 def _stream_of(spark, rows, day, path):
-    _land_in_steps(rows, day, path)
-    return landed_stream(spark, path, rows.schema, files_per_batch=1)
+    n_files = spark.sparkContext.defaultParallelism  # all cores write and read a set
+    _land_in_steps(rows, day, path, n_files)
+    return landed_stream(spark, path, rows.schema, files_per_batch=n_files)
 
 
 def _zoned_bars(spark, sf_dir):

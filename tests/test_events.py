@@ -11,6 +11,7 @@ import pytest
 from mdlake.operators import sketches
 from mdlake.streaming import events, sessions
 from mdlake.streaming.ingest import landed_stream
+from mdlake.views import event_checks
 
 BAR = "ts_code string, trade_time timestamp, open double, high double, low double, close double, volume long, amount long"
 T0 = datetime(2024, 1, 2, 9, 30)
@@ -63,6 +64,21 @@ def test_feeds_meet_in_either_order(spark, tmp_path, late):
     assert {d for _, d in alone} == set(range(1, 10))  # the watermark stands at day 9
 
 
+def test_tasks_share_a_span_and_a_batch_reads_one_whole_span(spark, tmp_path):
+    """Spans of many rows, of none, of one row and of two; files without rows fill up the sets."""
+    many = [("a.SZ", datetime(2024, 1, 2 + i % 7) + timedelta(seconds=i), i) for i in range(2000)]
+    few = [("a.SZ", datetime(2024, 1, 20), -1), ("a.SZ", datetime(2024, 1, 26), -2), ("b.SZ", datetime(2024, 1, 27), -3), ("c.SZ", None, -4)]
+    rows = spark.createDataFrame([*many, *few], "ts_code string, trade_time timestamp, n long")
+    stream = event_checks._stream_of(spark, rows, F.col("trade_time").cast("date"), f"{tmp_path}/in")
+    batches = {}
+    seen = lambda df, k: batches.update({k: [(r["file"], r["n"]) for r in df.collect()]})
+    stream.withColumn("file", F.input_file_name()).writeStream.foreachBatch(seen).option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    assert [sorted(n for _, n in batches[k]) for k in sorted(batches)] == [list(range(2000)), [], [-1], [-3, -2]]
+    assert len({file for file, _ in batches[0]}) == spark.sparkContext.defaultParallelism > 1
+
+
 def test_feeds_with_a_common_column_are_refused(spark):
     a = spark.createDataFrame([], "code string, day timestamp, close double")
     with pytest.raises(ValueError, match="both feeds"):
